@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import arrays, chat
-from ..functions.docstring import strip_docstring
+from ..functions.docstring import with_docstring_stripped
 from ..functions.text import clean
 from ..operators import filters, order
 
@@ -124,10 +124,11 @@ def docs_generator(src: DataFrame) -> DataFrame:
     df = filters.require(df, ["code", "docstring"])
     df = filters.min_chars(df, "docstring", fixed.MIN_OUTPUT_CHARS)
     df = filters.max_chars(df, "code", fixed.MAX_CODE_CHARS)
+    df = with_docstring_stripped(df, "code", "stripped")
     return df.select(
         "id",
         F.lit(fixed.DOCS_INSTRUCTION).alias("instruction"),
-        arrays.sections("```python\n", strip_docstring("code"), "\n```").alias("input"),
+        arrays.sections("```python\n", F.col("stripped"), "\n```").alias("input"),
         F.col("docstring").alias("output"),
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.docstring import strip_docstring
+from ..functions.docstring import with_docstring_stripped
 from ..functions.render import render_chat
 from ..operators import order
 from ..sources import fixtures as fx
@@ -65,7 +65,7 @@ def optimization_records(spark, sf):
 
 def docstring_strip(spark, sf):
     f = fx.functions(_docs(spark, sf)).filter(F.col("code").isNotNull())
-    return f.select("id", strip_docstring("code").alias("stripped"))
+    return with_docstring_stripped(f, "code", "stripped").select("id", "stripped")
 
 
 def docs_records(spark, sf):
@@ -106,3 +106,94 @@ QUERIES: dict[str, Query] = {
     "train_eval_split": train_eval_split,
     "split_stats": split_stats,
 }
+
+
+# ---------------------------------------------------------------------------
+# Rendering, recipes, all roles, stats, sinks
+# ---------------------------------------------------------------------------
+
+
+def role_sources(spark, sf) -> dict[str, DataFrame]:
+    docs, conv = _docs(spark, sf), _conv(spark, sf)
+    return {
+        "code_writer": fx.instructions(docs),
+        "test_generator": fx.unit_tests(docs),
+        "static_reviewer": fx.chats(conv),
+        "security_auditor": fx.security_pairs(docs),
+        "performance_optimizer": fx.chats(conv),
+        "docs_generator": fx.functions(docs),
+    }
+
+
+ROLE_OPTIONS = {
+    "static_reviewer": {"keywords": O.REVIEW_QUERY_KEYWORDS},
+    "security_auditor": {"langs": O.SECURITY_QUERY_LANGS},
+    "performance_optimizer": {"groups": O.OPT_QUERY_GROUPS},
+}
+
+
+def all_records(spark, sf) -> DataFrame:
+    recs, failures = B.build_all(role_sources(spark, sf), options=ROLE_OPTIONS)
+    if failures:
+        raise RuntimeError(f"roles failed: {failures}")
+    return recs
+
+
+def instruction_text(spark, sf):
+    from ..operators.recipes import recipe_for, render
+
+    recs = code_writer_records(spark, sf)
+    return render(recs, recipe_for("code_writer")).select("id", "text")
+
+
+def chat_text(spark, sf):
+    from ..operators.recipes import recipe_for, render
+
+    recs = B.static_reviewer(fx.chats(_conv(spark, sf)), keywords=O.REVIEW_QUERY_KEYWORDS)
+    return render(recs, recipe_for("static_reviewer")).select("id", "text")
+
+
+def recipe_join(spark, sf):
+    from ..operators.recipes import recipes, with_recipe
+
+    joined = with_recipe(all_records(spark, sf), recipes(spark))
+    return joined.select("role", "id", "format", F.col("max_seq_length").cast("long").alias("max_seq_length"), "packing")
+
+
+def build_all(spark, sf):
+    from ..operators.recipes import recipes, render_by_recipe, with_recipe
+
+    rendered = render_by_recipe(with_recipe(all_records(spark, sf), recipes(spark)))
+    return rendered.select("role", "id", "text")
+
+
+def dataset_stats(spark, sf):
+    from ..operators.stats import dataset_stats as stats
+    from ..sources.jsonl import to_lines
+
+    recs = all_records(spark, sf)
+    inst = to_lines(recs.filter(F.col("messages").isNull()), ["instruction", "input", "output"]).select("role", "line")
+    chats = to_lines(recs.filter(F.col("messages").isNotNull()), ["messages"]).select("role", "line")
+    return stats(inst.unionByName(chats))
+
+
+def jsonl_roundtrip(spark, sf):
+    from ..session import scratch_path
+    from ..sources.jsonl import read_jsonl, write_roles
+
+    recs = code_writer_records(spark, sf).withColumn("role", F.lit("code_writer"))
+    root = scratch_path(spark, "jsonl-roundtrip")
+    write_roles(B.ordered(recs).drop("id"), root)
+    return read_jsonl(spark, f"{root}/role=code_writer")
+
+
+QUERIES.update(
+    {
+        "instruction_text": instruction_text,
+        "chat_text": chat_text,
+        "recipe_join": recipe_join,
+        "build_all": build_all,
+        "dataset_stats": dataset_stats,
+        "jsonl_roundtrip": jsonl_roundtrip,
+    }
+)

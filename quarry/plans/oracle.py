@@ -224,3 +224,94 @@ def oracle_sql() -> dict[str, str]:
         "train_eval_split": split_sql(),
         "split_stats": split_stats_sql(),
     }
+
+
+# ---------------------------------------------------------------------------
+# Rendering, recipes, all roles, stats, sinks
+# ---------------------------------------------------------------------------
+
+
+def render_instruction_sql(i: str = "instruction", inp: str = "input", o: str = "output") -> str:
+    h1, h2, h3 = fixed.INSTRUCTION_HEADINGS
+    return f"{lit(h1)} || {i} || {lit(h2)} || {inp} || {lit(h3)} || {o}"
+
+
+def instruction_roles_sql() -> dict[str, str]:
+    return {
+        "code_writer": code_writer_sql(),
+        "test_generator": test_capped_sql(),
+        "security_auditor": security_sql(),
+        "performance_optimizer": optimization_sql(),
+        "docs_generator": docs_sql(),
+    }
+
+
+def recipes_sql() -> str:
+    rows = ", ".join(
+        f"({lit(r)}, {lit(f)}, CAST({m} AS BIGINT), {str(p).lower()})" for r, f, m, p in fixed.RECIPES
+    )
+    return f"SELECT * FROM (VALUES {rows}) AS t(role, format, max_seq_length, packing)"
+
+
+def all_roles_sql() -> str:
+    """(role, id, text) of every role, rendered by its recipe format."""
+    parts = [
+        f"SELECT {lit(role)} AS role, id, {render_instruction_sql()} AS text FROM ({sql})"
+        for role, sql in instruction_roles_sql().items()
+    ]
+    parts.append(f"SELECT 'static_reviewer' AS role, id, transcript AS text FROM ({review_sql()})")
+    return " UNION ALL ".join(parts)
+
+
+def instruction_text_sql() -> str:
+    return f"SELECT id, {render_instruction_sql()} AS text FROM ({code_writer_sql()})"
+
+
+def chat_text_sql() -> str:
+    return f"SELECT id, transcript AS text FROM ({review_sql()})"
+
+
+def recipe_join_sql() -> str:
+    return f"""
+      SELECT a.role, a.id, r.format, r.max_seq_length, r.packing
+      FROM ({all_roles_sql()}) a JOIN ({recipes_sql()}) r ON a.role = r.role"""
+
+
+def dataset_stats_sql() -> str:
+    inst = " UNION ALL ".join(
+        f"SELECT {lit(role)} AS role, to_json(struct_pack(instruction := instruction, input := input, output := output)) AS line FROM ({sql})"
+        for role, sql in instruction_roles_sql().items()
+    )
+    return f"""
+      WITH lines AS ({inst}
+        UNION ALL
+        SELECT 'static_reviewer' AS role, to_json(struct_pack(messages := messages)) AS line FROM (
+          SELECT id, list(struct_pack(role := role, content := content) ORDER BY turn) AS messages
+          FROM (SELECT conv_id AS id, turn, {norm_role('role')} AS role, {cl('text')} AS content
+                FROM ({renamed_turns_sql()}))
+          WHERE content <> '' AND id IN (SELECT id FROM ({review_sql()}))
+          GROUP BY id))
+      SELECT role, CAST(count(*) AS BIGINT) AS records, CAST(sum(octet_length(encode(CAST(line AS VARCHAR))) + 1) AS BIGINT) AS bytes
+      FROM lines GROUP BY ROLLUP (role)"""
+
+
+def jsonl_roundtrip_sql() -> str:
+    return f"SELECT instruction, input, output FROM ({code_writer_sql()})"
+
+
+def _more() -> dict[str, str]:
+    return {
+        "instruction_text": instruction_text_sql(),
+        "chat_text": chat_text_sql(),
+        "recipe_join": recipe_join_sql(),
+        "build_all": all_roles_sql(),
+        "dataset_stats": dataset_stats_sql(),
+        "jsonl_roundtrip": jsonl_roundtrip_sql(),
+    }
+
+
+_base_oracle = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    return {**_base_oracle(), **_more()}
