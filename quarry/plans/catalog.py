@@ -197,3 +197,45 @@ QUERIES.update(
         "jsonl_roundtrip": jsonl_roundtrip,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Validation
+# ---------------------------------------------------------------------------
+
+REQUIRED_KEYS = ["k"]
+
+
+def event_lines(events: DataFrame) -> DataFrame:
+    """events.props as the lines of one JSONL log, with fixed kinds of damage:
+    truncated (error), single-quoted (cheap signups), wrapped in a list (big
+    views), key renamed (cheap clicks), blank (cheap purchases)."""
+    p, v, t = F.col("props"), F.col("value"), F.col("event_type")
+    value = (
+        F.when(t == "error", F.expr("substring(props, 1, length(props) - 1)"))
+        .when((t == "signup") & (v < 10), F.replace(p, F.lit('"'), F.lit("'")))
+        .when((t == "view") & (v > 30), F.concat(F.lit("["), p, F.lit("]")))
+        .when((t == "click") & (v < 5), F.replace(p, F.lit('"k"'), F.lit('"j"')))
+        .when((t == "purchase") & (v < 2), F.lit("   "))
+        .otherwise(p)
+    )
+    return events.select(
+        F.lit("events.jsonl").alias("file"), (F.col("event_id") + 1).alias("line"), value.alias("value")
+    )
+
+
+def validation_report(spark, sf):
+    from ..operators.validate import validate_lines
+
+    failures, _ = validate_lines(event_lines(fx.table(spark, sf, "events")), REQUIRED_KEYS)
+    return failures.select("file", "line", "issue")
+
+
+def validation_counts(spark, sf):
+    from ..operators.validate import validate_lines
+
+    _, counts = validate_lines(event_lines(fx.table(spark, sf, "events")), REQUIRED_KEYS)
+    return counts
+
+
+QUERIES.update({"validation_report": validation_report, "validation_counts": validation_counts})

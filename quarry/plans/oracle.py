@@ -315,3 +315,49 @@ _base_oracle = oracle_sql
 
 def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
     return {**_base_oracle(), **_more()}
+
+
+# ---------------------------------------------------------------------------
+# Validation
+# ---------------------------------------------------------------------------
+
+
+def event_lines_sql() -> str:
+    return """
+      SELECT 'events.jsonl' AS file, event_id + 1 AS line,
+             CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1)
+                  WHEN event_type = 'signup' AND value < 10 THEN replace(props, '"', '''')
+                  WHEN event_type = 'view' AND value > 30 THEN '[' || props || ']'
+                  WHEN event_type = 'click' AND value < 5 THEN replace(props, '"k"', '"j"')
+                  WHEN event_type = 'purchase' AND value < 2 THEN '   '
+                  ELSE props END AS value
+      FROM events"""
+
+
+def checked_lines_sql() -> str:
+    v = f"trim(value, {WS})"
+    return f"""
+      SELECT file, line, CASE WHEN NOT json_valid({v}) THEN 'invalid_json'
+                              WHEN json_type({v}) <> 'OBJECT' THEN 'not_object'
+                              WHEN NOT list_contains(json_keys({v}), 'k') THEN 'missing_fields'
+                              ELSE 'ok' END AS issue
+      FROM ({event_lines_sql()}) WHERE {cl('value')} <> ''"""
+
+
+def validation_report_sql() -> str:
+    return f"SELECT file, CAST(line AS BIGINT) AS line, issue FROM ({checked_lines_sql()}) WHERE issue <> 'ok'"
+
+
+def validation_counts_sql() -> str:
+    return f"SELECT file, CAST(count_if(issue = 'ok') AS BIGINT) AS records FROM ({checked_lines_sql()}) GROUP BY file"
+
+
+_base_oracle2 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    return {
+        **_base_oracle2(),
+        "validation_report": validation_report_sql(),
+        "validation_counts": validation_counts_sql(),
+    }
