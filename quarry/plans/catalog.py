@@ -239,3 +239,92 @@ def validation_counts(spark, sf):
 
 
 QUERIES.update({"validation_report": validation_report, "validation_counts": validation_counts})
+
+
+# ---------------------------------------------------------------------------
+# Encoding, packing, collation (the prepare pipeline on code_writer records)
+# ---------------------------------------------------------------------------
+
+PACK_LEN = 256
+BATCH = 8
+
+
+def _train_tokens(spark, sf) -> DataFrame:
+    from ..operators.recipes import recipe_for, render
+    from ..operators.tokenize import byte_encode
+
+    text = render(code_writer_records(spark, sf), recipe_for("code_writer")).select("id", "text")
+    train = order.split(text, "id").filter(F.col("split") == "train").drop("split")
+    return byte_encode(train, "text", PACK_LEN)
+
+
+def byte_tokens(spark, sf):
+    from ..operators.recipes import recipe_for, render
+    from ..operators.tokenize import byte_encode
+
+    text = render(code_writer_records(spark, sf), recipe_for("code_writer")).select("id", "text")
+    tok = byte_encode(text, "text", PACK_LEN)
+    return tok.select(
+        "id",
+        F.size("input_ids").cast("long").alias("n_tokens"),
+        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+        F.md5(F.array_join("labels", ",")).alias("labels_md5"),
+        F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"),
+    )
+
+
+def pack_positions(spark, sf):
+    from ..operators.pack import sample_starts
+
+    starts = sample_starts(_train_tokens(spark, sf), "id", PACK_LEN)
+    return starts.select("id", "pack_start", F.col("pack_sep").cast("long").alias("pack_sep"), "length")
+
+
+def pack_stats(spark, sf):
+    from ..operators.pack import pack_stats as stats
+    from ..operators.pack import sample_starts
+
+    return stats(sample_starts(_train_tokens(spark, sf), "id", PACK_LEN), PACK_LEN)
+
+
+def pack_blocks(spark, sf):
+    from ..operators.pack import pack
+
+    blocks = pack(_train_tokens(spark, sf), "id", PACK_LEN, eos_id=0)
+    return blocks.select(
+        "block_id",
+        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+        F.md5(F.array_join("labels", ",")).alias("labels_md5"),
+        F.size(F.filter("labels", lambda x: x == -100)).cast("long").alias("separators"),
+        F.size("attention_mask").cast("long").alias("mask_len"),
+    )
+
+
+def collated_batches(spark, sf):
+    from ..operators.collate import collate
+    from ..operators.recipes import recipe_for, render
+    from ..operators.tokenize import byte_encode
+
+    text = render(code_writer_records(spark, sf), recipe_for("code_writer")).select("id", "text")
+    ev = order.split(text, "id").filter(F.col("split") == "eval").drop("split")
+    tok = byte_encode(ev, "text", 2048)
+    out = collate(tok, "id", BATCH, pad_id=0)
+    return out.select(
+        "id",
+        "batch",
+        F.size("input_ids").cast("long").alias("padded_len"),
+        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+        F.md5(F.array_join("labels", ",")).alias("labels_md5"),
+        F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"),
+    )
+
+
+QUERIES.update(
+    {
+        "byte_tokens": byte_tokens,
+        "pack_positions": pack_positions,
+        "pack_stats": pack_stats,
+        "pack_blocks": pack_blocks,
+        "collated_batches": collated_batches,
+    }
+)

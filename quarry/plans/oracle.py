@@ -361,3 +361,114 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
         "validation_report": validation_report_sql(),
         "validation_counts": validation_counts_sql(),
     }
+
+
+# ---------------------------------------------------------------------------
+# Encoding, packing, collation
+# ---------------------------------------------------------------------------
+
+PACK_LEN = 256
+BATCH = 8
+
+
+def byte_ids_sql(text: str, max_len: int) -> str:
+    h = f"hex(encode(coalesce({text}, '')))"
+    return (
+        f"list_transform(range(0, least(strlen({h}) // 2, {max_len})), "
+        f"lambda i: ('0x' || substr({h}, 2 * i + 1, 2))::INTEGER)"
+    )
+
+
+def rendered_sql() -> str:
+    return f"SELECT id, {render_instruction_sql()} AS text FROM ({code_writer_sql()})"
+
+
+def split_text_sql() -> str:
+    return f"""
+      SELECT id, text, CASE WHEN rk <= ceil({fixed.EVAL_FRACTION!r} * n) THEN 'eval' ELSE 'train' END AS split
+      FROM (SELECT id, text, row_number() OVER (ORDER BY {order_hash('id')}, id) AS rk, count(*) OVER () AS n
+            FROM ({rendered_sql()}))"""
+
+
+def byte_tokens_sql() -> str:
+    return f"""
+      SELECT id, CAST(len(ids) AS BIGINT) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5,
+             md5(array_to_string(ids, ',')) AS labels_md5, CAST(len(ids) AS BIGINT) AS mask_sum
+      FROM (SELECT id, {byte_ids_sql('text', PACK_LEN)} AS ids FROM ({rendered_sql()}))"""
+
+
+def pack_walk_sql() -> str:
+    """Samples of the train split in order, and the sequential walk over them."""
+    L = PACK_LEN
+    return f"""
+      s AS (SELECT id, ids, len(ids) AS len, row_number() OVER (ORDER BY {order_hash('id')}, id) AS r
+            FROM (SELECT id, {byte_ids_sql('text', L)} AS ids FROM ({split_text_sql()}) WHERE split = 'train')),
+      p(r, pos, start, sep) AS (
+        SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT
+        UNION ALL
+        SELECT s.r, p.pos + CASE WHEN p.pos % {L} <> 0 THEN 1 ELSE 0 END + s.len,
+               p.pos + CASE WHEN p.pos % {L} <> 0 THEN 1 ELSE 0 END,
+               CASE WHEN p.pos % {L} <> 0 THEN 1 ELSE 0 END
+        FROM p JOIN s ON s.r = p.r + 1),
+      placed AS (SELECT s.id, s.ids, s.len, p.start, p.sep FROM s JOIN p ON s.r = p.r)"""
+
+
+def pack_positions_sql() -> str:
+    return f"""
+      WITH RECURSIVE {pack_walk_sql()}
+      SELECT id, CAST(start AS BIGINT) AS pack_start, CAST(sep AS BIGINT) AS pack_sep,
+             CAST(len AS BIGINT) AS length FROM placed"""
+
+
+def pack_stats_sql() -> str:
+    L = PACK_LEN
+    return f"""
+      WITH RECURSIVE {pack_walk_sql()}
+      SELECT CAST(count(*) AS BIGINT) AS samples, CAST(coalesce(max(start + len), 0) // {L} AS BIGINT) AS blocks,
+             CAST(coalesce(max(start + len), 0) % {L} AS BIGINT) AS dropped_tokens FROM placed"""
+
+
+def pack_blocks_sql() -> str:
+    L = PACK_LEN
+    return f"""
+      WITH RECURSIVE {pack_walk_sql()},
+      toks AS (
+        SELECT start - 1 AS pos, 0 AS tok, -100 AS lab FROM placed WHERE sep = 1
+        UNION ALL
+        SELECT start + k - 1 AS pos, t AS tok, t AS lab
+        FROM placed, unnest(ids) WITH ORDINALITY AS u(t, k)),
+      fin AS (SELECT coalesce(max(start + len), 0) // {L} AS full_blocks FROM placed)
+      SELECT CAST(pos // {L} AS BIGINT) AS block_id,
+             md5(string_agg(CAST(tok AS VARCHAR), ',' ORDER BY pos)) AS ids_md5,
+             md5(string_agg(CAST(lab AS VARCHAR), ',' ORDER BY pos)) AS labels_md5,
+             CAST(count_if(lab = -100) AS BIGINT) AS separators, CAST({L} AS BIGINT) AS mask_len
+      FROM toks WHERE pos // {L} < (SELECT full_blocks FROM fin)
+      GROUP BY pos // {L}"""
+
+
+def collated_sql() -> str:
+    return f"""
+      WITH e AS (SELECT id, {byte_ids_sql('text', 2048)} AS ids,
+                        row_number() OVER (ORDER BY {order_hash('id')}, id) AS r
+                 FROM ({split_text_sql()}) WHERE split = 'eval'),
+      b AS (SELECT id, ids, (r - 1) // {BATCH} AS batch FROM e),
+      m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS blen FROM b)
+      SELECT id, CAST(batch AS BIGINT) AS batch, CAST(blen AS BIGINT) AS padded_len,
+             md5(array_to_string(list_concat(ids, list_transform(range(blen - len(ids)), lambda i: 0)), ',')) AS ids_md5,
+             md5(array_to_string(list_concat(ids, list_transform(range(blen - len(ids)), lambda i: -100)), ',')) AS labels_md5,
+             CAST(len(ids) AS BIGINT) AS mask_sum
+      FROM m"""
+
+
+_base_oracle3 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    return {
+        **_base_oracle3(),
+        "byte_tokens": byte_tokens_sql(),
+        "pack_positions": pack_positions_sql(),
+        "pack_stats": pack_stats_sql(),
+        "pack_blocks": pack_blocks_sql(),
+        "collated_batches": collated_sql(),
+    }

@@ -1,0 +1,50 @@
+"""Prepare one role's records for training: render → split → encode → pack.
+
+``prepare(records, recipe)`` returns (train, eval) DataFrames. The eval side
+is an optional second source (used as is) or the first ceil(f × n) rows of
+the repeatable order; the train side is packed into fixed-length blocks when
+the recipe says so (eval is never packed).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import fixed
+from ..operators import order, pack, recipes, tokenize
+
+
+def render_records(records: DataFrame, recipe: dict, key: str = "id") -> DataFrame:
+    return recipes.render(records, recipe).select(key, "text")
+
+
+def prepare(
+    records: DataFrame,
+    recipe: dict,
+    key: str = "id",
+    eval_records: DataFrame | None = None,
+    eval_fraction: float = fixed.EVAL_FRACTION,
+    seed: int = fixed.SEED,
+    encoder_factory=None,
+    eos_id: int | None = None,
+    max_len: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    L = int(max_len or recipe["max_seq_length"])
+    text = render_records(records, recipe, key)
+    if eval_records is not None:
+        train, ev = text, render_records(eval_records, recipe, key)
+    else:
+        split = order.split(text, key, eval_fraction, seed)
+        train = split.filter(F.col("split") == "train").drop("split")
+        ev = split.filter(F.col("split") == "eval").drop("split")
+
+    def encode(df: DataFrame) -> DataFrame:
+        if encoder_factory is None:
+            return tokenize.byte_encode(df, "text", L)
+        return tokenize.encode_with(df, encoder_factory, "text", L)
+
+    train_tok, eval_tok = encode(train), encode(ev)
+    if recipe.get("packing"):
+        train_tok = pack.pack(train_tok, key, L, tokenize.eos_id(eos_id), seed)
+    return train_tok, eval_tok
