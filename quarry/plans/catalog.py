@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed
 from ..functions.docstring import with_docstring_stripped
@@ -328,3 +329,102 @@ QUERIES.update(
         "collated_batches": collated_batches,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Metric monitors (batch and stream) and incremental ingest
+# ---------------------------------------------------------------------------
+
+
+def _metrics(spark, sf):
+    return fx.metrics(fx.table(spark, sf, "events"))
+
+
+def divergence_batch(spark, sf):
+    from ..operators.monitor import divergence
+
+    d = divergence(_metrics(spark, sf))
+    return d.select("run", "step", "eval_loss", "best_loss", "is_bad", "bad_streak", "should_stop")
+
+
+def _events_stream(spark, sf):
+    from ..streaming.monitors import metrics_stream
+
+    ev = fx.table(spark, sf, "events")
+    # A glob (not a bare file path) so the file source can list it.
+    s = metrics_stream(spark, f"{sf.rstrip('/')}/event[s].parquet", ev.schema)
+    return s.select(F.col("user_id").alias("run"), "ts", F.col("value").alias("eval_loss"))
+
+
+def divergence_stream(spark, sf):
+    from ..streaming.monitors import divergence_stream as stream
+    from ..streaming.monitors import run_available
+
+    return run_available(stream(_events_stream(spark, sf)), "divergence-stream")
+
+
+def cost_meter_batch(spark, sf):
+    from ..operators.monitor import cost_meter
+
+    return cost_meter(_metrics(spark, sf)).select("run", "step", "elapsed_hours", "cost")
+
+
+def cost_meter_stream(spark, sf):
+    from ..streaming.monitors import cost_stream, run_available
+
+    return run_available(cost_stream(_events_stream(spark, sf)), "cost-stream")
+
+
+def best_checkpoint(spark, sf):
+    from ..operators.monitor import best_checkpoint as best
+
+    return best(_metrics(spark, sf))
+
+
+DOC_JSON_SCHEMA = "doc_id long, text string, lang_value string, source string, n_chars long"
+
+
+def _landed_documents(spark, sf) -> str:
+    """Documents landed as JSONL files, one directory per language."""
+    from ..session import scratch_path
+
+    root = scratch_path(spark, "landed-documents")
+    docs = _docs(spark, sf).withColumn("lang_value", F.col("lang"))
+    docs.write.mode("overwrite").partitionBy("lang").json(root)
+    return root
+
+
+def ingest_new_files(spark, sf):
+    """Files of every language but "en" are new; the "en" ones are in the manifest."""
+    from ..session import scratch_path
+    from ..sources import ingest
+    from ..sources.tables import file_listing
+
+    root = _landed_documents(spark, sf)
+    manifest = scratch_path(spark, "manifest")
+    ingest.commit(file_listing(spark, f"{root}/lang=en", "*.json"), manifest)
+    new = ingest.new_files(spark, root, manifest, "*.json")
+    rows = ingest.read_new(spark, new, DOC_JSON_SCHEMA)
+    return rows.select("doc_id", F.col("lang_value").alias("lang"))
+
+
+def ingest_stream_files(spark, sf):
+    from ..sources import ingest
+    from ..streaming.monitors import run_available
+
+    root = _landed_documents(spark, sf)
+    stream = ingest.ingest_stream(spark, root, DOC_JSON_SCHEMA, "*.json")
+    return run_available(stream.select("doc_id", F.col("lang_value").alias("lang")), "ingest-stream")
+
+
+QUERIES.update(
+    {
+        "divergence_batch": divergence_batch,
+        "divergence_stream": divergence_stream,
+        "cost_meter_batch": cost_meter_batch,
+        "cost_meter_stream": cost_meter_stream,
+        "best_checkpoint": best_checkpoint,
+        "ingest_new_files": ingest_new_files,
+        "ingest_stream": ingest_stream_files,
+    }
+)

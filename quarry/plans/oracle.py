@@ -472,3 +472,67 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
         "pack_blocks": pack_blocks_sql(),
         "collated_batches": collated_sql(),
     }
+
+
+# ---------------------------------------------------------------------------
+# Metric monitors and ingest
+# ---------------------------------------------------------------------------
+
+
+def metrics_sql() -> str:
+    return """
+      SELECT user_id AS run, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step,
+             ts, value AS eval_loss FROM events"""
+
+
+def divergence_sql(threshold: float = fixed.DIVERGENCE_THRESHOLD, patience: int = fixed.DIVERGENCE_PATIENCE) -> str:
+    """The sequential rule as a recursive walk per run."""
+    ok = "NOT isnan(w.best) AND NOT isnan(m.eval_loss)"
+    new_best = f"({ok} AND m.eval_loss < w.best)"
+    bad = f"(NOT {new_best} AND {ok} AND m.eval_loss > w.best * {threshold!r})"
+    return f"""
+      WITH RECURSIVE m AS (
+        SELECT run, step, eval_loss, row_number() OVER (PARTITION BY run ORDER BY step) AS k
+        FROM ({metrics_sql()}) WHERE eval_loss IS NOT NULL),
+      w(run, k, step, eval_loss, best_loss, best, bad, is_bad) AS (
+        SELECT run, k, step, eval_loss, NULL::DOUBLE, eval_loss, 0::BIGINT, false FROM m WHERE k = 1
+        UNION ALL
+        SELECT m.run, m.k, m.step, m.eval_loss, w.best,
+               CASE WHEN {new_best} THEN m.eval_loss ELSE w.best END,
+               CASE WHEN {bad} THEN w.bad + 1 ELSE 0 END,
+               {bad}
+        FROM w JOIN m ON m.run = w.run AND m.k = w.k + 1)
+      SELECT CAST(run AS BIGINT) AS run, CAST(step AS BIGINT) AS step, eval_loss, best_loss, is_bad,
+             CAST(bad AS BIGINT) AS bad_streak, bad >= {patience} AS should_stop
+      FROM w"""
+
+
+def cost_sql(price: float = fixed.GPU_HOUR_PRICE) -> str:
+    return f"""
+      SELECT CAST(run AS BIGINT) AS run, CAST(step AS BIGINT) AS step, h AS elapsed_hours, h * {price!r} AS cost
+      FROM (SELECT run, step, CAST(date_diff('microsecond', min(ts) OVER (PARTITION BY run), ts) AS DOUBLE) / 3.6e9 AS h
+            FROM ({metrics_sql()}))"""
+
+
+def best_checkpoint_sql() -> str:
+    return f"""
+      SELECT CAST(run AS BIGINT) AS run, CAST(step AS BIGINT) AS best_step, eval_loss AS best_loss
+      FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY eval_loss, step) AS rn
+            FROM ({metrics_sql()}) WHERE eval_loss IS NOT NULL AND NOT isnan(eval_loss))
+      WHERE rn = 1"""
+
+
+_base_oracle4 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    return {
+        **_base_oracle4(),
+        "divergence_batch": divergence_sql(),
+        "divergence_stream": divergence_sql(),
+        "cost_meter_batch": cost_sql(),
+        "cost_meter_stream": cost_sql(),
+        "best_checkpoint": best_checkpoint_sql(),
+        "ingest_new_files": "SELECT doc_id, lang FROM documents WHERE lang IS DISTINCT FROM 'en'",
+        "ingest_stream": "SELECT doc_id, lang FROM documents",
+    }
