@@ -10,7 +10,7 @@ from .. import fixed
 from .text import _col, clean
 
 
-def test_strings(tests, dtype: T.DataType) -> Column:
+def coerce_tests(tests, dtype: T.DataType) -> Column:
     """Coerce test elements to strings by the column's schema.
 
     struct element → its ``code`` field (null code → ""); string element →

@@ -167,7 +167,9 @@ def sample_starts(
     L = int(max_len)
     light = df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN))
     ranked = global_rank(light, keys, seed, parts, out=RANK)
-    ranked = ranked.withColumn(CHUNK, F.floor((F.col(RANK) - 1) / chunk_rows).cast("long"))
+    # Both passes must see the same ranks; the ranked lengths are four small
+    # columns per sample, so they are checkpointed once instead of re-ranked.
+    ranked = materialize(ranked.withColumn(CHUNK, F.floor((F.col(RANK) - 1) / chunk_rows).cast("long")))
 
     summary = materialize(_summaries(ranked, parts, L))
     entries = _entries(spark, summary, parts, CHUNK, L, fanout)

@@ -26,9 +26,17 @@ from ..functions.text import _col
 IDS = T.ArrayType(T.IntegerType())
 
 
-def utf8_bytes(text) -> Column:
-    """UTF-8 bytes of a string as array<int> (0..255)."""
-    hexed = F.hex(F.encode(F.coalesce(_col(text), F.lit("")), "UTF-8"))
+def utf8_bytes(text, max_len: int | None = None) -> Column:
+    """UTF-8 bytes of a string as array<int> (0..255).
+
+    With ``max_len``, only the first max_len characters are encoded: each
+    character is at least one byte, so they hold the first max_len bytes and
+    the cost per row is O(max_len), not O(text).
+    """
+    t = F.coalesce(_col(text), F.lit(""))
+    if max_len is not None:
+        t = F.substring(t, 1, int(max_len))
+    hexed = F.hex(F.encode(t, "UTF-8"))
     pairs = F.regexp_extract_all(hexed, F.lit("([0-9A-F]{2})"), 1)
     return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int"))
 
@@ -42,7 +50,7 @@ def with_encoding(df: DataFrame, ids: Column | str, max_len: int) -> DataFrame:
 
 
 def byte_encode(df: DataFrame, text: str = "text", max_len: int = 4096, drop_text: bool = True) -> DataFrame:
-    out = with_encoding(df, utf8_bytes(text), max_len)
+    out = with_encoding(df, utf8_bytes(text, max_len), max_len)
     return out.drop(text) if drop_text else out
 
 

@@ -43,7 +43,7 @@ def test_generator(src: DataFrame) -> DataFrame:
         "id",
         clean("question").alias("question"),
         clean("code_ground_truth").alias("truth"),
-        F.coalesce(arrays.test_strings("unit_tests", tests_type), F.array().cast("array<string>")).alias("tests"),
+        F.coalesce(arrays.coerce_tests("unit_tests", tests_type), F.array().cast("array<string>")).alias("tests"),
     )
     df = filters.require(df, ["question", "truth", "tests"])
     df = df.withColumn("kept", arrays.cap_tests(F.col("tests"))).filter(F.size("kept") > 0)
