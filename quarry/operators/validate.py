@@ -119,7 +119,7 @@ def validate_lines(
 def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(raw lines with file/_block/_mid, per-split table with _first/_before)."""
     raw = spark.read.format("text").load(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        _norm_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
         "value",
@@ -130,6 +130,11 @@ def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return raw, splits
 
 
+def _norm_path(c) -> F.Column:
+    """One spelling per local path ("file:///x" and "file:/x" → "file:/x")."""
+    return F.regexp_replace(c, "^file:/+", "file:/")
+
+
 def _with_line(rows: DataFrame, splits: DataFrame) -> DataFrame:
     return rows.join(splits.select("file", "_block", "_first", "_before"), ["file", "_block"]).withColumn(
         "line", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long")
@@ -150,9 +155,13 @@ def validate(
     if not has_files(spark, path):
         return spark.createDataFrame([(path, None, "missing", f"File not found: {path}")], REPORT_SCHEMA)
     listing = file_listing(spark, path)
-    zero = listing.filter(F.col("length") == 0).select(
-        F.col("path").alias("file"), F.lit(None).cast("long").alias("line"), F.lit("empty").alias("issue"),
-        F.concat(F.lit("File is empty: "), F.col("path")).alias("detail"),
+    # The scan skips zero-length files; the file index still lists them.
+    listed = spark.createDataFrame([(p,) for p in listing.inputFiles()], "file string")
+    listed = listed.select(_norm_path(F.col("file")).alias("file"))
+    scanned = listing.select(_norm_path(F.col("path")).alias("file"))
+    zero = listed.join(scanned, "file", "left_anti").select(
+        "file", F.lit(None).cast("long").alias("line"), F.lit("empty").alias("issue"),
+        F.concat(F.lit("File is empty: "), F.col("file")).alias("detail"),
     )
     report = zero
     if sha256:
@@ -173,7 +182,7 @@ def validate(
         _with_line(bad, splits).select("file", "line", F.col("status").alias("issue"), "detail")
     )
     ok_counts = _counts(raw, bad)
-    nonempty = listing.filter(F.col("length") > 0).select(F.col("path").alias("file"))
+    nonempty = listing.filter(F.col("length") > 0).select(_norm_path(F.col("path")).alias("file"))
     no_records = nonempty.join(ok_counts, "file", "left").filter(F.coalesce("records", F.lit(0)) == 0).select(
         "file", F.lit(None).cast("long").alias("line"), F.lit("no_records").alias("issue"),
         F.concat(F.lit("No records found in "), F.col("file")).alias("detail"),
