@@ -12,8 +12,12 @@ Input rows: (run, step, ts, eval_loss). Rows without a loss are ignored.
 * ``best_checkpoint``: per run, the earliest step with the lowest loss
   (NaN and null dropped) — a plain aggregate with map-side partials.
 
-The windows are partitioned by run and ordered by step; a run's log is one
-ordered sequence, and the window operator streams it with spillable buffers.
+No operator puts a whole run into one task. The divergence state is two
+prefix scans (running minimum of the loss, running last good row), each done
+in two levels: steps are cut into chunks of ``chunk_steps``; a per-chunk
+aggregate and a window over the small chunk table give each chunk's prefix,
+and the row-level window runs inside a chunk only. A run holding a third of
+the log is therefore spread over many tasks.
 """
 
 from __future__ import annotations
@@ -23,6 +27,14 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 
+SMALL_TABLE_ROWS = 1_000_000  # broadcast limit for per-run / per-chunk tables
+
+
+def _join_small(df: DataFrame, small: DataFrame, on, rows: int | None) -> DataFrame:
+    """Join a per-key summary; broadcast it when its row count is known small."""
+    side = F.broadcast(small) if rows is not None and rows <= SMALL_TABLE_ROWS else small
+    return df.join(side, on)
+
 
 def divergence(
     metrics: DataFrame,
@@ -31,25 +43,46 @@ def divergence(
     run: str = "run",
     step: str = "step",
     loss: str = "eval_loss",
+    chunk_steps: int = 1 << 16,
 ) -> DataFrame:
     """Adds best_loss (best before this row), is_bad, bad_streak, should_stop."""
-    m = metrics.filter(F.col(loss).isNotNull())
-    w = Window.partitionBy(run).orderBy(step)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    # min() skips NaN unless all values are NaN; a NaN first loss wins instead.
-    first = F.first(F.col(loss)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    best = F.when(F.isnan(first) & (F.row_number().over(w) > 1), F.lit(float("nan"))).otherwise(
-        F.min(F.col(loss)).over(before)
+    m = metrics.filter(F.col(loss).isNotNull()).withColumn("_c", F.floor(F.col(step) / chunk_steps).cast("long"))
+    v = F.col(loss)
+
+    # Level 1 — per chunk: minimum loss and row count; per run: the first loss.
+    chunks = m.groupBy(run, "_c").agg(F.min(v).alias("_cmin"), F.count(F.lit(1)).alias("_cn"))
+    cw = Window.partitionBy(run).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("_pmin", F.min("_cmin").over(cw)).withColumn(
+        "_pcount", F.coalesce(F.sum("_cn").over(cw), F.lit(0))
     )
-    x = m.withColumn("best_loss", best)
-    b, v = F.col("best_loss"), F.col(loss)
+    firsts = m.groupBy(run).agg(F.min_by(v, F.col(step)).alias("_first"), F.min(step).alias("_s0"))
+    n_chunks = chunks.count()
+    x = _join_small(m, chunks.select(run, "_c", "_pmin", "_pcount"), [run, "_c"], n_chunks)
+    x = _join_small(x, firsts, [run], n_chunks)
+
+    # Level 2 — inside a chunk: running minimum before the row, running count.
+    w = Window.partitionBy(run, "_c").orderBy(step)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    # Spark's min() skips NaN unless every value is NaN; Python keeps a NaN first loss.
+    running = F.least(F.col("_pmin"), F.min(v).over(before))
+    best = F.when(F.isnan("_first") & (F.col(step) > F.col("_s0")), F.lit(float("nan"))).otherwise(running)
+    x = x.withColumn("best_loss", best).withColumn("_k", F.col("_pcount") + F.row_number().over(w))
+
+    b = F.col("best_loss")
     finite = ~F.isnan(b) & ~F.isnan(v)
     new_best = b.isNull() | (finite & (v < b))
-    is_bad = ~new_best & finite & (v > b * F.lit(float(threshold)))
-    x = x.withColumn("is_bad", is_bad).withColumn("_i", F.row_number().over(w))
-    last_good = F.max(F.when(~F.col("is_bad"), F.col("_i"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    x = x.withColumn("bad_streak", (F.col("_i") - F.coalesce(last_good, F.lit(0))).cast("long"))
-    return x.withColumn("should_stop", F.col("bad_streak") >= F.lit(int(patience))).drop("_i")
+    x = x.withColumn("is_bad", ~new_best & finite & (v > b * F.lit(float(threshold))))
+
+    # Second scan: position (_k) of the last good row at or before each row.
+    good_k = F.when(~F.col("is_bad"), F.col("_k"))
+    last = x.groupBy(run, "_c").agg(F.max(good_k).alias("_clast"))
+    last = last.withColumn("_plast", F.max("_clast").over(cw))
+    x = _join_small(x, last.select(run, "_c", "_plast"), [run, "_c"], n_chunks)
+    in_chunk = F.max(good_k).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    last_good = F.coalesce(in_chunk, F.col("_plast"), F.lit(0))
+    x = x.withColumn("bad_streak", (F.col("_k") - last_good).cast("long"))
+    x = x.withColumn("should_stop", F.col("bad_streak") >= F.lit(int(patience)))
+    return x.drop("_c", "_pmin", "_pcount", "_first", "_s0", "_k", "_plast")
 
 
 def stop_steps(div: DataFrame, run: str = "run", step: str = "step") -> DataFrame:
@@ -60,10 +93,16 @@ def stop_steps(div: DataFrame, run: str = "run", step: str = "step") -> DataFram
 def cost_meter(
     metrics: DataFrame, price: float = fixed.GPU_HOUR_PRICE, run: str = "run", ts: str = "ts"
 ) -> DataFrame:
-    """Adds elapsed_hours and cost (elapsed_hours × price per GPU hour)."""
-    t0 = F.min(ts).over(Window.partitionBy(run))
-    hours = F.timestamp_diff("MICROSECOND", t0, F.col(ts)).cast("double") / F.lit(3.6e9)
-    return metrics.withColumn("elapsed_hours", hours).withColumn("cost", F.col("elapsed_hours") * F.lit(float(price)))
+    """Adds elapsed_hours and cost (elapsed_hours × price per GPU hour).
+
+    The start of each run is an aggregate (partial per task) joined back, so
+    rows are never shuffled by run.
+    """
+    starts = metrics.groupBy(run).agg(F.min(ts).alias("_t0"))
+    x = _join_small(metrics, starts, [run], starts.count())
+    hours = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(ts)).cast("double") / F.lit(3.6e9)
+    x = x.withColumn("elapsed_hours", hours).withColumn("cost", F.col("elapsed_hours") * F.lit(float(price)))
+    return x.drop("_t0")
 
 
 def best_checkpoint(

@@ -46,6 +46,7 @@ from .order import global_rank
 RANK, CHUNK, LEN = "_pk_rank", "_pk_chunk", "_pk_len"
 TOTAL, SKIPS, ENTRY = "_pk_total", "_pk_skips", "_pk_entry"
 START, SEP = "pack_start", "pack_sep"
+MAX_BROADCAST_CHUNKS = 1_000_000
 
 
 def _skip_table(lens: np.ndarray, L: int) -> np.ndarray:
@@ -195,8 +196,11 @@ def sample_starts(
         out["length"] = pdf[LEN].to_numpy()
         return out
 
-    # The entry table has one row per chunk (rows / chunk_rows): broadcast it.
-    with_entry = ranked.join(F.broadcast(entries), [*parts, CHUNK])
+    # The entry table has one row per chunk (samples / chunk_rows); its row
+    # count is known, so it is broadcast only under a fixed bound.
+    n_chunks = summary.count()
+    side = F.broadcast(entries) if n_chunks <= MAX_BROADCAST_CHUNKS else entries
+    with_entry = ranked.join(side, [*parts, CHUNK])
     return with_entry.groupBy(*parts, CHUNK).applyInPandas(place, out_schema)
 
 

@@ -1,8 +1,8 @@
 """Role recipes: the role → format/fields/limits table, lookup and rendering.
 
 The recipe table has one row per role (a handful), so it is broadcast with a
-size bound that does not grow with the data. Unknown roles are found by an
-anti join before anything runs and reported with the sorted valid names.
+size bound that does not grow with the data. A record whose role has no
+recipe fails the job in the same pass, naming the sorted valid roles.
 """
 
 from __future__ import annotations
@@ -54,20 +54,18 @@ def recipe_for(role: str, overrides: dict[str, dict] | None = None) -> dict:
 def with_recipe(df: DataFrame, recipe_df: DataFrame, role_col: str = "role") -> DataFrame:
     """Attach format/fields/limits by role (broadcast: one row per role).
 
-    Raises when a role has no recipe or a recipe names an unknown format.
+    A role without a recipe fails the job in the same pass, with the sorted
+    list of valid roles (no extra job over the data). A recipe naming an
+    unknown format is rejected before anything runs.
     """
-    unknown = df.select(role_col).join(
-        F.broadcast(recipe_df.select(F.col("role").alias(role_col))), role_col, "left_anti"
-    ).distinct().limit(20).collect()
-    if unknown:
-        valid = sorted(r.role for r in recipe_df.select("role").collect())
-        raise ValueError(
-            f"Unknown agent {sorted(str(r[0]) for r in unknown)}. Available: {', '.join(valid)}"
-        )
-    bad = recipe_df.filter(~F.col("format").isin(*FORMATS)).select("format").collect()
+    table = recipe_df.collect()  # one row per role
+    bad = [r.format for r in table if r.format not in FORMATS]
     if bad:
-        raise ValueError(f"Unknown format: {bad[0][0]}")
-    return df.join(F.broadcast(recipe_df.withColumnRenamed("role", role_col)), role_col, "inner")
+        raise ValueError(f"Unknown format: {bad[0]}")
+    valid = ", ".join(sorted(r.role for r in table))
+    joined = df.join(F.broadcast(recipe_df.withColumnRenamed("role", role_col)), role_col, "left")
+    unknown = F.raise_error(F.concat(F.lit("Unknown agent '"), F.col(role_col).cast("string"), F.lit(f"'. Available: {valid}")))
+    return joined.withColumn("format", F.when(F.col("format").isNull(), unknown).otherwise(F.col("format")))
 
 
 def remap(df: DataFrame, fields: dict[str, str]) -> DataFrame:

@@ -48,13 +48,25 @@ def metrics_df(spark, runs):
     return spark.createDataFrame(rows, "run long, step long, ts timestamp_ntz, eval_loss double")
 
 
-def test_divergence_batch_literal(spark):
-    got = M.divergence(metrics_df(spark, CASES)).orderBy("run", "step").collect()
+@pytest.mark.parametrize("chunk_steps", [1, 2, 3, 1 << 16])
+def test_divergence_batch_literal(spark, chunk_steps):
+    got = M.divergence(metrics_df(spark, CASES), chunk_steps=chunk_steps).orderBy("run", "step").collect()
     for r, losses in enumerate(CASES):
         mine = [(x.bad_streak, x.should_stop) for x in got if x.run == r]
         assert mine == model(losses), (r, losses)
 
 
+def test_divergence_random_chunks(spark):
+    import random
+
+    rnd = random.Random(3)
+    runs = [[rnd.choice([None, NAN, 0.5, 1.0, 1.4, 1.6, 2.0, 3.0, rnd.random() * 3]) for _ in range(rnd.randint(1, 40))]
+            for _ in range(30)]
+    got = M.divergence(metrics_df(spark, runs), chunk_steps=4).orderBy("run", "step").collect()
+    for r, losses in enumerate(runs):
+        assert [(x.bad_streak, x.should_stop) for x in got if x.run == r] == model(losses)
+
+
 def _stream_dir(spark, df, parts=4):
     d = tempfile.mkdtemp(prefix="metrics-")
     # one file per time slice, so the stream sees several micro-batches in order
