@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..session import materialize
 
 HASH = "_order_hash"
 BUCKET = "_order_bucket"
@@ -52,11 +53,16 @@ def _bucket_offsets(x: DataFrame, parts: Sequence[str]) -> DataFrame:
     return counts.withColumn(OFFSET, F.coalesce(F.sum(COUNT).over(w), F.lit(0)).cast("long"))
 
 
-def _join_offsets(x: DataFrame, offsets: DataFrame, parts: Sequence[str]) -> DataFrame:
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def _join_offsets(x: DataFrame, offsets: DataFrame, parts: Sequence[str], rows: int | None = None) -> DataFrame:
     # Without grouping columns the table has at most 16^k rows: broadcast it.
-    # With groups its size depends on the group count, so leave the choice to
-    # AQE, which broadcasts only after measuring it.
-    side = F.broadcast(offsets) if not parts else offsets
+    # With groups its size depends on the group count: broadcast it when its
+    # row count is known and small, otherwise leave the choice to AQE, which
+    # broadcasts only after measuring it.
+    small = not parts or (rows is not None and rows <= MAX_BROADCAST_ROWS)
+    side = F.broadcast(offsets) if small else offsets
     return x.join(side, [*parts, BUCKET], "inner")
 
 
@@ -133,7 +139,9 @@ def split(
     offsets = offsets.withColumn(
         "_n_eval", F.ceil(F.lit(float(eval_fraction)) * F.sum(COUNT).over(total)).cast("long")
     )
-    labelled = _join_offsets(x, offsets, parts)
+    # Both branches below use the offsets (≤ 16^k rows per group): compute once.
+    offsets = materialize(offsets)
+    labelled = _join_offsets(x, offsets, parts, offsets.count())
     whole = labelled.filter(
         (F.col(OFFSET) + F.col(COUNT) <= F.col("_n_eval")) | (F.col(OFFSET) >= F.col("_n_eval"))
     ).withColumn(out, F.when(F.col(OFFSET) < F.col("_n_eval"), "eval").otherwise("train"))

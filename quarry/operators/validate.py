@@ -54,12 +54,16 @@ def _parse_one(s: str):
     return ("ok", None, list(obj.keys()))
 
 
-@F.pandas_udf(PARSE_TYPE)
-def parse_json_strict(values: pd.Series) -> pd.DataFrame:
+def _parse_batch(values: pd.Series) -> pd.DataFrame:
     rows = [_parse_one(v) for v in values]
     return pd.DataFrame(rows, columns=["status", "error", "keys"])
 
 
+# Marked non-deterministic only so the optimizer does not copy the call into
+# both the filter and the projection above it (it would parse every line twice).
+parse_json_strict = F.pandas_udf(_parse_batch, PARSE_TYPE).asNondeterministic()
+
+
 def _parse_fast(value) -> F.Column:
     keys = F.json_object_keys(value)
     status = (
