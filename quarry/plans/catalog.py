@@ -428,3 +428,66 @@ QUERIES.update(
         "ingest_stream": ingest_stream_files,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Builders over a stream, the prepare pipeline, a user encoder over Arrow
+# ---------------------------------------------------------------------------
+
+
+def stream_records(spark, sf):
+    """code_writer over a file stream of the documents table (stateless builder)."""
+    from ..streaming.monitors import run_available
+
+    docs = _docs(spark, sf)
+    stream = spark.readStream.schema(docs.schema).parquet(f"{sf.rstrip('/')}/document[s].parquet")
+    return run_available(B.code_writer(fx.instructions(stream)), "stream-records")
+
+
+def prepare_blocks(spark, sf):
+    """The whole prepare pipeline (render → split → encode → pack) for code_writer."""
+    from ..operators.recipes import recipe_for
+    from .prepare import prepare
+
+    train, _ = prepare(code_writer_records(spark, sf), recipe_for("code_writer"), max_len=PACK_LEN)
+    return train.select(
+        "block_id",
+        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+        F.md5(F.array_join("labels", ",")).alias("labels_md5"),
+        F.size(F.filter("labels", lambda x: x == -100)).cast("long").alias("separators"),
+        F.size("attention_mask").cast("long").alias("mask_len"),
+    )
+
+
+def word_length_encoder():
+    """A user encoder: one id per whitespace-separated word (its length).
+
+    Stands in for a vocabulary tokenizer (none ships offline); what matters is
+    the path: Python encoder, Arrow batches, one encoder per task.
+    """
+
+    def encode(texts):
+        return [[len(w) for w in t.split()] for t in texts]
+
+    return encode
+
+
+def arrow_encoder_tokens(spark, sf):
+    from ..operators.tokenize import encode_with
+
+    docs = _docs(spark, sf).select(F.col("doc_id").alias("id"), "text")
+    tok = encode_with(docs, word_length_encoder, "text", 512)
+    return tok.select(
+        "id",
+        F.size("input_ids").cast("long").alias("n_tokens"),
+        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+    )
+
+
+QUERIES.update(
+    {
+        "stream_records": stream_records,
+        "prepare_blocks": prepare_blocks,
+        "arrow_encoder_tokens": arrow_encoder_tokens,
+    }
+)

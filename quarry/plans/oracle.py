@@ -536,3 +536,22 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
         "ingest_new_files": "SELECT doc_id, lang FROM documents WHERE lang IS DISTINCT FROM 'en'",
         "ingest_stream": "SELECT doc_id, lang FROM documents",
     }
+
+
+def arrow_encoder_sql() -> str:
+    ids = f"list_transform(list_filter(regexp_split_to_array(text, '[{''.join(chr(c) for c in (9, 10, 11, 12, 13, 32))}]+'), lambda w: w <> ''), lambda w: length(w))"
+    return f"""
+      SELECT id, CAST(len(ids) AS BIGINT) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5
+      FROM (SELECT doc_id AS id, list_slice(coalesce({ids}, []), 1, 512) AS ids FROM documents)"""
+
+
+_base_oracle5 = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - extended registry
+    return {
+        **_base_oracle5(),
+        "stream_records": code_writer_sql(),
+        "prepare_blocks": pack_blocks_sql(),
+        "arrow_encoder_tokens": arrow_encoder_sql(),
+    }
