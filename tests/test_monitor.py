@@ -86,6 +86,19 @@ def test_divergence_stream_equals_batch_single_batch(spark):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
 
 
+def test_divergence_stream_across_micro_batches(spark):
+    runs = [[1.0, 1.6, 1.6, 1.6, 0.5, 0.9, 0.9, 0.9, 0.2], [NAN, 1.0, 2.0], [2.0, 3.1, 3.2, 1.0, 1.9]]
+    df = metrics_df(spark, runs)
+    d = tempfile.mkdtemp(prefix="metrics-")
+    for i, (lo, hi) in enumerate([(1, 2), (3, 4), (5, 7), (8, 9)]):
+        part = df.filter((F.col("step") >= lo) & (F.col("step") <= hi))
+        part.coalesce(1).write.parquet(os.path.join(d, f"f{i}"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(d)
+    got = S.run_available(S.divergence_stream(stream), "t-div-multi").orderBy("run", "step").collect()
+    for r, losses in enumerate(runs):
+        assert [(x.bad_streak, x.should_stop) for x in got if x.run == r] == model(losses)
+
+
 def test_cost_stream_equals_batch_across_files(spark):
     df = metrics_df(spark, [[1.0] * 9, [2.0] * 5])
     d = tempfile.mkdtemp(prefix="metrics-")

@@ -53,7 +53,7 @@ def test_literal_cases(spark, lens):
         assert list(b.attention_mask) == [1] * L
 
 
-@pytest.mark.parametrize("parts,chunk_rows,fanout", [(1, 1 << 20, 1024), (3, 7, 1024), (7, 5, 3), (2, 1, 2)])
+@pytest.mark.parametrize("parts,chunk_rows,fanout", [(1, 1 << 20, 1024), (3, 7, 1024), (7, 5, 3), (2, 1, 2), (64, 16, 4)])
 def test_random_against_sequential(spark, parts, chunk_rows, fanout):
     rnd = random.Random(parts * 31 + chunk_rows)
     for L in (2, 5, 9):
