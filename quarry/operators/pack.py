@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from ..session import materialize
+from ..session import materialize, ship_package
 from .order import global_rank
 
 RANK, CHUNK, LEN = "_pk_rank", "_pk_chunk", "_pk_len"
@@ -163,10 +163,13 @@ def sample_starts(
     stream of its group; ``pack_sep`` = 1 when a separator precedes it.
     """
     spark = df.sparkSession
+    ship_package(spark)
     parts = list(partition_by)
     keys = [key] if isinstance(key, str) else list(key)
     L = int(max_len)
-    light = df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN))
+    # Lengths only (a few bytes per sample), cut from the upstream plan once:
+    # ranking reads them twice (bucket counts, then the in-bucket window).
+    light = materialize(df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN)))
     ranked = global_rank(light, keys, seed, parts, out=RANK)
     # Both passes must see the same ranks; the ranked lengths are four small
     # columns per sample, so they are checkpointed once instead of re-ranked.

@@ -64,6 +64,9 @@ def encode_with(
     """Run a user encoder over Arrow batches (one encoder per worker process)."""
     import pyarrow as pa
 
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
     keep = [f for f in df.schema.fields if f.name != text]
     out_schema = T.StructType([*keep, T.StructField("_ids", IDS)])
     names = [f.name for f in keep]

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean, strip_ws
+from ..session import ship_package
 
 REPORT_SCHEMA = "file string, line long, issue string, detail string"
 PARSE_TYPE = T.StructType(
@@ -79,6 +80,8 @@ def check_lines(lines: DataFrame, required: Sequence[str] | None = None, strict:
 
     ``lines`` has a ``value`` column (raw line); other columns pass through.
     """
+    if strict:
+        ship_package(lines.sparkSession)
     body = lines.filter(clean("value") != F.lit(""))
     v = strip_ws(F.col("value"))
     parsed = body.withColumn("_p", parse_json_strict(v) if strict else _parse_fast(v))

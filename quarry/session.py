@@ -34,6 +34,7 @@ def local_session(master: str = "local[8]", app: str = "quarry", **conf: str) ->
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -71,3 +72,34 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in Python workers (once per application).
+
+    Operators that run Python in tasks (pandas UDFs, applyInPandas, state
+    functions, mapInArrow) pickle functions that refer to this package. The
+    package is zipped and added with ``addPyFile``, which Spark distributes to
+    every executor, so workers do not depend on the driver's working directory.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="quarry-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.join("quarry", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import fixed
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 DIVERGENCE_OUT = T.StructType(
     [
@@ -90,8 +90,10 @@ def divergence_stream(
                 flag = False
             out.append((key[0], seen, v, prev, flag, bad, bad >= patience))
         state.update((best, bad, seen))
-        yield pd.DataFrame(out, columns=[f.name for f in DIVERGENCE_OUT.fields])
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in DIVERGENCE_OUT.fields])
 
+    ship_package(metrics.sparkSession)
     src = metrics.select(metrics[run].cast("long").alias("run"), ts, loss, F.isnull(loss).alias("_null"))
     return src.groupBy("run").applyInPandasWithState(
         update, DIVERGENCE_OUT, DIVERGENCE_STATE, "append", GroupStateTimeout.NoTimeout
@@ -116,8 +118,10 @@ def cost_stream(
             hours = (int(us) - start) / 3.6e9
             out.append((key[0], seen, hours, hours * price))
         state.update((start, seen))
-        yield pd.DataFrame(out, columns=[f.name for f in COST_OUT.fields])
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in COST_OUT.fields])
 
+    ship_package(metrics.sparkSession)
     src = metrics.select(
         metrics[run].cast("long").alias("run"),
         F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts)).alias("_us"),
