@@ -164,3 +164,35 @@ def hash_split(
     """
     frac = F.conv(F.substring(order_hash(key, seed), 1, 8), 16, 10).cast("double") / float(16**8)
     return df.withColumn(out, F.when(frac < F.lit(float(eval_fraction)), "eval").otherwise("train"))
+
+
+def ordinal_rank(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    out: str = "rank",
+    partitions: int | None = None,
+) -> DataFrame:
+    """1-based ``row_number`` per group in ``order_by`` order, safe for hot groups.
+
+    A window partitioned by the group would put a group holding a third of
+    the rows into one task. Instead the rows are range-partitioned on
+    (group, order) — the sampled bounds split a hot group over many tasks —
+    sorted within partitions and checkpointed, so partition contents are
+    fixed. A (partition, group) count table, small (about partitions +
+    groups rows), gives each group's offset in every partition; the rank is
+    that offset plus the row's position in its partition. ``order_by`` must
+    make the order total within a group.
+    """
+    parts, keys = list(partition_by), list(order_by)
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism * 2
+    fixed_parts = materialize(df.repartitionByRange(n, *parts, *keys).sortWithinPartitions(*parts, *keys))
+    x = fixed_parts.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    counts = x.groupBy(*parts, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*parts).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = materialize(counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))))
+    rows = counts.count()
+    side = F.broadcast(counts) if rows <= MAX_BROADCAST_ROWS else counts
+    ranked = x.join(side.select(*parts, "_pid", "_first", "_before"), [*parts, "_pid"])
+    ranked = ranked.withColumn(out, (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long"))
+    return ranked.drop("_pid", "_mid", "_first", "_before")

@@ -114,13 +114,15 @@ def functions(documents: DataFrame) -> DataFrame:
 
 
 def metrics(events: DataFrame) -> DataFrame:
-    """run = user_id, step = rank of ts within the run, ts, eval_loss = value."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return events.select(
-        F.col("user_id").alias("run"),
-        F.row_number().over(w).cast("long").alias("step"),
-        F.col("ts"),
-        F.col("value").alias("eval_loss"),
+    """run = user_id, step = rank of (ts, event_id) within the run, ts, eval_loss = value.
+
+    Steps come from ``order.ordinal_rank``, not a window per run, so one
+    user holding a large share of the events does not land in one task.
+    """
+    from ..operators.order import ordinal_rank
+
+    base = events.select(
+        F.col("user_id").alias("run"), F.col("ts"), F.col("event_id"), F.col("value").alias("eval_loss")
     )
+    ranked = ordinal_rank(base, ["run"], ["ts", "event_id"], out="step")
+    return ranked.select("run", "step", "ts", "eval_loss")

@@ -71,3 +71,13 @@ def test_rank_plan_has_no_single_partition_window_over_data(ids_df):
 
 def test_shuffle_is_a_global_sort(ids_df):
     assert "rangepartitioning" in plan(order.shuffle(ids_df, "k")).lower()
+
+
+def test_ordinal_rank_hot_group(spark):
+    # group 0 holds most rows; ranks must equal a per-group row_number
+    rows = [(0 if i % 10 else 1 + i % 7, (i * 7919) % 5000, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g long, t long, i long")
+    got = {(r.g, r.i): r.rank for r in order.ordinal_rank(df, ["g"], ["t", "i"], partitions=13).collect()}
+    for g in {r[0] for r in rows}:
+        members = sorted((t, i) for gg, t, i in rows if gg == g)
+        assert [got[(g, i)] for _, i in members] == list(range(1, len(members) + 1))
