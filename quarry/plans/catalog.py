@@ -198,14 +198,14 @@ def event_lines(events: DataFrame) -> DataFrame:
 
 
 def validation_report(spark, sf):
-    from ..operators.validate import validate_lines
+    from ..operators.integrity import validate_lines
 
     failures, _ = validate_lines(event_lines(fx.table(spark, sf, "events")), REQUIRED_KEYS)
     return failures.select("file", "line", "issue")
 
 
 def validation_counts(spark, sf):
-    from ..operators.validate import validate_lines
+    from ..operators.integrity import validate_lines
 
     _, counts = validate_lines(event_lines(fx.table(spark, sf, "events")), REQUIRED_KEYS)
     return counts
@@ -392,7 +392,7 @@ def stream_records(spark, sf):
 def prepare_blocks(spark, sf):
     """The whole prepare pipeline (render → split → encode → pack) for code_writer."""
     from ..operators.recipes import recipe_for
-    from .prepare import prepare
+    from .training_set import prepare
 
     train, _ = prepare(code_writer_records(spark, sf), recipe_for("code_writer"), max_len=PACK_LEN)
     return train.select(

@@ -127,7 +127,7 @@ def test_user_encoder_through_arrow(spark):
 
 def test_prepare_pipeline(spark):
     from quarry.operators.recipes import recipe_for
-    from quarry.plans.prepare import prepare
+    from quarry.plans.training_set import prepare
 
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     recs = docs.select(F.col("doc_id").alias("id"), F.lit("i").alias("instruction"), F.lit("").alias("input"), F.col("text").alias("output"))

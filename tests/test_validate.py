@@ -6,7 +6,7 @@ import tempfile
 
 import pytest
 
-from quarry.operators import validate as V
+from quarry.operators import integrity as V
 
 
 def write(dirpath, name, data: bytes):
