@@ -185,7 +185,7 @@ def ordinal_rank(
     make the order total within a group.
     """
     parts, keys = list(partition_by), list(order_by)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism * 2
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     fixed_parts = materialize(df.repartitionByRange(n, *parts, *keys).sortWithinPartitions(*parts, *keys))
     x = fixed_parts.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = x.groupBy(*parts, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))

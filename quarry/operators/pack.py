@@ -104,12 +104,14 @@ def _fold_rows(rows, parts: list[str], key_col: str, L: int) -> list[tuple]:
     return out
 
 
-def _entries(spark: SparkSession, table: DataFrame, parts: list[str], key_col: str, L: int, fanout: int) -> DataFrame:
+def _entries(
+    spark: SparkSession, table: DataFrame, parts: list[str], key_col: str, L: int, fanout: int, n: int | None = None
+) -> DataFrame:
     """Entry position of every row of a (parts, key_col, total, skips) table."""
     entry_schema = T.StructType(
         [*_fields(table, parts), T.StructField(key_col, T.LongType()), T.StructField(ENTRY, T.LongType())]
     )
-    n = table.count()
+    n = table.count() if n is None else n
     if n <= fanout:
         return spark.createDataFrame(_fold_rows(table.collect(), parts, key_col, L), entry_schema)
 
@@ -176,7 +178,8 @@ def sample_starts(
     ranked = materialize(ranked.withColumn(CHUNK, F.floor((F.col(RANK) - 1) / chunk_rows).cast("long")))
 
     summary = materialize(_summaries(ranked, parts, L))
-    entries = _entries(spark, summary, parts, CHUNK, L, fanout)
+    n_chunks = summary.count()
+    entries = _entries(spark, summary, parts, CHUNK, L, fanout, n_chunks)
 
     out_schema = T.StructType(
         [*_fields(ranked, parts), *_fields(ranked, keys), T.StructField(START, T.LongType()),
@@ -201,7 +204,6 @@ def sample_starts(
 
     # The entry table has one row per chunk (samples / chunk_rows); its row
     # count is known, so it is broadcast only under a fixed bound.
-    n_chunks = summary.count()
     side = F.broadcast(entries) if n_chunks <= MAX_BROADCAST_CHUNKS else entries
     with_entry = ranked.join(side, [*parts, CHUNK])
     return with_entry.groupBy(*parts, CHUNK).applyInPandas(place, out_schema)

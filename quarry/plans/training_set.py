@@ -1,8 +1,8 @@
 """Prepare one role's records for training: render → split → encode → pack.
 
 ``prepare(records, recipe)`` returns (train, eval) DataFrames. The eval side
-is an optional second source (used as is) or the first ceil(f × n) rows of
-the repeatable order; the train side is packed into fixed-length blocks when
+is an optional second source (a DataFrame, or a JSONL path used only when it
+exists) or else the first ceil(f × n) rows of the repeatable order; the train side is packed into fixed-length blocks when
 the recipe says so (eval is never packed).
 """
 
@@ -24,6 +24,7 @@ def prepare(
     recipe: dict,
     key: str = "id",
     eval_records: DataFrame | None = None,
+    eval_path: str | None = None,
     eval_fraction: float = fixed.EVAL_FRACTION,
     seed: int = fixed.SEED,
     encoder_factory=None,
@@ -31,6 +32,16 @@ def prepare(
     max_len: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     L = int(max_len or recipe["max_seq_length"])
+    if eval_records is None and eval_path:
+        # An external eval file is used only when it exists; otherwise split.
+        from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_jsonl
+        from ..sources.tables import has_files
+
+        if has_files(records.sparkSession, eval_path):
+            schema = CHAT_SCHEMA if recipe["format"] == "chat" else INSTRUCTION_SCHEMA
+            eval_records = read_jsonl(records.sparkSession, eval_path, schema).withColumn(
+                key, F.monotonically_increasing_id()
+            )
     text = render_records(records, recipe, key)
     if eval_records is not None:
         train, ev = text, render_records(eval_records, recipe, key)

@@ -138,6 +138,13 @@ def test_prepare_pipeline(spark):
     assert blocks and all(len(b.input_ids) == 64 for b in blocks)
     train2, _ = prepare(recs, recipe_for("static_reviewer") | {"format": "instruction"}, max_len=64)
     assert train2.count() == n - ev.count()  # not packed
+    d = tempfile.mkdtemp(prefix="eval-")
+    with open(os.path.join(d, "e.jsonl"), "w") as f:
+        f.write('{"instruction": "a", "input": "", "output": "b"}\n{"instruction": "c", "input": "", "output": "d"}\n')
+    _, ev2 = prepare(recs, recipe_for("code_writer"), max_len=64, eval_path=d)
+    assert ev2.count() == 2
+    _, ev3 = prepare(recs, recipe_for("code_writer"), max_len=64, eval_path=os.path.join(d, "missing"))
+    assert ev3.count() == ev.count()
 
 
 def test_entry_and_registry(spark):
