@@ -100,12 +100,13 @@ def split_stats(spark, sf):
 
 def role_sources(spark, sf) -> dict[str, DataFrame]:
     docs, conv = _docs(spark, sf), _conv(spark, sf)
+    chats = fx.chats(conv)  # one plan for both chat roles, so the exchange can be reused
     return {
         "code_writer": fx.instructions(docs),
         "test_generator": fx.unit_tests(docs),
-        "static_reviewer": fx.chats(conv),
+        "static_reviewer": chats,
         "security_auditor": fx.security_pairs(docs),
-        "performance_optimizer": fx.chats(conv),
+        "performance_optimizer": chats,
         "docs_generator": fx.functions(docs),
     }
 
