@@ -105,8 +105,9 @@ def test_remap_fields(spark):
 def test_byte_encoder_matches_python(spark):
     texts = ["héllo", "", None, "\U0001F600x", "a" * 50]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
-    got = {r.id: list(r.input_ids) for r in K.byte_encode(df, "text", 8).collect()}
-    assert got == {i: list((t or "").encode())[:8] for i, t in enumerate(texts)}
+    for engine in ("arrow", "jvm"):
+        got = {r.id: list(r.input_ids) for r in K.byte_encode(df, "text", 8, engine=engine).collect()}
+        assert got == {i: list((t or "").encode())[:8] for i, t in enumerate(texts)}
 
 
 def _whitespace_encoder():
