@@ -157,7 +157,7 @@ def sample_starts(
     partition_by: Sequence[str] = (),
     ids: str = "input_ids",
     chunk_rows: int = 1 << 20,
-    fanout: int = 1024,
+    fanout: int = 256,
 ) -> DataFrame:
     """(parts..., key, pack_start, pack_sep, length) for every sample.
 
@@ -217,7 +217,7 @@ def pack(
     seed: int = fixed.SEED,
     partition_by: Sequence[str] = (),
     chunk_rows: int = 1 << 20,
-    fanout: int = 1024,
+    fanout: int = 256,
 ) -> DataFrame:
     """Packed blocks: (parts..., block_id, input_ids, attention_mask, labels).
 
