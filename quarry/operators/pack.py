@@ -218,14 +218,21 @@ def pack(
     partition_by: Sequence[str] = (),
     chunk_rows: int = 1 << 20,
     fanout: int = 256,
+    materialize_input: bool = False,
 ) -> DataFrame:
     """Packed blocks: (parts..., block_id, input_ids, attention_mask, labels).
 
     ``df`` holds ``input_ids`` and ``labels`` (already truncated to max_len).
+    The input is read twice (lengths, then tokens). With an expensive encoder
+    upstream, ``materialize_input`` checkpoints the token arrays once so the
+    encoder runs once per text; with a cheap one, recomputing is cheaper than
+    writing the tokens.
     """
     parts = list(partition_by)
     keys = [key] if isinstance(key, str) else list(key)
     L = int(max_len)
+    if materialize_input:
+        df = materialize(df.select(*parts, *keys, "input_ids", "labels"))
     starts = sample_starts(df, keys, L, seed, parts, "input_ids", chunk_rows, fanout)
     tokens = df.select(*parts, *keys, "input_ids", "labels").join(
         starts.select(*parts, *keys, START, SEP), [*parts, *keys]

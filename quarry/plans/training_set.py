@@ -57,5 +57,8 @@ def prepare(
 
     train_tok, eval_tok = encode(train), encode(ev)
     if recipe.get("packing"):
-        train_tok = pack.pack(train_tok, key, L, tokenize.eos_id(eos_id), seed)
+        # A user encoder is the costly step: checkpoint its output once.
+        train_tok = pack.pack(
+            train_tok, key, L, tokenize.eos_id(eos_id), seed, materialize_input=encoder_factory is not None
+        )
     return train_tok, eval_tok
