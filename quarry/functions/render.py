@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,3 +36,23 @@ def render_chat(messages) -> Column:
         ),
         fixed.CHAT_JOIN,
     )
+
+
+def chat_template_udf(template_factory: Callable[[], Callable[[list[dict]], str]]):
+    """A user chat template (messages → text) as an Arrow-batched UDF.
+
+    ``template_factory`` is called once per batch call on the worker (build
+    the template object there, not per row); each row's messages arrive as a
+    list of {"role", "content"} dicts.
+    """
+
+    @F.pandas_udf("string")
+    def render(messages: pd.Series) -> pd.Series:
+        template = template_factory()
+        out = []
+        for ms in messages:
+            rows = [] if ms is None else [{"role": m["role"], "content": m["content"]} for m in ms]
+            out.append(template(rows))
+        return pd.Series(out)
+
+    return render

@@ -73,14 +73,25 @@ def remap(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(fields.get(k, k)).alias(k) for k in fields])
 
 
-def render(df: DataFrame, recipe: dict, out: str = "text") -> DataFrame:
-    """Render one role's records to prompt text (plan-time format dispatch)."""
+def render(df: DataFrame, recipe: dict, out: str = "text", chat_template=None) -> DataFrame:
+    """Render one role's records to prompt text (plan-time format dispatch).
+
+    Chat records use ``chat_template`` (a factory of messages → text, run in
+    Arrow batches) when given, else the plain "<|role|>" rendering.
+    """
     fmt, fields = recipe["format"], recipe["fields"]
     if fmt == "instruction":
         c = [F.col(fields.get(k, k)) for k in ("instruction", "input", "output")]
         return df.withColumn(out, render_instruction(*c))
     if fmt == "chat":
-        return df.withColumn(out, render_chat(F.col(fields.get("messages", "messages"))))
+        messages = F.col(fields.get("messages", "messages"))
+        if chat_template is not None:
+            from ..functions.render import chat_template_udf
+            from ..session import ship_package
+
+            ship_package(df.sparkSession)
+            return df.withColumn(out, chat_template_udf(chat_template)(messages))
+        return df.withColumn(out, render_chat(messages))
     raise ValueError(f"Unknown format: {fmt}")
 
 

@@ -15,8 +15,8 @@ from .. import fixed
 from ..operators import order, pack, recipes, tokenize
 
 
-def render_records(records: DataFrame, recipe: dict, key: str = "id") -> DataFrame:
-    return recipes.render(records, recipe).select(key, "text")
+def render_records(records: DataFrame, recipe: dict, key: str = "id", chat_template=None) -> DataFrame:
+    return recipes.render(records, recipe, chat_template=chat_template).select(key, "text")
 
 
 def prepare(
@@ -30,6 +30,7 @@ def prepare(
     encoder_factory=None,
     eos_id: int | None = None,
     max_len: int | None = None,
+    chat_template=None,
 ) -> tuple[DataFrame, DataFrame]:
     L = int(max_len or recipe["max_seq_length"])
     if eval_records is None and eval_path:
@@ -42,9 +43,9 @@ def prepare(
             eval_records = read_jsonl(records.sparkSession, eval_path, schema).withColumn(
                 key, F.monotonically_increasing_id()
             )
-    text = render_records(records, recipe, key)
+    text = render_records(records, recipe, key, chat_template)
     if eval_records is not None:
-        train, ev = text, render_records(eval_records, recipe, key)
+        train, ev = text, render_records(eval_records, recipe, key, chat_template)
     else:
         split = order.split(text, key, eval_fraction, seed)
         train = split.filter(F.col("split") == "train").drop("split")

@@ -153,3 +153,22 @@ def test_entry_and_registry(spark):
 
     assert E.entry(spark).count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def _bracket_template():
+    def template(messages):
+        return "".join(f"[{m['role']}]{m['content']}[/]" for m in messages)
+
+    return template
+
+
+def test_chat_template_hook(spark):
+    df = spark.createDataFrame(
+        [(1, [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "yo"}]), (2, [])],
+        "id long, messages array<struct<role:string,content:string>>",
+    )
+    rec = R.recipe_for("static_reviewer")
+    got = {r.id: r.text for r in R.render(df, rec, chat_template=_bracket_template).collect()}
+    assert got == {1: "[user]hi[/][assistant]yo[/]", 2: ""}
+    plain = {r.id: r.text for r in R.render(df, rec).collect()}
+    assert plain[1] == "<|user|>\nhi\n<|assistant|>\nyo"
