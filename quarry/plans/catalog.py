@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import fixed
 from ..functions.docstring import with_docstring_stripped

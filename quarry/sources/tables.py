@@ -17,7 +17,6 @@ from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import fixed
 
