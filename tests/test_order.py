@@ -81,3 +81,18 @@ def test_ordinal_rank_hot_group(spark):
     for g in {r[0] for r in rows}:
         members = sorted((t, i) for gg, t, i in rows if gg == g)
         assert [got[(g, i)] for _, i in members] == list(range(1, len(members) + 1))
+
+
+def test_hash_split_same_on_stream_and_batch(spark):
+    import os
+    import tempfile
+
+    from quarry.streaming.monitors import run_available
+
+    d = tempfile.mkdtemp(prefix="split-stream-")
+    src = spark.range(300).withColumnRenamed("id", "k")
+    src.repartition(3).write.parquet(os.path.join(d, "in"))
+    stream = spark.readStream.schema(src.schema).parquet(os.path.join(d, "in"))
+    got = {r.k: r.split for r in run_available(order.hash_split(stream, "k"), "t-split").collect()}
+    exp = {r.k: r.split for r in order.hash_split(src, "k").collect()}
+    assert got == exp and "eval" in got.values()
