@@ -6,6 +6,10 @@ divergence monitor and the start time for the cost meter. Rows of a run are
 sorted by time inside each micro-batch; runs are assumed to arrive in time
 order across micro-batches (one writer per run's log).
 
+With ``idle_timeout_ms`` a run's state is dropped once the event-time
+watermark passes its last row by that long, so finished runs free their
+state; rows later than the watermark are then late data and dropped.
+
 Results are written with ``availableNow`` to a table in the shared folder
 (``spark.checkpoint.dir``) together with the stream checkpoint, so a restart
 resumes and nothing passes through the driver.
@@ -49,6 +53,27 @@ COST_OUT = T.StructType(
 COST_STATE = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("seen", T.LongType())])
 
 
+def _epoch_us(ts: str) -> F.Column:
+    """Microseconds since the epoch of a wall-clock (timestamp_ntz) value."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+
+
+def _with_idle_timeout(src: DataFrame, idle_timeout_ms: int | None):
+    """Event-time column + watermark for state eviction (time-zone free:
+    the watermark column and the timeouts both derive from ``_us``)."""
+    if not idle_timeout_ms:
+        return src, GroupStateTimeout.NoTimeout
+    src = src.withColumn("_event", F.timestamp_micros("_us")).withWatermark(
+        "_event", f"{int(idle_timeout_ms)} milliseconds"
+    )
+    return src, GroupStateTimeout.EventTimeTimeout
+
+
+def _touch(state: GroupState, rows: pd.DataFrame, idle_timeout_ms: int | None) -> None:
+    if idle_timeout_ms and len(rows):
+        state.setTimeoutTimestamp(int(rows["_us"].max()) // 1000 + int(idle_timeout_ms))
+
+
 def _rows(pdfs: Iterator[pd.DataFrame], ts: str) -> pd.DataFrame:
     frames = [p for p in pdfs if len(p)]
     if not frames:
@@ -63,10 +88,19 @@ def divergence_stream(
     run: str = "run",
     ts: str = "ts",
     loss: str = "eval_loss",
+    idle_timeout_ms: int | None = None,
 ) -> DataFrame:
-    """Streaming twin of ``operators.monitor.divergence`` (step = arrival rank)."""
+    """Streaming twin of ``operators.monitor.divergence`` (step = arrival rank).
+
+    ``idle_timeout_ms``: drop a run's state once the event-time watermark
+    passes its last row by that much (rows later than the watermark are then
+    dropped as late data). Without it, state is kept for every run.
+    """
 
     def update(key, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         best, bad, seen = (None, 0, 0)
         if state.exists:
             best, bad, seen = state.get
@@ -90,22 +124,31 @@ def divergence_stream(
                 flag = False
             out.append((key[0], seen, v, prev, flag, bad, bad >= patience))
         state.update((best, bad, seen))
+        _touch(state, rows, idle_timeout_ms)
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in DIVERGENCE_OUT.fields])
 
     ship_package(metrics.sparkSession)
-    src = metrics.select(metrics[run].cast("long").alias("run"), ts, loss, F.isnull(loss).alias("_null"))
-    return src.groupBy("run").applyInPandasWithState(
-        update, DIVERGENCE_OUT, DIVERGENCE_STATE, "append", GroupStateTimeout.NoTimeout
+    src = metrics.select(
+        metrics[run].cast("long").alias("run"), ts, loss, F.isnull(loss).alias("_null"), _epoch_us(ts).alias("_us")
     )
+    src, timeout = _with_idle_timeout(src, idle_timeout_ms)
+    return src.groupBy("run").applyInPandasWithState(update, DIVERGENCE_OUT, DIVERGENCE_STATE, "append", timeout)
 
 
 def cost_stream(
-    metrics: DataFrame, price: float = fixed.GPU_HOUR_PRICE, run: str = "run", ts: str = "ts"
+    metrics: DataFrame,
+    price: float = fixed.GPU_HOUR_PRICE,
+    run: str = "run",
+    ts: str = "ts",
+    idle_timeout_ms: int | None = None,
 ) -> DataFrame:
     """Streaming twin of ``operators.monitor.cost_meter`` (start = first row)."""
 
     def update(key, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         start, seen = (None, 0)
         if state.exists:
             start, seen = state.get
@@ -118,17 +161,14 @@ def cost_stream(
             hours = (int(us) - start) / 3.6e9
             out.append((key[0], seen, hours, hours * price))
         state.update((start, seen))
+        _touch(state, rows, idle_timeout_ms)
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in COST_OUT.fields])
 
     ship_package(metrics.sparkSession)
-    src = metrics.select(
-        metrics[run].cast("long").alias("run"),
-        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts)).alias("_us"),
-    )
-    return src.groupBy("run").applyInPandasWithState(
-        update, COST_OUT, COST_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    src = metrics.select(metrics[run].cast("long").alias("run"), _epoch_us(ts).alias("_us"))
+    src, timeout = _with_idle_timeout(src, idle_timeout_ms)
+    return src.groupBy("run").applyInPandasWithState(update, COST_OUT, COST_STATE, "append", timeout)
 
 
 def run_available(stream: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:

@@ -94,7 +94,7 @@ def test_divergence_stream_across_micro_batches(spark):
         part = df.filter((F.col("step") >= lo) & (F.col("step") <= hi))
         part.coalesce(1).write.parquet(os.path.join(d, f"f{i}"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(d)
-    got = S.run_available(S.divergence_stream(stream), "t-div-multi").orderBy("run", "step").collect()
+    got = S.run_available(S.divergence_stream(stream, idle_timeout_ms=3_600_000), "t-div-multi").orderBy("run", "step").collect()
     for r, losses in enumerate(runs):
         assert [(x.bad_streak, x.should_stop) for x in got if x.run == r] == model(losses)
 
@@ -105,7 +105,7 @@ def test_cost_stream_equals_batch_across_files(spark):
     for i, (lo, hi) in enumerate([(1, 3), (4, 6), (7, 9)]):
         df.filter((F.col("step") >= lo) & (F.col("step") <= hi)).coalesce(1).write.parquet(os.path.join(d, f"f{i}"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(d)
-    got = S.run_available(S.cost_stream(stream, price=1.14), "t-cost")
+    got = S.run_available(S.cost_stream(stream, price=1.14, idle_timeout_ms=3_600_000), "t-cost")
     batch = M.cost_meter(df, price=1.14)
     a = sorted((r.run, r.step, round(r.cost, 9)) for r in got.collect())
     b = sorted((r.run, r.step, round(r.cost, 9)) for r in batch.collect())
@@ -123,3 +123,22 @@ def test_stop_steps(spark):
     got = {r.run: r.stop_step for r in M.stop_steps(M.divergence(metrics_df(spark, CASES))).collect()}
     assert got == {0: 4, 3: 5, 5: 5, 6: 5, 7: 5}
     assert all(not math.isnan(v) for v in got.values())
+
+
+def test_idle_runs_lose_their_state(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "run long, step long, ts timestamp_ntz, eval_loss double"
+    batches = [
+        [(0, 1, t0, 1.0), (0, 2, t0 + dt.timedelta(minutes=1), 2.0), (1, 1, t0, 1.0)],
+        [(1, 2, t0 + dt.timedelta(hours=3), 1.0)],   # moves the watermark past run 0's timeout
+        [(1, 3, t0 + dt.timedelta(hours=3, minutes=1), 1.0)],  # timeout of run 0 fires here
+        [(0, 3, t0 + dt.timedelta(hours=4), 9.0)],   # run 0 again: starts from empty state
+    ]
+    d = tempfile.mkdtemp(prefix="idle-")
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(d, f"b{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(d)
+    got = S.run_available(S.divergence_stream(stream, idle_timeout_ms=3_600_000), "t-idle").collect()
+    run0 = sorted((r.step, r.eval_loss, r.best_loss) for r in got if r.run == 0)
+    # the last row of run 0 is counted from 1 again and has no best before it
+    assert run0 == [(1, 1.0, None), (1, 9.0, None), (2, 2.0, 1.0)]
