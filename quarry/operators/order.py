@@ -56,6 +56,22 @@ def _bucket_offsets(x: DataFrame, parts: Sequence[str]) -> DataFrame:
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+def _bounded_offsets(x: DataFrame, parts: Sequence[str], keep: Column | None = None):
+    """The offset table and, with grouping columns, its checked row count.
+
+    Without groups the table has at most 16^k rows by construction. With
+    groups it is checkpointed and counted, so the broadcast decision rests on
+    a measured size.
+    """
+    offsets = _bucket_offsets(x, parts)
+    if keep is not None:
+        offsets = offsets.filter(keep)
+    if not parts:
+        return offsets, None
+    offsets = materialize(offsets)
+    return offsets, offsets.count()
+
+
 def _join_offsets(x: DataFrame, offsets: DataFrame, parts: Sequence[str], rows: int | None = None) -> DataFrame:
     # Without grouping columns the table has at most 16^k rows: broadcast it.
     # With groups its size depends on the group count: broadcast it when its
@@ -87,7 +103,8 @@ def global_rank(
     """1-based rank of every row in (md5, key) order, per ``partition_by`` group."""
     parts = list(partition_by)
     x = _with_bucket(df, key, seed, bucket_hex)
-    ranked = _rank_in_bucket(_join_offsets(x, _bucket_offsets(x, parts), parts), parts, key, out)
+    offsets, rows = _bounded_offsets(x, parts)
+    ranked = _rank_in_bucket(_join_offsets(x, offsets, parts, rows), parts, key, out)
     return ranked.drop(HASH, BUCKET, OFFSET, COUNT)
 
 
@@ -111,9 +128,9 @@ def sample_n(
         return df if rank_col is None else global_rank(df, key, seed, partition_by, rank_col, bucket_hex)
     parts = list(partition_by)
     x = _with_bucket(df, key, seed, bucket_hex)
-    offsets = _bucket_offsets(x, parts).filter(F.col(OFFSET) < F.lit(n))
+    offsets, rows = _bounded_offsets(x, parts, F.col(OFFSET) < F.lit(n))
     out = rank_col or "_rank"
-    ranked = _rank_in_bucket(_join_offsets(x, offsets, parts), parts, key, out)
+    ranked = _rank_in_bucket(_join_offsets(x, offsets, parts, rows), parts, key, out)
     ranked = ranked.filter(F.col(out) <= F.lit(n)).drop(HASH, BUCKET, OFFSET, COUNT)
     return ranked if rank_col else ranked.drop(out)
 

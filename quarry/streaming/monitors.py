@@ -171,9 +171,14 @@ def cost_stream(
     return src.groupBy("run").applyInPandasWithState(update, COST_OUT, COST_STATE, "append", timeout)
 
 
-def run_available(stream: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+def run_available(
+    stream: DataFrame, name: str, spark: SparkSession | None = None, timeout_s: float = 6 * 3600
+) -> DataFrame:
     """Process everything available now into a parquet table in the shared
-    folder (with its checkpoint) and return that table as a batch DataFrame."""
+    folder (with its checkpoint) and return that table as a batch DataFrame.
+
+    The wait is bounded: a query still running after ``timeout_s`` is stopped
+    and reported (it resumes from its checkpoint when started again)."""
     spark = spark or stream.sparkSession
     base = scratch_path(spark, name)
     query = (
@@ -183,7 +188,9 @@ def run_available(stream: DataFrame, name: str, spark: SparkSession | None = Non
         .trigger(availableNow=True)
         .start(f"{base}/data")
     )
-    query.awaitTermination()
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {name} did not finish within {timeout_s} s")
     if query.exception():
         raise RuntimeError(str(query.exception()))
     return spark.read.parquet(f"{base}/data")
