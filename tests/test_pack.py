@@ -80,3 +80,17 @@ def test_skip_table_matches_replay():
                     pos += 1
                 pos += n
             assert table[e] == skips
+
+
+def test_positions_restart_per_role(spark):
+    rnd = random.Random(11)
+    L = 6
+    rows = [(i, "ab"[i % 2], [100 + i] * rnd.randint(0, L)) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, role string, input_ids array<int>").withColumn("labels", F.col("input_ids"))
+    both = P.pack(df, "id", L, eos_id=7, partition_by=["role"], chunk_rows=9, fanout=2).collect()
+    for role in "ab":
+        sub = df.filter(F.col("role") == role).drop("role")
+        alone = P.pack(sub, "id", L, eos_id=7).orderBy("block_id").collect()
+        mine = sorted((b for b in both if b.role == role), key=lambda b: b.block_id)
+        assert [list(b.input_ids) for b in mine] == [list(b.input_ids) for b in alone]
+        assert [b.block_id for b in mine] == [b.block_id for b in alone]
