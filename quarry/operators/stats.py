@@ -20,11 +20,13 @@ def role_counts(df: DataFrame, role_col: str = "role") -> DataFrame:
 
 
 def dataset_stats(lines: DataFrame, role_col: str = "role", line_col: str = "line") -> DataFrame:
-    """Per role: records, bytes on disk (UTF-8 line + newline), and a total row.
+    """Per role: records, bytes on disk (UTF-8 line + newline), and a total row
+    whose ``datasets`` is the number of roles with records.
 
     ``lines`` holds one serialised record per row, as written to JSONL.
     """
     return lines.rollup(role_col).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(F.octet_length(F.col(line_col)) + 1).cast("long").alias("bytes"),
+        F.count_distinct(role_col).alias("datasets"),
     )

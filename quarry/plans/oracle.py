@@ -274,7 +274,8 @@ def dataset_stats_sql() -> str:
                 FROM ({renamed_turns_sql()}))
           WHERE content <> '' AND id IN (SELECT id FROM ({review_sql()}))
           GROUP BY id))
-      SELECT role, CAST(count(*) AS BIGINT) AS records, CAST(sum(octet_length(encode(CAST(line AS VARCHAR))) + 1) AS BIGINT) AS bytes
+      SELECT role, CAST(count(*) AS BIGINT) AS records, CAST(sum(octet_length(encode(CAST(line AS VARCHAR))) + 1) AS BIGINT) AS bytes,
+             CAST(count(DISTINCT role) AS BIGINT) AS datasets
       FROM lines GROUP BY ROLLUP (role)"""
 
 
