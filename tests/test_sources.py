@@ -172,3 +172,16 @@ def test_chat_template_hook(spark):
     assert got == {1: "[user]hi[/][assistant]yo[/]", 2: ""}
     plain = {r.id: r.text for r in R.render(df, rec).collect()}
     assert plain[1] == "<|user|>\nhi\n<|assistant|>\nyo"
+
+
+def test_read_source_split_and_role_counts(spark):
+    from quarry.operators.stats import role_counts
+
+    d = tempfile.mkdtemp(prefix="src-")
+    spark.range(3).write.parquet(os.path.join(d, "train"))
+    spark.range(5).write.parquet(os.path.join(d, "test"))
+    assert tables.read_source(spark, d, "train").count() == 3
+    assert tables.read_source(spark, f"file://{d}", "test").count() == 5
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "role string")
+    got = {r.role: r.records for r in role_counts(df).collect()}
+    assert got == {"a": 2, "b": 1, None: 3}
