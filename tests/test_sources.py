@@ -72,6 +72,9 @@ def test_incremental_ingest(spark):
     assert sorted(r.instruction for r in rows.collect()) == ["a", "b"]
     ingest.commit(new, manifest)
     assert ingest.new_files(spark, src, manifest).count() == 0
+    with open(os.path.join(src, "b", "same.jsonl"), "w") as f:
+        f.write('{"instruction": "c"}\n')  # same size, other content: counted as synced
+    assert ingest.new_files(spark, src, manifest).count() == 0
     with open(os.path.join(src, "a", "same.jsonl"), "a") as f:
         f.write('{"instruction": "a2"}\n')  # size changed: ingested again
     assert ingest.new_files(spark, src, manifest).count() == 1
