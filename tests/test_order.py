@@ -96,3 +96,10 @@ def test_hash_split_same_on_stream_and_batch(spark):
     got = {r.k: r.split for r in run_available(order.hash_split(stream, "k"), "t-split").collect()}
     exp = {r.k: r.split for r in order.hash_split(src, "k").collect()}
     assert got == exp and "eval" in got.values()
+
+
+def test_sample_n_per_group(ids_df):
+    got = order.sample_n(ids_df, "k", 7, partition_by=["g"], rank_col="r").collect()
+    for g in range(3):
+        exp = md5_order([k for k in range(1000) if k % 3 == g])[:7]
+        assert [r.k for r in sorted((x for x in got if x.g == g), key=lambda x: x.r)] == exp
