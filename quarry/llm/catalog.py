@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, oracle, simhash
+from ..session import scratch_path
+from . import dac, line_dedup, mix, oracle, pack, simhash
 from .common import table
 
 
@@ -15,13 +16,28 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=3)
 
 
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = mix.mix(table(spark, sf_dir, "documents"))
+    return mix.range_sorted(x, "position", "doc_id").select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack_documents(table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return x.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2("_lines.text", 256).alias("kept_sha256"))
 
 
+def op7_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "codes")
+    dac.write_documents(table(spark, sf_dir, "documents"), path, end_id=2)
+    return dac.read_documents(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op5_line_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op3_mix, op4_best_fit_packing, op5_line_dedup, op7_token_codes)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -65,6 +65,25 @@ def bytes_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+def id_cuts(ids: DataFrame, n: int) -> list[int]:
+    """At most n - 1 ids that cut the table (column doc_id) into n ranges of about equal rows."""
+    q = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).first()[0] if n > 1 else None
+    return sorted(set(q or []))
+
+
+def range_of(c: Column, cuts: list[int], base: int = 0) -> Column:
+    """Number of cuts at or below the id, by a tree of comparisons; null ids: -1."""
+    if not cuts:
+        return F.lit(base)
+    k = len(cuts) // 2
+    tree = F.when(c < cuts[k], range_of(c, cuts[:k], base)).otherwise(range_of(c, cuts[k + 1 :], base + k + 1))
+    return F.coalesce(F.when(c.isNull(), -1), tree) if base == 0 else tree
+
+
+def tasks(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 # ---- words and their hashes over whole batches ---------------------------------------------
 
 _FOLD = np.arange(256, dtype=np.uint8)

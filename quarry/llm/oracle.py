@@ -21,6 +21,35 @@ kept AS (
   FROM marked GROUP BY doc_id)
 """
 
+_MIX = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('42:' || doc_id) AS k FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sizes),
+weighed AS (SELECT *, rank % 3 AS class, rank % 3 + 1 AS w, 3 * source_size AS stop FROM ranked),
+shares AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(stop) OVER b, 0))::DOUBLE
+            / (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::DOUBLE AS level,
+    row_number() OVER (ORDER BY stop / w, rank) AS turn
+  FROM weighed WINDOW b AS (ORDER BY stop / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stopped AS (SELECT *, min(CASE WHEN level * w >= stop THEN 1 ELSE 0 END) OVER (ORDER BY turn) AS stops FROM shares),
+targets AS (
+  SELECT *, CASE WHEN stops = 1 THEN stop::DOUBLE
+    ELSE (SELECT min_by(level, turn) FROM stopped WHERE stops = 0) * w END AS target FROM stopped),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.class, round(t.target)::BIGINT AS goal,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_word
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+took AS (
+  SELECT *, CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS passes FROM placed),
+done AS (
+  SELECT *, passes * size + greatest(0, least(size, goal - passes * source_size - first_word)) AS taken,
+    [1.5, 1.0, 0.5][class + 1]::DOUBLE AS a, [0.5, 1.0, 1.5][class + 1]::DOUBLE AS b, first_word / goal AS x FROM took)
+SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
+  CASE WHEN taken > 0 THEN 2.0::DOUBLE * x / (a + sqrt(a * a + 2.0::DOUBLE * (b - a) * x)) END AS position FROM done
+"""
+
 SQL = {
+    "op3_mix": _MIX,
     "op5_line_dedup": _KEPT_LINES + "SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept",
 }
