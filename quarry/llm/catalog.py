@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import dac, line_dedup, mix, oracle, pack, simhash
+from . import dac, langid, line_dedup, minhash, mix, oracle, pack, pii, secret_scan, simhash
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=3)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = langid.language_of_documents(table(spark, sf_dir, "documents"))
+    return x.select("doc_id", langid.held_out().alias("held_out"), "_language.lang_pred", "_language.score")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = mix.mix(table(spark, sf_dir, "documents"))
     return mix.range_sorted(x, "position", "doc_id").select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -30,14 +35,26 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2("_lines.text", 256).alias("kept_sha256"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op7_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "codes")
     dac.write_documents(table(spark, sf_dir, "documents"), path, end_id=2)
     return dac.read_documents(spark, path)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("all_spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_mix, op4_best_fit_packing, op5_line_dedup, op7_token_codes)}
+    return {f.__name__: f for f in (op1_simhash, op2_language, op3_mix, op4_best_fit_packing, op5_line_dedup, op6_minhash, op7_token_codes, op8_secrets, op10_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,11 +8,10 @@ n-grams are counted over runs of letters in lower case (any other character ends
 space at both ends), as 63-bit codes in numpy, whole texts always. Ties are broken by code.
 """
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,9 +157,7 @@ def identify(df: DataFrame, profiles: dict[str, list[int]], text_col: str = "tex
     model = df.sparkSession.sparkContext.broadcast(profiles)
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(parts: Iterator["pd.Series"]) -> Iterator["pd.DataFrame"]:  # noqa: F821
-        import pandas as pd
-
+    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         p = Profiles(model.value, profile_size)
         for texts in parts:
             yield pd.DataFrame([p.predict(t) for t in texts], columns=["lang_pred", "score"])
