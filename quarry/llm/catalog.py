@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import dac, langid, line_dedup, minhash, mix, oracle, pack, pii, secret_scan, simhash
+from . import ann, dac, langid, line_dedup, minhash, mix, oracle, pack, pii, secret_scan, simhash
 from .common import table
 
 
@@ -49,12 +49,22 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("all_spans")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language, op3_mix, op4_best_fit_packing, op5_line_dedup, op6_minhash, op7_token_codes, op8_secrets, op10_personal_data)}
+    return {f.__name__: f for f in (op1_simhash, op2_language, op3_mix, op4_best_fit_packing, op5_line_dedup, op6_minhash, op7_token_codes, op8_secrets, op9_neighbours, op10_personal_data, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -155,7 +155,7 @@ def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     at = (F.col("pass") * F.col("source_size") + F.col("first_word")) / F.col("goal")
     words = F.filter(F.split("text", WS_CLASS + "+"), lambda w: w != "")
     first = F.array_join(F.slice(words, 1, F.col("cut").cast("int")), " ")
-    shown = F.when(F.col("pass") < F.col("passes"), F.col("text")).otherwise(first)
+    shown = F.when((F.col("pass") < F.col("passes")) | (F.col("cut") >= F.col("size")), F.col("text")).otherwise(first)
     out = [(shown if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in df.columns]
     x = x.select(F.struct(*out).alias("row"), _time_of(at, F.col("sched")).alias("position"), "k_id")
     return range_sorted(x, "position", "k_id").select("row.*")

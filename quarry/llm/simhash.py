@@ -267,6 +267,14 @@ def fingerprint_links(values: DataFrame, max_bits: int = 3, bucket_rows: int = 1
     return found
 
 
+def _roots(df: DataFrame, id_col: str, text_col: str, words_per_shingle: int, max_bits: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row; (fp, low, root) of every fingerprint: its smallest id and its class."""
+    docs = materialize(fingerprints(df, id_col, text_col, words_per_shingle))
+    values = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    parts = connected_components(fingerprint_links(values.select("fp"), max_bits, bucket_rows))
+    return docs, values.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_classes(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -282,11 +290,45 @@ def simhash_classes(
     Rows with a null doc_id keep a row and take part in the links; a class of such rows alone has a null
     component_id. Repeated rows get a row each. An empty table gives an empty result; other columns are ignored.
     """
-    docs = materialize(fingerprints(df, id_col, text_col, words_per_shingle))
-    values = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    parts = connected_components(fingerprint_links(values.select("fp"), max_bits, bucket_rows))
-    rooted = values.join(parts, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    docs, rooted = _roots(df, id_col, text_col, words_per_shingle, max_bits, bucket_rows)
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     of_fp = rooted.join(lows, "root").select("fp", "component_id")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return docs.join(of_fp, "fp").select("doc_id", hexed, "component_id")
+
+
+def keep_one_of_each_class(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words_per_shingle: int = 3,
+    max_bits: int = 3,
+    bucket_rows: int = 1024,
+) -> DataFrame:
+    """The rows of df, one of each near-duplicate class: that with the smallest id (null ids last).
+
+    Where the smallest id stands in several rows, their fingerprints are compared again and one row with the
+    smallest stays. All columns stay as they were.
+    """
+    docs, rooted = _roots(df, id_col, text_col, words_per_shingle, max_bits, bucket_rows)
+    rooted = materialize(rooted)
+    # Per fingerprint the smallest id is known already, so a class is the minimum over its fingerprints.
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("x"))
+    first = first.select(F.col("x.low").alias("keep_id"), F.col("x.fp").alias("keep_fp"))
+    many = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or doc_id is null")
+    marked = first.join(many, F.col("keep_id").eqNullSafe(F.col("doc_id")), "left")
+    marked = materialize(marked.select("keep_id", "keep_fp", F.col("rows").isNotNull().alias("several")))
+    ident = F.col(f"`{id_col}`").cast("long")
+    kept = df.join(marked.filter("not several").select("keep_id"), ident == F.col("keep_id"), "left_semi")
+    several = marked.filter("several")
+    if not several.take(1):
+        return kept
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint((t or "").encode(), words_per_shingle) for t in texts], dtype="int64")
+
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), ident.alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = rows.join(several.select("keep_id").distinct(), F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+    rows = rows.withColumn("fp", of("text")).join(several, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("fp") == F.col("keep_fp")), "left_semi")
+    return kept.unionByName(rows.dropDuplicates(["id", "fp"]).select("row.*"))
