@@ -98,3 +98,6 @@ GPU_HOUR_PRICE_DEFAULT = 1.10  # price when none is configured
 
 # Storage schemes accepted by the URI resolver ("" = plain local path).
 SUPPORTED_SCHEMES = ("s3", "", "file")
+
+#: Sequence length of a role that is added without one (ours; no fixed value).
+NEW_ROLE_MAX_LEN = 4096

@@ -14,9 +14,18 @@ def coerce_tests(tests, dtype: T.DataType) -> Column:
     """Coerce test elements to strings by the column's schema.
 
     struct element → its ``code`` field (null code → ""); string element →
-    itself; a null element prints as ``None`` (``str(None)``).
+    itself; a null element prints as ``None`` (``str(None)``). A string column
+    holds a JSON array of strings or of objects with a ``code``.
     """
     c = _col(tests)
+    if isinstance(dtype, T.StringType):
+        parsed = F.from_json(c, "array<string>")
+        return F.transform(
+            parsed,
+            lambda x: F.when(x.isNull(), F.lit("None"))
+            .when(x.startswith("{"), F.coalesce(F.get_json_object(x, "$.code"), F.lit("")))
+            .otherwise(x),
+        )
     elem = dtype.elementType if isinstance(dtype, T.ArrayType) else T.StringType()
     if isinstance(elem, T.StructType):
         return F.transform(

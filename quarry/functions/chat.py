@@ -17,12 +17,10 @@ from .text import _col, clean, contains_any, lower_window
 def normalize_role(role: Column) -> Column:
     """user/assistant/system kept; human → user; anything else → assistant.
 
-    A missing role is "user"; a struct field cannot tell missing from null, so
-    null is treated as missing ("user").
+    A struct field is always there; a null one is no known role: assistant.
     """
     return (
-        F.when(role.isNull(), F.lit("user"))
-        .when(role.isin("user", "assistant", "system"), role)
+        F.when(role.isin("user", "assistant", "system"), role)
         .when(role == "human", F.lit("user"))
         .otherwise(F.lit("assistant"))
     )

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean, strip_ws
-from ..session import ship_package
+from ..session import materialize, ship_package
 
 REPORT_SCHEMA = "file string, line long, issue string, detail string"
 PARSE_TYPE = T.StructType(
@@ -119,7 +119,9 @@ def validate_lines(
     checked = check_lines(lines, required, strict)
     failures = checked.filter(F.col("status") != "ok").select(
         "file", "line", F.col("status").alias("issue"), "detail"
-    ).persist()
+    )
+    # Written to the shared folder: the report and the counts read it, the parser runs once a line.
+    failures = materialize(failures)
     return failures, _counts(lines, failures)
 
 

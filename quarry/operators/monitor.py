@@ -26,14 +26,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..session import materialize
+from .order import join_null_safe
 
 SMALL_TABLE_ROWS = 1_000_000  # broadcast limit for per-run / per-chunk tables
 
 
 def _join_small(df: DataFrame, small: DataFrame, on, rows: int | None) -> DataFrame:
-    """Join a per-key summary; broadcast it when its row count is known small."""
+    """Join a per-key summary (null keys too); broadcast it when its row count is known small."""
     side = F.broadcast(small) if rows is not None and rows <= SMALL_TABLE_ROWS else small
-    return df.join(side, on)
+    return join_null_safe(df, side, on)
 
 
 def divergence(
@@ -56,6 +58,8 @@ def divergence(
         "_pcount", F.coalesce(F.sum("_cn").over(cw), F.lit(0))
     )
     firsts = m.groupBy(run).agg(F.min_by(v, F.col(step)).alias("_first"), F.min(step).alias("_s0"))
+    # Written once: the count and the join below read the same few rows.
+    chunks = materialize(chunks)
     n_chunks = chunks.count()
     x = _join_small(m, chunks.select(run, "_c", "_pmin", "_pcount"), [run, "_c"], n_chunks)
     x = _join_small(x, firsts, [run], n_chunks)
@@ -98,7 +102,7 @@ def cost_meter(
     The start of each run is an aggregate (partial per task) joined back, so
     rows are never shuffled by run.
     """
-    starts = metrics.groupBy(run).agg(F.min(ts).alias("_t0"))
+    starts = materialize(metrics.groupBy(run).agg(F.min(ts).alias("_t0")))
     x = _join_small(metrics, starts, [run], starts.count())
     hours = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(ts)).cast("double") / F.lit(3.6e9)
     x = x.withColumn("elapsed_hours", hours).withColumn("cost", F.col("elapsed_hours") * F.lit(float(price)))

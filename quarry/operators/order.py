@@ -28,6 +28,7 @@ BUCKET = "_order_bucket"
 OFFSET = "_bucket_offset"
 COUNT = "_bucket_rows"
 DEFAULT_BUCKET_HEX = 4  # 65,536 buckets: the offset table stays ≤ 1.5 MB per group
+MAX_BUCKET_HEX = 5
 
 
 def _keys(key) -> list[str]:
@@ -40,7 +41,18 @@ def order_hash(key, seed: int = fixed.SEED) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
+def join_null_safe(x: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on columns of one name, where null meets null, so no group is lost."""
+    right = {k: f"_right_{k}" for k in keys}
+    same = F.lit(True)
+    for k, r in right.items():
+        same = same & F.col(k).eqNullSafe(F.col(r))
+    return x.join(side.select(*[F.col(c).alias(right.get(c, c)) for c in side.columns]), same).drop(*right.values())
+
+
 def _with_bucket(df: DataFrame, key, seed: int, bucket_hex: int) -> DataFrame:
+    if not 1 <= bucket_hex <= MAX_BUCKET_HEX:
+        raise ValueError(f"bucket_hex must be 1 to {MAX_BUCKET_HEX}: the offset table is broadcast")
     return df.withColumn(HASH, order_hash(key, seed)).withColumn(
         BUCKET, F.conv(F.substring(F.col(HASH), 1, bucket_hex), 16, 10).cast("int")
     )
@@ -79,7 +91,7 @@ def _join_offsets(x: DataFrame, offsets: DataFrame, parts: Sequence[str], rows:
     # broadcasts only after measuring it.
     small = not parts or (rows is not None and rows <= MAX_BROADCAST_ROWS)
     side = F.broadcast(offsets) if small else offsets
-    return x.join(side, [*parts, BUCKET], "inner")
+    return join_null_safe(x, side, [*parts, BUCKET])
 
 
 def _rank_in_bucket(x: DataFrame, parts: Sequence[str], key, out: str) -> DataFrame:
@@ -210,6 +222,6 @@ def ordinal_rank(
     counts = materialize(counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))))
     rows = counts.count()
     side = F.broadcast(counts) if rows <= MAX_BROADCAST_ROWS else counts
-    ranked = x.join(side.select(*parts, "_pid", "_first", "_before"), [*parts, "_pid"])
+    ranked = join_null_safe(x, side.select(*parts, "_pid", "_first", "_before"), [*parts, "_pid"])
     ranked = ranked.withColumn(out, (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long"))
     return ranked.drop("_pid", "_mid", "_first", "_before")

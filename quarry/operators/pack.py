@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..session import materialize, ship_package
-from .order import global_rank
+from .order import global_rank, join_null_safe
 
 RANK, CHUNK, LEN = "_pk_rank", "_pk_chunk", "_pk_len"
 TOTAL, SKIPS, ENTRY = "_pk_total", "_pk_skips", "_pk_entry"
@@ -112,6 +112,9 @@ def _entries(
         [*_fields(table, parts), T.StructField(key_col, T.LongType()), T.StructField(ENTRY, T.LongType())]
     )
     n = table.count() if n is None else n
+    if n > fanout and not table.filter(F.col(key_col) > 0).take(1):
+        # One row a group: each enters at 0, however many groups there are.
+        return table.select(*parts, F.col(key_col).cast("long").alias(key_col), F.lit(0).cast("long").alias(ENTRY))
     if n <= fanout:
         return spark.createDataFrame(_fold_rows(table.collect(), parts, key_col, L), entry_schema)
 
@@ -145,7 +148,7 @@ def _entries(
         out[ENTRY] = entries
         return out
 
-    joined = grouped.join(upper_entries, [*parts, sup])
+    joined = join_null_safe(grouped, upper_entries, [*parts, sup])
     return joined.groupBy(*parts, sup).applyInPandas(descend, entry_schema)
 
 
@@ -172,6 +175,9 @@ def sample_starts(
     # Lengths only (a few bytes per sample), cut from the upstream plan once:
     # ranking reads them twice (bucket counts, then the in-bucket window).
     light = materialize(df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN)))
+    twice = light.groupBy(*parts, *keys).count().filter("count > 1").take(1)
+    if twice:
+        raise ValueError(f"packing needs a unique sample key; repeated: {tuple(twice[0])[:-1]}")
     ranked = global_rank(light, keys, seed, parts, out=RANK)
     # Both passes must see the same ranks; the ranked lengths are four small
     # columns per sample, so they are checkpointed once instead of re-ranked.
@@ -205,7 +211,7 @@ def sample_starts(
     # The entry table has one row per chunk (samples / chunk_rows); its row
     # count is known, so it is broadcast only under a fixed bound.
     side = F.broadcast(entries) if n_chunks <= MAX_BROADCAST_CHUNKS else entries
-    with_entry = ranked.join(side, [*parts, CHUNK])
+    with_entry = join_null_safe(ranked, side, [*parts, CHUNK])
     return with_entry.groupBy(*parts, CHUNK).applyInPandas(place, out_schema)
 
 
@@ -222,7 +228,10 @@ def pack(
 ) -> DataFrame:
     """Packed blocks: (parts..., block_id, input_ids, attention_mask, labels).
 
-    ``df`` holds ``input_ids`` and ``labels`` (already truncated to max_len).
+    ``df`` holds ``input_ids`` and ``labels``; a sample longer than max_len is
+    cut over as many blocks as it needs. ``key`` must be unique and is checked;
+    only the tail of a group is dropped, and a block that is not exactly full
+    before it is an error.
     The input is read twice (lengths, then tokens). With an expensive encoder
     upstream, ``materialize_input`` checkpoints the token arrays once so the
     encoder runs once per text; with a cheap one, recomputing is cheaper than
@@ -234,9 +243,8 @@ def pack(
     if materialize_input:
         df = materialize(df.select(*parts, *keys, "input_ids", "labels"))
     starts = sample_starts(df, keys, L, seed, parts, "input_ids", chunk_rows, fanout)
-    tokens = df.select(*parts, *keys, "input_ids", "labels").join(
-        starts.select(*parts, *keys, START, SEP), [*parts, *keys]
-    )
+    starts = starts.select(*parts, *keys, START, SEP)
+    tokens = join_null_safe(df.select(*parts, *keys, "input_ids", "labels"), starts, [*parts, *keys])
     sep = F.col(SEP) == 1
     ids = F.when(sep, F.concat(F.array(F.lit(int(eos_id))), F.col("input_ids"))).otherwise(F.col("input_ids"))
     labels = F.when(sep, F.concat(F.array(F.lit(fixed.IGNORE_LABEL)), F.col("labels"))).otherwise(F.col("labels"))
@@ -247,16 +255,16 @@ def pack(
         labels.alias("_labels"),
         F.floor(first / L).cast("long").alias("_block"),
         F.pmod(first, F.lit(L)).cast("int").alias("_off"),
-    ).withColumn("_head", F.least(F.size("_ids"), F.lit(L) - F.col("_off")))
-    pieces = F.array(
-        F.struct(F.col("_block").alias("block_id"), F.col("_off").alias("offset"),
-                 F.slice("_ids", 1, F.col("_head")).alias("ids"), F.slice("_labels", 1, F.col("_head")).alias("labels")),
-        F.struct((F.col("_block") + 1).alias("block_id"), F.lit(0).alias("offset"),
-                 F.slice("_ids", F.col("_head") + 1, F.greatest(F.size("_ids") - F.col("_head"), F.lit(0))).alias("ids"),
-                 F.slice("_labels", F.col("_head") + 1, F.greatest(F.size("_ids") - F.col("_head"), F.lit(0))).alias("labels")),
-    )
-    exploded = frag.select(*parts, F.explode(F.filter(pieces, lambda p: F.size(p["ids"]) > 0)).alias("p")).select(
-        *parts, "p.*"
+    ).withColumn("_cuts", F.ceil((F.col("_off") + F.size("_ids")) / L).cast("int"))
+    frag = frag.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).filter(F.size("_ids") > 0)
+    first_id = F.when(F.col("_cut") == 0, F.lit(1)).otherwise(F.col("_cut") * L - F.col("_off") + 1)
+    n_ids = F.when(F.col("_cut") == 0, F.lit(L) - F.col("_off")).otherwise(F.lit(L))
+    exploded = frag.select(
+        *parts,
+        (F.col("_block") + F.col("_cut")).alias("block_id"),
+        F.when(F.col("_cut") == 0, F.col("_off")).otherwise(0).alias("offset"),
+        F.slice("_ids", first_id, n_ids).alias("ids"),
+        F.slice("_labels", first_id, n_ids).alias("labels"),
     )
     blocks = exploded.groupBy(*parts, "block_id").agg(
         F.sort_array(F.collect_list(F.struct("offset", "ids", "labels"))).alias("_frags")
@@ -266,7 +274,10 @@ def pack(
         "block_id",
         F.flatten(F.transform("_frags", lambda f: f["ids"])).alias("input_ids"),
         F.flatten(F.transform("_frags", lambda f: f["labels"])).alias("labels"),
-    ).filter(F.size("input_ids") == L)
+    )
+    n = F.size("input_ids")
+    long = F.raise_error(F.concat(F.lit("packed block over its length: "), n.cast("string"))).cast("boolean")
+    blocks = blocks.filter(F.when(n > L, long).otherwise(n == L))
     return blocks.select(
         *parts, "block_id", "input_ids", F.array_repeat(F.lit(1), L).alias("attention_mask"), "labels"
     )

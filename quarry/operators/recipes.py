@@ -24,15 +24,19 @@ RECIPE_SCHEMA = T.StructType(
     ]
 )
 FORMATS = ("instruction", "chat")
+MAX_BROADCAST_ROLES = 100_000
 
 
 def recipe_rows(overrides: dict[str, dict] | None = None) -> list[tuple]:
-    rows = []
-    for role, fmt, max_len, packing in fixed.RECIPES:
+    """The recipe table; ``overrides`` changes known roles and adds new ones."""
+    rows, known = [], {r[0] for r in fixed.RECIPES}
+    base = [*fixed.RECIPES, *[(r, "instruction", fixed.NEW_ROLE_MAX_LEN, False) for r in (overrides or {}) if r not in known]]
+    for role, fmt, max_len, packing in base:
+        fmt = (overrides or {}).get(role, {}).get("format", fmt)
         fields = dict(fixed.INSTRUCTION_FIELDS if fmt == "instruction" else fixed.CHAT_FIELDS)
         o = (overrides or {}).get(role, {})
         rows.append(
-            (role, o.get("format", fmt), o.get("fields", fields), int(o.get("max_seq_length", max_len)),
+            (role, fmt, o.get("fields", fields), int(o.get("max_seq_length", max_len)),
              bool(o.get("packing", packing)))
         )
     return rows
@@ -63,9 +67,13 @@ def with_recipe(df: DataFrame, recipe_df: DataFrame, role_col: str = "role") ->
     if bad:
         raise ValueError(f"Unknown format: {bad[0]}")
     valid = ", ".join(sorted(r.role for r in table))
-    joined = df.join(F.broadcast(recipe_df.withColumnRenamed("role", role_col)), role_col, "left")
+    side = recipe_df.withColumnRenamed("role", role_col).withColumn("_known", F.lit(True))
+    joined = df.join(F.broadcast(side) if len(table) <= MAX_BROADCAST_ROLES else side, role_col, "left")
     unknown = F.raise_error(F.concat(F.lit("Unknown agent '"), F.col(role_col).cast("string"), F.lit(f"'. Available: {valid}")))
-    return joined.withColumn("format", F.when(F.col("format").isNull(), unknown).otherwise(F.col("format")))
+    # In every attached column, so the error survives column pruning whichever of them is read.
+    for c in ("format", "fields", "max_seq_length", "packing"):
+        joined = joined.withColumn(c, F.when(F.col("_known").isNull(), unknown).otherwise(F.col(c)))
+    return joined.drop("_known")
 
 
 def remap(df: DataFrame, fields: dict[str, str]) -> DataFrame:
@@ -97,21 +105,35 @@ def render(df: DataFrame, recipe: dict, out: str = "text", chat_template=None) -
 
 def _field(df: DataFrame, name_col: Column) -> Column:
     """Value of the string column whose name is given per row."""
-    string_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    m = F.create_map(*[x for c in string_cols for x in (F.lit(c), F.col(c))])
-    return F.element_at(m, name_col)
+    value = F.lit(None).cast("string")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            value = F.when(name_col == f.name, F.col(f.name)).otherwise(value)
+    return value
+
+
+def _messages(df: DataFrame, name_col: Column) -> Column | None:
+    """The conversation column whose name is given per row (null when no column is one)."""
+    value = None
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType) and {"role", "content"} <= set(t.elementType.names):
+            other = value if value is not None else F.lit(None).cast(t)
+            value = F.when(name_col == f.name, F.col(f.name)).otherwise(other)
+    return value
 
 
 def render_by_recipe(df: DataFrame, out: str = "text") -> DataFrame:
     """Render records of many roles at once (after ``with_recipe``).
 
-    Instruction fields are looked up through the recipe's field map; chat
-    roles render their ``messages`` column.
+    Instruction fields and the conversation of chat roles are looked up
+    through the recipe's field map.
     """
     inst = render_instruction(
         *[_field(df, F.coalesce(F.col("fields")[k], F.lit(k))) for k in ("instruction", "input", "output")]
     )
-    chat_col = render_chat("messages") if "messages" in df.columns else F.lit(None).cast("string")
+    messages = _messages(df, F.coalesce(F.col("fields")["messages"], F.lit("messages")))
+    chat_col = render_chat(messages) if messages is not None else F.lit(None).cast("string")
     return df.withColumn(
         out, F.when(F.col("format") == "instruction", inst).when(F.col("format") == "chat", chat_col)
     )

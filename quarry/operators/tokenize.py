@@ -8,15 +8,17 @@ Encoders:
 * ``byte_encode`` — UTF-8 bytes as ids (DuckDB can compute the same ids);
   Arrow-batched by default, or pure Catalyst expressions.
 * ``encode_with`` — any user encoder ``list[str] -> list[list[int]]`` run over
-  Arrow batches with ``mapInArrow``; the encoder is built once per Python
-  worker from a picklable factory, never per row.
+  Arrow batches with ``mapInArrow``; the encoder is built once per task from
+  a picklable factory, never per row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +39,20 @@ def utf8_bytes(text) -> Column:
 def _arrow_bytes(max_len: int):
     """Arrow-batched encoder: the whole text is encoded (in C), then cut."""
 
-    @F.pandas_udf(IDS)
-    def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series([list((t or "").encode("utf-8")[:max_len]) for t in texts])
+    @F.arrow_udf(IDS)
+    def encode(texts: pa.Array) -> pa.Array:
+        # The ids are the bytes of the Arrow buffer, gathered up to max_len each; no Python list is made.
+        data = pc.fill_null(texts, "").cast(pa.binary())
+        if not len(data):
+            return pa.array([], pa.list_(pa.int32()))
+        kind = np.int64 if pa.types.is_large_binary(data.type) else np.int32
+        off = np.frombuffer(data.buffers()[1], kind)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+        raw = data.buffers()[2]
+        n = np.minimum(np.diff(off), max_len)
+        first = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(off[:-1] - first[:-1], n) + np.arange(first[-1])
+        ids = np.frombuffer(raw, np.uint8)[at] if raw is not None and len(at) else np.zeros(0, np.uint8)
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32)))
 
     return encode
 
@@ -80,11 +93,8 @@ def encode_with(
     encoder_factory: Callable[[], Callable[[list[str]], Iterable[Iterable[int]]]],
     text: str = "text",
     max_len: int = 4096,
-    drop_text: bool = True,
 ) -> DataFrame:
-    """Run a user encoder over Arrow batches (one encoder per worker process)."""
-    import pyarrow as pa
-
+    """Run a user encoder over Arrow batches; it is built once per task. The text column is dropped."""
     from ..session import ship_package
 
     ship_package(df.sparkSession)
@@ -94,7 +104,7 @@ def encode_with(
     text_pos = df.columns.index(text)
 
     def run(batches):
-        encode = _cached_encoder(encoder_factory)
+        encode = encoder_factory()
         for batch in batches:
             texts = [t if t is not None else "" for t in batch.column(text_pos).to_pylist()]
             ids = [list(map(int, x)) for x in encode(texts)]
@@ -102,20 +112,7 @@ def encode_with(
             yield pa.RecordBatch.from_arrays([*cols, pa.array(ids, type=pa.list_(pa.int32()))], names=[*names, "_ids"])
 
     encoded = df.mapInArrow(run, out_schema)
-    out = with_encoding(encoded, "_ids", max_len).drop("_ids")
-    if not drop_text:
-        raise ValueError("encode_with drops the text column")
-    return out
-
-
-_ENCODERS: dict[int, Callable] = {}
-
-
-def _cached_encoder(factory):
-    key = id(factory)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = factory()
-    return _ENCODERS[key]
+    return with_encoding(encoded, "_ids", max_len).drop("_ids")
 
 
 def eos_id(value: int | None) -> int:

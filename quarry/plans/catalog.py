@@ -76,6 +76,16 @@ def shuffle_rank(spark, sf):
     return order.global_rank(code_writer_records(spark, sf), "id", fixed.SEED).select("id", "rank")
 
 
+def _grouped_docs(spark, sf) -> DataFrame:
+    """Documents in groups by language, French ones in the null group."""
+    return _docs(spark, sf).select("doc_id", "text", F.nullif("lang", F.lit("fr")).alias("g"))
+
+
+def rank_by_group(spark, sf):
+    ranked = order.global_rank(_grouped_docs(spark, sf).drop("text"), "doc_id", partition_by=["g"])
+    return ranked.select("g", "doc_id", "rank")
+
+
 def sample_n(spark, sf):
     recs = code_writer_records(spark, sf)
     capped = order.sample_n(recs, "id", O.SAMPLE_N, fixed.SEED, rank_col="rank")
@@ -215,7 +225,7 @@ def validation_counts(spark, sf):
 # Encoding, packing, collation (the prepare pipeline on code_writer records)
 # ---------------------------------------------------------------------------
 
-PACK_LEN = 256
+PACK_LEN = 4096
 BATCH = 8
 
 
@@ -257,6 +267,16 @@ def pack_stats(spark, sf):
     return stats(sample_starts(_train_tokens(spark, sf), "id", PACK_LEN), PACK_LEN)
 
 
+def pack_by_group(spark, sf):
+    """Starts per group with a null group, many chunks and several levels of the chunk scan."""
+    from ..operators.pack import sample_starts
+    from ..operators.tokenize import byte_encode
+
+    tok = byte_encode(_grouped_docs(spark, sf), "text", PACK_LEN)
+    starts = sample_starts(tok, "doc_id", PACK_LEN, partition_by=["g"], chunk_rows=50, fanout=3)
+    return starts.select("g", "doc_id", "pack_start", F.col("pack_sep").cast("long").alias("pack_sep"), "length")
+
+
 def pack_blocks(spark, sf):
     from ..operators.pack import pack
 
@@ -277,7 +297,7 @@ def collated_batches(spark, sf):
 
     text = render(code_writer_records(spark, sf), recipe_for("code_writer")).select("id", "text")
     ev = order.split(text, "id").filter(F.col("split") == "eval").drop("split")
-    tok = byte_encode(ev, "text", 2048)
+    tok = byte_encode(ev, "text", 4096)
     out = collate(tok, "id", BATCH, pad_id=0)
     return out.select(
         "id",
@@ -421,7 +441,7 @@ def arrow_encoder_tokens(spark, sf):
     from ..operators.tokenize import encode_with
 
     docs = _docs(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    tok = encode_with(docs, word_length_encoder, "text", 512)
+    tok = encode_with(docs, word_length_encoder, "text", 4096)
     return tok.select(
         "id",
         F.size("input_ids").cast("long").alias("n_tokens"),
@@ -442,6 +462,8 @@ QUERIES: dict[str, Query] = {
     "optimization_records": optimization_records,
     "docstring_strip": docstring_strip,
     "docs_records": docs_records,
+    "rank_by_group": rank_by_group,
+    "pack_by_group": pack_by_group,
     "shuffle_rank": shuffle_rank,
     "sample_n": sample_n,
     "train_eval_split": train_eval_split,

@@ -192,6 +192,31 @@ def shuffle_rank_sql() -> str:
     return f"SELECT id, CAST(rank AS BIGINT) AS rank FROM ({ranked_records_sql(code_writer_sql())})"
 
 
+def grouped_docs_sql() -> str:
+    return f"""
+      SELECT nullif(lang, 'fr') AS g, doc_id, CAST(least(strlen(coalesce(text, '')), {PACK_LEN}) AS BIGINT) AS len,
+             row_number() OVER (PARTITION BY nullif(lang, 'fr') ORDER BY {order_hash('doc_id')}, doc_id) AS rank
+      FROM documents"""
+
+
+def rank_by_group_sql() -> str:
+    return f"SELECT g, doc_id, CAST(rank AS BIGINT) AS rank FROM ({grouped_docs_sql()})"
+
+
+def pack_by_group_sql() -> str:
+    L = PACK_LEN
+    return f"""
+      WITH RECURSIVE r AS ({grouped_docs_sql()}),
+      w AS (
+        SELECT g, rank, doc_id, len, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS sep FROM r WHERE rank = 1
+        UNION ALL
+        SELECT r.g, r.rank, r.doc_id, r.len,
+               CAST(w.start + w.len + CASE WHEN (w.start + w.len) % {L} <> 0 THEN 1 ELSE 0 END AS BIGINT),
+               CAST(CASE WHEN (w.start + w.len) % {L} <> 0 THEN 1 ELSE 0 END AS BIGINT)
+        FROM w JOIN r ON r.g IS NOT DISTINCT FROM w.g AND r.rank = w.rank + 1)
+      SELECT g, doc_id, start AS pack_start, sep AS pack_sep, len AS length FROM w"""
+
+
 def sample_n_sql(n: int = SAMPLE_N) -> str:
     return f"""
       SELECT id, CAST(rank AS BIGINT) AS rank, instruction, input, output
@@ -322,7 +347,7 @@ def validation_counts_sql() -> str:
 # Encoding, packing, collation
 # ---------------------------------------------------------------------------
 
-PACK_LEN = 256
+PACK_LEN = 4096
 BATCH = 8
 
 
@@ -403,7 +428,7 @@ def pack_blocks_sql() -> str:
 
 def collated_sql() -> str:
     return f"""
-      WITH e AS (SELECT id, {byte_ids_sql('text', 2048)} AS ids,
+      WITH e AS (SELECT id, {byte_ids_sql('text', 4096)} AS ids,
                         row_number() OVER (ORDER BY {order_hash('id')}, id) AS r
                  FROM ({split_text_sql()}) WHERE split = 'eval'),
       b AS (SELECT id, ids, (r - 1) // {BATCH} AS batch FROM e),
@@ -467,7 +492,7 @@ def arrow_encoder_sql() -> str:
     ids = f"list_transform(list_filter(regexp_split_to_array(text, '[{''.join(chr(c) for c in (9, 10, 11, 12, 13, 32))}]+'), lambda w: w <> ''), lambda w: length(w))"
     return f"""
       SELECT id, CAST(len(ids) AS BIGINT) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5
-      FROM (SELECT doc_id AS id, list_slice(coalesce({ids}, []), 1, 512) AS ids FROM documents)"""
+      FROM (SELECT doc_id AS id, list_slice(coalesce({ids}, []), 1, 4096) AS ids FROM documents)"""
 
 
 # ---------------------------------------------------------------------------
@@ -486,6 +511,8 @@ def oracle_sql() -> dict[str, str]:
         "docstring_strip": docstring_strip_sql(),
         "docs_records": docs_sql(),
         "shuffle_rank": shuffle_rank_sql(),
+        "rank_by_group": rank_by_group_sql(),
+        "pack_by_group": pack_by_group_sql(),
         "sample_n": sample_n_sql(),
         "train_eval_split": split_sql(),
         "split_stats": split_stats_sql(),

@@ -41,7 +41,9 @@ def local_session(master: str = "local[8]", app: str = "quarry", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for materialised data: ``spark.checkpoint.dir``.
 
-    Read from the session; set to a fresh local folder only when unset.
+    Read from the session. A fresh local folder stands in only where the driver
+    is the only machine (master local or local[n]); elsewhere an unset folder is
+    an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -49,11 +49,20 @@ def commit(new: DataFrame, manifest: str) -> None:
 
 
 def read_new(spark: SparkSession, new: DataFrame, schema: T.StructType | str, fmt: str = "json") -> DataFrame:
-    """Read the content of the new files (their paths are a small listing)."""
-    paths = [r.path for r in new.select("path").collect()]
-    if not paths:
+    """Read the content of the new files.
+
+    Their folders are read and the rows of other files left out by a join on
+    the file path, so the paths never gather on the driver; only the folders
+    do, of which there are few."""
+    dirs = [r[0] for r in new.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1)).distinct().collect()]
+    if not dirs:
         return spark.createDataFrame([], schema)
-    return spark.read.format(fmt).schema(schema).load(paths)
+    rows = spark.read.format(fmt).schema(schema).load(dirs)
+    decoded = F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")
+    bare = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    rows = rows.withColumn("_file", bare(decoded))
+    wanted = new.select(bare(F.expr("url_decode(replace(path, '+', '%2B'))")).alias("_file"))
+    return rows.join(wanted, "_file", "left_semi").drop("_file")
 
 
 def ingest_stream(spark: SparkSession, src_dir: str, schema: T.StructType | str, glob: str = "*.jsonl") -> DataFrame:

@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from urllib.parse import urlparse
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixed
@@ -57,7 +58,7 @@ def read_first_available(
             df = cand() if callable(cand) else read_source(spark, *cand)
             df.schema  # resolve the path and schema now
             return i, df
-        except (AnalysisException, FileNotFoundError, ValueError) as exc:
+        except (PySparkException, Py4JJavaError, FileNotFoundError, ValueError) as exc:
             errors.append(f"{cand!r}: {exc}")
     raise FileNotFoundError("no source available: " + "; ".join(errors))
 
@@ -74,5 +75,7 @@ def has_files(spark: SparkSession, path: str, glob: str | None = None) -> bool:
     """Whether the listing is non-empty (one row at most reaches the driver)."""
     try:
         return bool(file_listing(spark, path, glob).limit(1).count())
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False

@@ -10,9 +10,9 @@ With ``idle_timeout_ms`` a run's state is dropped once the event-time
 watermark passes its last row by that long, so finished runs free their
 state; rows later than the watermark are then late data and dropped.
 
-Results are written with ``availableNow`` to a table in the shared folder
-(``spark.checkpoint.dir``) together with the stream checkpoint, so a restart
-resumes and nothing passes through the driver.
+Results are written with ``availableNow`` to a table beside the stream
+checkpoint; a call with the same ``path`` resumes there, and nothing passes
+through the driver.
 """
 
 from __future__ import annotations
@@ -172,15 +172,21 @@ def cost_stream(
 
 
 def run_available(
-    stream: DataFrame, name: str, spark: SparkSession | None = None, timeout_s: float = 6 * 3600
+    stream: DataFrame,
+    name: str,
+    spark: SparkSession | None = None,
+    path: str | None = None,
+    timeout_s: float | None = None,
 ) -> DataFrame:
-    """Process everything available now into a parquet table in the shared
-    folder (with its checkpoint) and return that table as a batch DataFrame.
+    """Process everything available now into a parquet table and return that
+    table as a batch DataFrame.
 
-    The wait is bounded: a query still running after ``timeout_s`` is stopped
-    and reported (it resumes from its checkpoint when started again)."""
+    ``path`` holds the table and the checkpoint: a later call with the same path
+    goes on where this one ended. Without it a new folder in the shared one is
+    used, for runs that are not to be continued. With ``timeout_s`` a query that
+    is still running by then is stopped and reported; its checkpoint stays."""
     spark = spark or stream.sparkSession
-    base = scratch_path(spark, name)
+    base = path or scratch_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", f"{base}/_checkpoint")
@@ -188,7 +194,9 @@ def run_available(
         .trigger(availableNow=True)
         .start(f"{base}/data")
     )
-    if not query.awaitTermination(timeout_s):
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream {name} did not finish within {timeout_s} s")
     if query.exception():
@@ -196,6 +204,11 @@ def run_available(
     return spark.read.parquet(f"{base}/data")
 
 
-def metrics_stream(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A metrics log (parquet files under ``path`` or matching a glob) as a stream."""
-    return spark.readStream.schema(schema).parquet(path)
+def metrics_stream(
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int = 1000
+) -> DataFrame:
+    """A metrics log (parquet files under ``path`` or matching a glob) as a stream.
+
+    A backlog is read in micro-batches of ``files_per_trigger`` files, which
+    bounds the rows of a run that meet in one task."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)

@@ -50,7 +50,7 @@ def msgs(*pairs):
 @pytest.mark.parametrize(
     "role,expected",
     [("user", "user"), ("assistant", "assistant"), ("system", "system"), ("human", "user"),
-     ("gpt", "assistant"), ("tool", "assistant"), ("User", "assistant"), (None, "user")],
+     ("gpt", "assistant"), ("tool", "assistant"), ("User", "assistant"), (None, "assistant")],
 )
 def test_normalize_role(spark, role, expected):
     out = one(spark, chat.clean_messages("messages"), msgs((role, " x ")), MSG)
