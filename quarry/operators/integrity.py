@@ -30,7 +30,10 @@ from pyspark.sql import types as T
 
 from ..functions.text import clean, strip_ws
 from ..session import materialize, ship_package
+from ..sources.tables import file_listing, has_files, resolve_uri
 
+#: A digest needs the whole file as one array of bytes.
+MAX_DIGEST_BYTES = 2_000_000_000
 REPORT_SCHEMA = "file string, line long, issue string, detail string"
 PARSE_TYPE = T.StructType(
     [
@@ -96,19 +99,6 @@ def check_lines(lines: DataFrame, required: Sequence[str] | None = None, strict:
     return parsed.withColumn("status", status).withColumn("detail", detail).drop("_p")
 
 
-def _counts(lines: DataFrame, failures: DataFrame) -> DataFrame:
-    """Valid records per file = non-blank lines − failing lines.
-
-    The non-blank count is JVM-only; failures are few, so the Python check
-    runs once per line overall.
-    """
-    non_blank = lines.groupBy("file").agg(F.count_if(clean("value") != F.lit("")).alias("non_blank"))
-    failed = failures.groupBy("file").agg(F.count(F.lit(1)).alias("failed"))
-    return non_blank.join(failed, "file", "left").select(
-        "file", (F.col("non_blank") - F.coalesce("failed", F.lit(0))).cast("long").alias("records")
-    )
-
-
 def validate_lines(
     lines: DataFrame, required: Sequence[str] | None = None, strict: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -122,90 +112,141 @@ def validate_lines(
     )
     # Written to the shared folder: the report and the counts read it, the parser runs once a line.
     failures = materialize(failures)
-    return failures, _counts(lines, failures)
+    non_blank = lines.groupBy("file").agg(F.count_if(clean("value") != F.lit("")).alias("non_blank"))
+    return failures, _valid_counts(non_blank, failures)
+
+
+def _valid_counts(non_blank: DataFrame, failures: DataFrame) -> DataFrame:
+    """Valid records per file: non-blank lines (counted in the JVM) less the failing ones."""
+    failed = failures.groupBy("file").agg(F.count(F.lit(1)).alias("failed"))
+    return non_blank.join(failed, "file", "left").select(
+        "file", (F.col("non_blank") - F.coalesce("failed", F.lit(0))).cast("long").alias("records")
+    )
 
 
 def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(raw lines with file/_block/_mid, per-split table with _first/_before)."""
-    raw = spark.read.format("text").load(path).select(
+    """(raw lines with file/_block/_mid, per-split table with _first/_before/_non_blank)."""
+    raw = spark.read.format("text").option("recursiveFileLookup", "true").load(resolve_uri(path)).select(
         _norm_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
         "value",
     )
-    splits = raw.groupBy("file", "_block").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    splits = raw.groupBy("file", "_block").agg(
+        F.min("_mid").alias("_first"),
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(clean("value") != F.lit("")).alias("_non_blank"),
+    )
     w = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     return raw, splits
 
 
 def _norm_path(c) -> F.Column:
-    """One spelling per local path ("file:///x" and "file:/x" → "file:/x")."""
-    return F.regexp_replace(c, "^file:/+", "file:/")
+    """One spelling per path: "file:///x" and "file:/x" → "file:/x", %-escapes (scans have them, listings not) undone."""
+    plain = F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(F.coalesce(plain, c), "^file:/+", "file:/")
 
 
-def _with_line(rows: DataFrame, splits: DataFrame) -> DataFrame:
+def with_line(rows: DataFrame, splits: DataFrame) -> DataFrame:
+    """Rows of ``numbered_lines`` with their exact line number (from 1, blank lines counted)."""
     return rows.join(splits.select("file", "_block", "_first", "_before"), ["file", "_block"]).withColumn(
         "line", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long")
     )
 
 
-def validate(
+def validate_files(
     spark: SparkSession,
     path: str,
     required: Sequence[str] | None = None,
-    sha256: str | None = None,
+    sha256: str | DataFrame | None = None,
     strict: bool = True,
-) -> DataFrame:
-    """Full report for a JSONL file or directory (every failure, not the first)."""
-    from ..sources.tables import file_listing, has_files
+) -> tuple[DataFrame, DataFrame]:
+    """(report, counts) of a JSONL file or of all files under a directory.
 
+    report: every failure (file, line, issue, detail), not the first only. counts: file, records (valid lines).
+    ``sha256`` is the digest every file must have, or a table (file, sha256); files not in it are not checked.
+    Two passes over the text: one in the JVM counts lines per split, one parses each line once; the split counts
+    and the failures go to the shared folder and all else is derived from them.
+    A digest reads a file as one value, so a longer file than that can hold gets the issue ``too_large``.
+    """
     empty = spark.createDataFrame([], REPORT_SCHEMA)
     if not has_files(spark, path):
-        return spark.createDataFrame([(path, None, "missing", f"File not found: {path}")], REPORT_SCHEMA)
+        missing = spark.createDataFrame([(path, None, "missing", f"no such path: {path}")], REPORT_SCHEMA)
+        return missing, spark.createDataFrame([], "file string, records long")
     listing = file_listing(spark, path)
-    # The scan skips zero-length files; the file index still lists them.
+    scanned = listing.select(_norm_path(F.col("path")).alias("file"), "length")
+    # The scan leaves out files of no bytes; only the file index, which the driver holds anyway, has them.
     listed = spark.createDataFrame([(p,) for p in listing.inputFiles()], "file string")
     listed = listed.select(_norm_path(F.col("file")).alias("file"))
-    scanned = listing.select(_norm_path(F.col("path")).alias("file"))
-    zero = listed.join(scanned, "file", "left_anti").select(
-        "file", F.lit(None).cast("long").alias("line"), F.lit("empty").alias("issue"),
-        F.concat(F.lit("File is empty: "), F.col("file")).alias("detail"),
-    )
-    report = zero
-    if sha256:
-        digest = spark.read.format("binaryFile").load(path).select(
-            F.col("path").alias("file"), F.sha2(F.col("content"), 256).alias("actual")
-        )
-        report = report.unionByName(
-            digest.filter(F.col("actual") != F.lit(sha256)).select(
-                "file", F.lit(None).cast("long").alias("line"), F.lit("sha256").alias("issue"),
-                F.concat(F.lit(f"expected {sha256}, got "), F.col("actual")).alias("detail"),
-            )
-        )
+    report = _file_issue(listed.join(scanned, "file", "left_anti"), "empty", F.lit("file has no bytes"))
+    if sha256 is not None:
+        report = report.unionByName(_digest_failures(spark, path, scanned, sha256))
     raw, splits = numbered_lines(spark, path)
-    # Failures are few: keep them (recomputable from lineage) so the Python
-    # check runs once per line for both the report and the counts.
-    bad = check_lines(raw, required, strict).filter(F.col("status") != "ok").persist()
+    splits = materialize(splits)
+    bad = materialize(check_lines(raw, required, strict).filter(F.col("status") != "ok").drop("value"))
     report = report.unionByName(
-        _with_line(bad, splits).select("file", "line", F.col("status").alias("issue"), "detail")
-    )
-    ok_counts = _counts(raw, bad)
-    nonempty = listing.filter(F.col("length") > 0).select(_norm_path(F.col("path")).alias("file"))
-    no_records = nonempty.join(ok_counts, "file", "left").filter(F.coalesce("records", F.lit(0)) == 0).select(
-        "file", F.lit(None).cast("long").alias("line"), F.lit("no_records").alias("issue"),
-        F.concat(F.lit("No records found in "), F.col("file")).alias("detail"),
+        with_line(bad, splits).select("file", "line", F.col("status").alias("issue"), "detail")
     )
-    return report.unionByName(no_records).unionByName(empty)
+    counts = _valid_counts(splits.groupBy("file").agg(F.sum("_non_blank").alias("non_blank")), bad)
+    none = scanned.join(counts, "file", "left").filter(F.coalesce("records", F.lit(0)) == 0)
+    report = report.unionByName(_file_issue(none, "no_records", F.lit("file has no valid record")))
+    return report.unionByName(empty), counts
+
+
+def _file_issue(files: DataFrame, issue: str, detail: F.Column) -> DataFrame:
+    """Report rows that concern whole files."""
+    return files.select("file", F.lit(None).cast("long").alias("line"), F.lit(issue).alias("issue"), detail.alias("detail"))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(file, actual): SHA-256 of each file of a length that one value can hold."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(resolve_uri(path))
+    small = read.filter(F.col("length") <= MAX_DIGEST_BYTES)
+    return small.select(_norm_path(F.col("path")).alias("file"), F.sha2(F.col("content"), 256).alias("actual"))
+
+
+def _digest_failures(spark: SparkSession, path: str, scanned: DataFrame, expected: str | DataFrame) -> DataFrame:
+    if isinstance(expected, DataFrame):
+        wanted = expected.select(_norm_path(F.col("file")).alias("file"), "sha256")
+    else:
+        wanted = scanned.select("file", F.lit(expected).alias("sha256"))
+    pairs = wanted.join(file_digests(spark, path), "file").filter(F.col("actual") != F.lower("sha256"))
+    wrong = _file_issue(pairs, "sha256", F.concat(F.lit("expected "), F.col("sha256"), F.lit(", got "), F.col("actual")))
+    large = scanned.join(wanted, "file").filter(F.col("length") > MAX_DIGEST_BYTES)
+    return wrong.unionByName(_file_issue(large, "too_large", F.col("length").cast("string")))
+
+
+def validate(
+    spark: SparkSession,
+    path: str,
+    required: Sequence[str] | None = None,
+    sha256: str | DataFrame | None = None,
+    strict: bool = True,
+) -> DataFrame:
+    """The report of ``validate_files`` alone."""
+    return validate_files(spark, path, required, sha256, strict)[0]
+
+
+def _severity() -> F.Column:
+    """Order in which a fail-fast check meets the issues."""
+    order = ["missing", "empty", "too_large", "sha256"]
+    last = F.when(F.col("issue") == "no_records", len(order) + 1).otherwise(len(order))
+    for i, name in enumerate(order):
+        last = F.when(F.col("issue") == name, i).otherwise(last)
+    return last
+
+
+def first_failures(report: DataFrame) -> DataFrame:
+    """Per file the failure a fail-fast check would stop at."""
+    first = F.min_by(F.struct("line", "issue", "detail"), F.struct(_severity(), "line")).alias("first")
+    return report.groupBy("file").agg(first).select("file", "first.*")
 
 
 def first_error(report: DataFrame) -> str | None:
     """The failure the fail-fast check would stop at (one row to the driver)."""
-    rank = F.when(F.col("issue") == "missing", 0).when(F.col("issue") == "empty", 1).when(
-        F.col("issue") == "sha256", 2
-    ).when(F.col("issue") == "no_records", 4).otherwise(3)
     row = report.select(
-        F.min_by(F.struct("file", "detail", "issue", "line"), F.struct(rank, "file", "line")).alias("first")
+        F.min_by(F.struct("file", "detail", "issue", "line"), F.struct(_severity(), "file", "line")).alias("first")
     ).first()
     if row is None or row.first is None:
         return None
@@ -221,7 +262,6 @@ def raise_on_error(report: DataFrame) -> None:
 
 def record_count(spark: SparkSession, path: str, required: Sequence[str] | None = None) -> int:
     """Number of valid records; raises ValidationError on any failure."""
-    report = validate(spark, path, required)
+    report, counts = validate_files(spark, path, required)
     raise_on_error(report)
-    raw, _ = numbered_lines(spark, path)
-    return int(raw.filter(clean("value") != F.lit("")).count())
+    return int(counts.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0])

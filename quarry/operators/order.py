@@ -16,6 +16,8 @@ the rest of the data is never shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,30 +160,38 @@ def split(
 ) -> DataFrame:
     """Exact split: the first ceil(fraction × n) rows of the order are "eval".
 
-    Buckets wholly before or after the cut are labelled by a broadcast lookup
-    alone; only the one bucket that straddles the cut is ranked.
+    The cut of a group is its last eval row in the order. It lies in one bucket, whose keys alone are ranked;
+    a row's label is then a comparison with the cut, so the wide rows are read once and never shuffled.
+    Rows with equal keys are on one side of the cut.
     """
-    parts = list(partition_by)
-    x = _with_bucket(df, key, seed, bucket_hex)
-    offsets = _bucket_offsets(x, parts)
-    total = Window.partitionBy(*parts)
-    offsets = offsets.withColumn(
-        "_n_eval", F.ceil(F.lit(float(eval_fraction)) * F.sum(COUNT).over(total)).cast("long")
-    )
-    # Both branches below use the offsets (≤ 16^k rows per group): compute once.
-    offsets = materialize(offsets)
-    labelled = _join_offsets(x, offsets, parts, offsets.count())
-    whole = labelled.filter(
-        (F.col(OFFSET) + F.col(COUNT) <= F.col("_n_eval")) | (F.col(OFFSET) >= F.col("_n_eval"))
-    ).withColumn(out, F.when(F.col(OFFSET) < F.col("_n_eval"), "eval").otherwise("train"))
-    edge = labelled.filter(
-        (F.col(OFFSET) < F.col("_n_eval")) & (F.col(OFFSET) + F.col(COUNT) > F.col("_n_eval"))
+    parts, keys = list(partition_by), _keys(key)
+    x = _with_bucket(df, keys, seed, bucket_hex)
+    narrow = x.select(*parts, *[k for k in keys if k not in parts], HASH, BUCKET)
+    offsets = _bucket_offsets(narrow, parts)
+    n_eval = F.ceil(F.lit(float(eval_fraction)) * F.sum(COUNT).over(Window.partitionBy(*parts))).cast("long")
+    offsets = offsets.withColumn("_n_eval", n_eval)
+    edge = materialize(
+        offsets.filter((F.col(OFFSET) < F.col("_n_eval")) & (F.col(OFFSET) + F.col(COUNT) >= F.col("_n_eval")))
     )
-    edge = _rank_in_bucket(edge, parts, key, "_rank").withColumn(
-        out, F.when(F.col("_rank") <= F.col("_n_eval"), "eval").otherwise("train")
-    ).drop("_rank")
-    cols = [*df.columns, out]
-    return whole.select(*cols).unionByName(edge.select(*cols))
+    groups = edge.count() if parts else 1
+    ranked = _rank_in_bucket(_join_offsets(narrow, edge, parts, groups), parts, keys, "_rank")
+    place = F.struct(HASH, *keys)
+    cuts = ranked.filter(F.col("_rank") == F.col("_n_eval")).select(*parts, place.alias("_cut"))
+    if parts:
+        cuts = materialize(cuts)
+        right = {k: f"_right_{k}" for k in parts}
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in right.items()])
+        side = cuts.select(*[F.col(k).alias(r) for k, r in right.items()], "_cut")
+        labelled = x.join(F.broadcast(side) if groups <= MAX_BROADCAST_ROWS else side, same, "left")
+        cut = F.col("_cut")
+    else:
+        row = cuts.first()  # one row at most
+        if row is None:
+            return df.withColumn(out, F.lit("train"))
+        labelled = x
+        cut = F.struct(*[F.lit(v).cast(narrow.schema[c].dataType).alias(c) for c, v in row[0].asDict().items()])
+    label = F.when(place <= cut, "eval").otherwise("train")
+    return labelled.select(*[F.col(f"`{c}`") for c in df.columns], label.alias(out))
 
 
 def hash_split(

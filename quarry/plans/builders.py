@@ -11,7 +11,7 @@ Builders are registered by name, so new roles are added with
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from ..functions import arrays, chat
 from ..functions.docstring import with_docstring_stripped
 from ..functions.text import clean
 from ..operators import filters, order
+from ..sources.jsonl import write_jsonl
 
 INSTRUCTION_COLS = ("instruction", "input", "output")
 
@@ -193,3 +194,31 @@ def build_all(
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out, failures
+
+
+def build_and_write(
+    sources: dict[str, DataFrame],
+    root: str,
+    roles: Iterable[str] | None = None,
+    seed: int = fixed.SEED,
+    max_samples: int | None = None,
+    options: dict[str, dict] | None = None,
+    key: str = "id",
+    layout: Callable[[DataFrame], DataFrame] | None = None,
+    partition_by: Sequence[str] = (),
+) -> list[tuple[str, int | None, str | None]]:
+    """Build and write each role to ``<root>/role=<name>/``; one (role, records, error) a role.
+
+    A role that fails, in its plan or in a task, leaves the others as they are. Each role is a job of its
+    own and holds only its own columns. ``layout`` arranges the rows before the write (default: the shuffle
+    order without the key).
+    """
+    status = []
+    for role in roles or BUILDERS:
+        try:
+            recs = build(BUILDERS[role](sources[role], **(options or {}).get(role, {})), seed, max_samples, key)
+            rows = layout(recs) if layout else ordered(recs, seed, key).drop(key)
+            status.append((role, write_jsonl(rows, f"{root.rstrip('/')}/role={role}", partition_by), None))
+        except Exception as exc:  # noqa: BLE001 - one failing role must not stop the others
+            status.append((role, None, f"{type(exc).__name__}: {exc}"))
+    return status

@@ -7,6 +7,7 @@ full; the SQL twin of each lives in ``oracle.py`` under the same name.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -182,6 +183,51 @@ def jsonl_roundtrip(spark, sf):
     return read_jsonl(spark, f"{root}/role=code_writer")
 
 
+def _write_roles(spark, sf) -> tuple[str, list]:
+    """Every role as JSONL, a file per role and run of ROLE_FILE_IDS ids, so that lines are known; (root, status)."""
+    from ..session import scratch_path
+
+    def layout(recs: DataFrame) -> DataFrame:
+        recs = recs.withColumn("chunk", F.floor(F.col("id") / O.ROLE_FILE_IDS))
+        return recs.repartition("chunk").sortWithinPartitions("chunk", "id").drop("id")
+
+    root = scratch_path(spark, "role-files")
+    return root, B.build_and_write(role_sources(spark, sf), root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"])
+
+
+def write_status(spark, sf):
+    _, status = _write_roles(spark, sf)
+    return spark.createDataFrame(status, "role string, records long, error string")
+
+
+def prepare_from_jsonl(spark, sf):
+    """All roles written as JSONL, read back by file and line, split, encoded and packed by their recipes."""
+    from ..operators.recipes import recipe_for
+    from ..sources.jsonl import read_numbered
+    from .training_set import prepare, record_schema
+
+    root, _ = _write_roles(spark, sf)
+    sides = []
+    for role in B.BUILDERS:
+        recipe = recipe_for(role)
+        records = read_numbered(spark, f"{root}/role={role}", record_schema(recipe))
+        # Part files have random names; their folder says as much, as it has one file.
+        records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
+        train, held = prepare(records, recipe, ["file", "line"])
+        for part, side in (("train", train), ("eval", held)):
+            item = F.col("block_id").cast("string") if "block_id" in side.columns else F.concat_ws(":", "file", "line")
+            sides.append(
+                side.select(
+                    F.lit(role).alias("role"),
+                    F.lit(part).alias("part"),
+                    item.alias("item"),
+                    F.size("input_ids").cast("long").alias("n_tokens"),
+                    F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+                )
+            )
+    return reduce(DataFrame.unionByName, sides)
+
+
 # ---------------------------------------------------------------------------
 # Validation
 # ---------------------------------------------------------------------------
@@ -221,6 +267,56 @@ def validation_counts(spark, sf):
     return counts
 
 
+def _validated_files(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(report, counts) of the event lines laid out as files of EVENT_FILE_LINES lines.
+
+    Every fifth file is blank only, one has no bytes, every fourth is given a wrong digest; splits are small."""
+    from ..operators.integrity import validate_files
+    from ..session import scratch_path
+    from ..sources.tables import file_listing
+
+    root = scratch_path(spark, "event-files")
+    lines = event_lines(fx.table(spark, sf, "events"))
+    lines = lines.withColumn("part", F.floor((F.col("line") - 1) / O.EVENT_FILE_LINES))
+    lines = lines.withColumn("value", F.when(F.col("part") % 5 == 3, " ").otherwise(F.col("value")))
+    laid = lines.repartition("part").sortWithinPartitions("part", "line").select("part", "value")
+    laid.write.partitionBy("part").text(root)
+    spark.createDataFrame([], "value string").write.text(f"{root}/part=-1")
+    body = F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]))
+    digests = lines.groupBy("part").agg(F.sha2(F.concat(body, F.lit("\n")), 256).alias("sha256"))
+    digests = digests.withColumn("sha256", F.when(F.col("part") % 4 == 1, F.repeat(F.lit("0"), 64)).otherwise(F.col("sha256")))
+    files = file_listing(spark, root).select(F.col("path").alias("file"), _part("path").alias("part"))
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "4096")
+    try:
+        return validate_files(spark, root, REQUIRED_KEYS, files.join(digests, "part"))
+    finally:
+        spark.conf.set(conf, before)
+
+
+def _part(c) -> F.Column:
+    return F.regexp_extract(c, "part=(-?[0-9]+)", 1).cast("long")
+
+
+def validate_files(spark, sf):
+    report, _ = _validated_files(spark, sf)
+    told = F.col("issue").isin("missing_fields", "not_object", "no_records", "empty")
+    return report.select(_part("file").alias("part"), "line", "issue", F.when(told, F.col("detail")).alias("detail"))
+
+
+def validate_files_first(spark, sf):
+    from ..operators.integrity import first_failures
+
+    report, _ = _validated_files(spark, sf)
+    return first_failures(report).select(_part("file").alias("part"), "line", "issue")
+
+
+def validate_files_counts(spark, sf):
+    _, counts = _validated_files(spark, sf)
+    return counts.select(_part("file").alias("part"), "records")
+
+
 # ---------------------------------------------------------------------------
 # Encoding, packing, collation (the prepare pipeline on code_writer records)
 # ---------------------------------------------------------------------------
@@ -476,6 +572,11 @@ QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "validation_report": validation_report,
     "validation_counts": validation_counts,
+    "validate_files": validate_files,
+    "validate_files_first": validate_files_first,
+    "validate_files_counts": validate_files_counts,
+    "write_status": write_status,
+    "prepare_from_jsonl": prepare_from_jsonl,
     "byte_tokens": byte_tokens,
     "pack_positions": pack_positions,
     "pack_stats": pack_stats,

@@ -40,6 +40,8 @@ REVIEW_QUERY_KEYWORDS = ("the ", "und ")
 OPT_QUERY_GROUPS = (("the ", " la ", " der "), ("tion", "ung", "ent"))
 SECURITY_QUERY_LANGS = ("en", "de")
 SAMPLE_N = 100
+ROLE_FILE_IDS = 500
+EVENT_FILE_LINES = 1000
 
 
 def code_writer_sql() -> str:
@@ -325,14 +327,14 @@ def event_lines_sql() -> str:
       FROM events"""
 
 
-def checked_lines_sql() -> str:
+def checked_lines_sql(lines: str | None = None) -> str:
     v = f"trim(value, {WS})"
     return f"""
-      SELECT file, line, CASE WHEN NOT json_valid({v}) THEN 'invalid_json'
+      SELECT file, line, value, CASE WHEN NOT json_valid({v}) THEN 'invalid_json'
                               WHEN json_type({v}) <> 'OBJECT' THEN 'not_object'
                               WHEN NOT list_contains(json_keys({v}), 'k') THEN 'missing_fields'
                               ELSE 'ok' END AS issue
-      FROM ({event_lines_sql()}) WHERE {cl('value')} <> ''"""
+      FROM ({lines or event_lines_sql()}) WHERE {cl('value')} <> ''"""
 
 
 def validation_report_sql() -> str:
@@ -343,6 +345,92 @@ def validation_counts_sql() -> str:
     return f"SELECT file, CAST(count_if(issue = 'ok') AS BIGINT) AS records FROM ({checked_lines_sql()}) GROUP BY file"
 
 
+def event_files_sql() -> str:
+    """The event lines as files; ``file`` is the number of the file."""
+    n = EVENT_FILE_LINES
+    return f"""
+      SELECT (line - 1) // {n} AS file, (line - 1) % {n} + 1 AS line,
+             CASE WHEN (line - 1) // {n} % 5 = 3 THEN ' ' ELSE value END AS value
+      FROM ({event_lines_sql()})"""
+
+
+def file_report_sql() -> str:
+    checked = checked_lines_sql(event_files_sql())
+    return f"""
+      SELECT file AS part, CAST(line AS BIGINT) AS line, issue,
+             CASE issue WHEN 'missing_fields' THEN 'missing ["k"]' WHEN 'not_object' THEN 'list' END AS detail
+      FROM ({checked}) WHERE issue <> 'ok'
+      UNION ALL SELECT -1, NULL, 'empty', 'file has no bytes'
+      UNION ALL SELECT DISTINCT file, NULL::BIGINT, 'sha256', NULL FROM ({event_files_sql()}) WHERE file % 4 = 1
+      UNION ALL SELECT file, NULL, 'no_records', 'file has no valid record'
+        FROM (SELECT e.file, count_if(coalesce(c.issue = 'ok', false)) AS n FROM (SELECT DISTINCT file FROM ({event_files_sql()})) e
+              LEFT JOIN ({checked}) c ON e.file = c.file GROUP BY e.file) WHERE n = 0"""
+
+
+def validate_files_sql() -> str:
+    return f"SELECT CAST(part AS BIGINT) AS part, line, issue, detail FROM ({file_report_sql()})"
+
+
+def validate_first_sql() -> str:
+    rank = "CASE issue WHEN 'empty' THEN 1 WHEN 'sha256' THEN 2 WHEN 'no_records' THEN 4 ELSE 3 END"
+    return f"""
+      SELECT CAST(part AS BIGINT) AS part, line, issue
+      FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY {rank}, line) AS k FROM ({file_report_sql()}))
+      WHERE k = 1"""
+
+
+def file_counts_sql() -> str:
+    return f"""
+      SELECT CAST(e.file AS BIGINT) AS part, CAST(count_if(coalesce(c.issue = 'ok', false)) AS BIGINT) AS records
+      FROM (SELECT DISTINCT file FROM ({event_files_sql()})) e
+      LEFT JOIN ({checked_lines_sql(event_files_sql())}) c ON e.file = c.file GROUP BY e.file"""
+
+
+def write_status_sql() -> str:
+    return f"""
+      SELECT role, CAST(count(*) AS BIGINT) AS records, NULL::VARCHAR AS error FROM ({all_roles_sql()}) GROUP BY role"""
+
+
+def prepare_from_jsonl_sql() -> str:
+    ids_md5 = "md5(array_to_string(ids, ','))"
+    return f"""
+      WITH RECURSIVE recs AS (
+        SELECT role, 'role=' || role || '/chunk=' || (id // {ROLE_FILE_IDS}) AS file, text,
+               row_number() OVER (PARTITION BY role, id // {ROLE_FILE_IDS} ORDER BY id) AS line
+        FROM ({all_roles_sql()})),
+      ranked AS (
+        SELECT *, count(*) OVER (PARTITION BY role) AS n,
+               row_number() OVER (PARTITION BY role ORDER BY {order_hash("file || ':' || line")}, file, line) AS rk
+        FROM recs),
+      sides AS (
+        SELECT k.role, file || ':' || line AS item, rk, max_seq_length AS L, packing,
+               CASE WHEN rk <= ceil({fixed.EVAL_FRACTION!r} * n) THEN 'eval' ELSE 'train' END AS part,
+               {byte_ids_sql('text', 'max_seq_length')} AS ids
+        FROM ranked k JOIN ({recipes_sql()}) c ON k.role = c.role),
+      s AS (
+        SELECT role, L, ids, len(ids) AS len, row_number() OVER (PARTITION BY role ORDER BY rk) AS r
+        FROM sides WHERE part = 'train' AND packing),
+      p(role, r, pos, start, sep) AS (
+        SELECT DISTINCT role, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT FROM s
+        UNION ALL
+        SELECT s.role, s.r, p.pos + CASE WHEN p.pos % s.L <> 0 THEN 1 ELSE 0 END + s.len,
+               p.pos + CASE WHEN p.pos % s.L <> 0 THEN 1 ELSE 0 END,
+               CASE WHEN p.pos % s.L <> 0 THEN 1 ELSE 0 END
+        FROM p JOIN s ON s.role = p.role AND s.r = p.r + 1),
+      placed AS (SELECT s.role, s.L, s.ids, s.len, p.start, p.sep FROM s JOIN p ON s.role = p.role AND s.r = p.r),
+      toks AS (
+        SELECT role, L, start - 1 AS pos, 0 AS tok FROM placed WHERE sep = 1
+        UNION ALL
+        SELECT role, L, start + k - 1 AS pos, t AS tok FROM placed, unnest(ids) WITH ORDINALITY AS u(t, k)),
+      fin AS (SELECT role, max(start + len) // any_value(L) AS full_blocks FROM placed GROUP BY role)
+      SELECT t.role, 'train' AS part, CAST(pos // L AS VARCHAR) AS item, CAST(count(*) AS BIGINT) AS n_tokens,
+             md5(string_agg(CAST(tok AS VARCHAR), ',' ORDER BY pos)) AS ids_md5
+      FROM toks t JOIN fin ON t.role = fin.role WHERE pos // L < full_blocks GROUP BY t.role, pos // L
+      UNION ALL
+      SELECT role, part, item, CAST(len(ids) AS BIGINT) AS n_tokens, {ids_md5} AS ids_md5
+      FROM sides WHERE part = 'eval' OR NOT packing"""
+
+
 # ---------------------------------------------------------------------------
 # Encoding, packing, collation
 # ---------------------------------------------------------------------------
@@ -524,6 +612,11 @@ def oracle_sql() -> dict[str, str]:
         "jsonl_roundtrip": jsonl_roundtrip_sql(),
         "validation_report": validation_report_sql(),
         "validation_counts": validation_counts_sql(),
+        "validate_files": validate_files_sql(),
+        "validate_files_first": validate_first_sql(),
+        "validate_files_counts": file_counts_sql(),
+        "write_status": write_status_sql(),
+        "prepare_from_jsonl": prepare_from_jsonl_sql(),
         "byte_tokens": byte_tokens_sql(),
         "pack_positions": pack_positions_sql(),
         "pack_stats": pack_stats_sql(),

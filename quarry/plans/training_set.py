@@ -8,21 +8,36 @@ the recipe says so (eval is never packed).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import order, pack, recipes, tokenize
+from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_numbered
+from ..sources.tables import has_files
 
 
-def render_records(records: DataFrame, recipe: dict, key: str = "id", chat_template=None) -> DataFrame:
-    return recipes.render(records, recipe, chat_template=chat_template).select(key, "text")
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def render_records(records: DataFrame, recipe: dict, key="id", chat_template=None) -> DataFrame:
+    return recipes.render(records, recipe, chat_template=chat_template).select(*_keys(key), "text")
+
+
+def prepare_path(spark: SparkSession, path: str, recipe: dict, **options) -> tuple[DataFrame, DataFrame]:
+    """``prepare`` from a JSONL file or folder; a record's key is its file and line."""
+    return prepare(read_numbered(spark, path, record_schema(recipe)), recipe, ["file", "line"], **options)
+
+
+def record_schema(recipe: dict):
+    return CHAT_SCHEMA if recipe["format"] == "chat" else INSTRUCTION_SCHEMA
 
 
 def prepare(
     records: DataFrame,
     recipe: dict,
-    key: str = "id",
+    key="id",
     eval_records: DataFrame | None = None,
     eval_path: str | None = None,
     eval_fraction: float = fixed.EVAL_FRACTION,
@@ -35,14 +50,11 @@ def prepare(
     L = int(max_len or recipe["max_seq_length"])
     if eval_records is None and eval_path:
         # An external eval file is used only when it exists; otherwise split.
-        from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_jsonl
-        from ..sources.tables import has_files
-
         if has_files(records.sparkSession, eval_path):
-            schema = CHAT_SCHEMA if recipe["format"] == "chat" else INSTRUCTION_SCHEMA
-            eval_records = read_jsonl(records.sparkSession, eval_path, schema).withColumn(
-                key, F.monotonically_increasing_id()
-            )
+            eval_records = read_numbered(records.sparkSession, eval_path, record_schema(recipe))
+            if not {"file", "line"} <= set(_keys(key)):
+                named = F.concat_ws(":", "file", "line")
+                eval_records = eval_records.withColumns({k: named for k in _keys(key)})
     text = render_records(records, recipe, key, chat_template)
     if eval_records is not None:
         train, ev = text, render_records(eval_records, recipe, key, chat_template)

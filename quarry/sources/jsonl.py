@@ -13,11 +13,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean, strip_ws
+from ..session import materialize
+from .tables import has_files, resolve_uri
 
 INSTRUCTION_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("instruction", "input", "output")]
@@ -30,11 +34,15 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     reader = spark.read.format("text")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+    return reader.load(resolve_uri(path))
+
 
+def parse_jsonl(
+    lines: DataFrame, schema: T.StructType, strict: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Skip blank lines, parse the rest; ``strict`` fails the job on a line that is no JSON object.
 
-def parse_jsonl(lines: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
-    """Skip blank lines, parse the rest; ``strict`` fails the job on a line that is no JSON object."""
+    ``keep`` names columns of ``lines`` that go with the record."""
     body = lines.filter(clean("value") != F.lit(""))
     if strict:
         # The test of the validation report; from_json alone takes trailing text and single quotes.
@@ -42,11 +50,11 @@ def parse_jsonl(lines: DataFrame, schema: T.StructType, strict: bool = True) ->
 
         body = check_lines(body)
         bad = F.raise_error(F.concat(F.lit("line is no JSON object: "), F.substring("value", 1, 200)))
-        body = body.select(F.when(F.col("status") == "ok", F.col("value")).otherwise(bad).alias("value"))
-        parsed = body.select(F.from_json(strip_ws(F.col("value")), schema, {"mode": "FAILFAST"}).alias("r"))
+        body = body.select(F.when(F.col("status") == "ok", F.col("value")).otherwise(bad).alias("value"), *keep)
+        parsed = body.select(*keep, F.from_json(strip_ws(F.col("value")), schema, {"mode": "FAILFAST"}).alias("r"))
     else:
-        parsed = body.select(F.from_json(strip_ws(F.col("value")), schema).alias("r"))
-    return parsed.select("r.*")
+        parsed = body.select(*keep, F.from_json(strip_ws(F.col("value")), schema).alias("r"))
+    return parsed.select(*keep, "r.*")
 
 
 def read_jsonl(
@@ -55,22 +63,32 @@ def read_jsonl(
     return parse_jsonl(read_lines(spark, path), schema, strict)
 
 
+def read_numbered(
+    spark: SparkSession, path: str, schema: T.StructType = INSTRUCTION_SCHEMA, strict: bool = True
+) -> DataFrame:
+    """Records of a file, or of all files under a folder, with ``file`` and ``line``.
+
+    The two columns are a key: no two records share it, and it is the same in every run, whatever the splits."""
+    from ..operators.integrity import numbered_lines, with_line
+
+    raw, splits = numbered_lines(spark, path)
+    return parse_jsonl(with_line(raw, materialize(splits)), schema, strict, ["file", "line"])
+
+
 def read_cached_dir(
     spark: SparkSession, directory: str, schema: T.StructType = INSTRUCTION_SCHEMA
 ) -> DataFrame:
     """All ``*.jsonl`` and ``*.json`` files of a directory, the sinks' parts included (error if there are none)."""
-    from .tables import has_files
-
     if not has_files(spark, directory, "*.{json,jsonl}"):
         raise FileNotFoundError(f"No JSONL files found in {directory}")
     return parse_jsonl(read_lines(spark, directory, "*.{json,jsonl}"), schema)
 
 
-def write_jsonl(df: DataFrame, path: str) -> int:
+def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Write one JSON object per line (a directory of part files); return rows."""
     obs = Observation("write_jsonl")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    observed.write.mode("overwrite").partitionBy(*partition_by).option("ignoreNullFields", "false").json(resolve_uri(path))
     return int(obs.get["rows"])
 
 
@@ -78,7 +96,7 @@ def write_roles(df: DataFrame, root: str, role_col: str = "role") -> int:
     """``<root>/role=<name>/part-*.json``; returns total rows written."""
     obs = Observation("write_roles")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").partitionBy(role_col).option("ignoreNullFields", "false").json(root)
+    observed.write.mode("overwrite").partitionBy(role_col).option("ignoreNullFields", "false").json(resolve_uri(root))
     return int(obs.get["rows"])
 
 

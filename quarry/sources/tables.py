@@ -1,6 +1,6 @@
 """Named sources, URI resolution and fallback chains.
 
-* ``resolve_uri``: scheme allow-list ("", "file", "s3"); anything else is an
+* ``resolve_uri``: scheme allow-list ("", "file", "s3", cluster folders); anything else is an
   error naming the supported schemes. ``s3://`` is read through Hadoop's
   ``s3a`` filesystem, ``file://`` works as a local path.
 * ``read_source``: a table by path and optional split (a sub-directory).
@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import fixed
 
 
+#: Schemes of the shared folders of a cluster; the engine writes there and reads its own files back.
+CLUSTER_SCHEMES = ("hdfs", "viewfs", "s3a")
+
+
 def resolve_uri(uri: str) -> str:
     scheme = urlparse(uri).scheme
-    if scheme not in fixed.SUPPORTED_SCHEMES:
-        raise ValueError(
-            f"Unsupported dataset URI scheme '{scheme}'. Supported: {list(fixed.SUPPORTED_SCHEMES)}"
-        )
+    supported = (*fixed.SUPPORTED_SCHEMES, *CLUSTER_SCHEMES)
+    if scheme not in supported:
+        raise ValueError(f"no reader for URI scheme '{scheme}'; known schemes: {list(supported)}")
     if scheme == "s3":
         return "s3a://" + uri[len("s3://"):]
     return uri
