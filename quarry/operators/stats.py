@@ -25,8 +25,11 @@ def dataset_stats(lines: DataFrame, role_col: str = "role", line_col: str = "lin
 
     ``lines`` holds one serialised record per row, as written to JSONL.
     """
-    return lines.rollup(role_col).agg(
+    roles = lines.groupBy(role_col).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(F.octet_length(F.col(line_col)) + 1).cast("long").alias("bytes"),
-        F.count_distinct(role_col).alias("datasets"),
+    )
+    # Only the rows of the roles are expanded for the total.
+    return roles.rollup(role_col).agg(
+        F.sum("records").alias("records"), F.sum("bytes").alias("bytes"), F.count(role_col).alias("datasets")
     )

@@ -39,6 +39,12 @@ def test_pairs_capped(spark, sf):
     return B.test_generator(fx.unit_tests(_docs(spark, sf), as_structs=True))
 
 
+def test_pairs_json(spark, sf):
+    """The tests come as JSON text instead of an array."""
+    problems = fx.unit_tests(_docs(spark, sf), as_structs=True)
+    return B.test_generator(problems.withColumn("unit_tests", F.to_json("unit_tests")))
+
+
 def test_pairs_joined(spark, sf):
     return B.test_generator_fallback(fx.problems(_docs(spark, sf)))
 
@@ -163,6 +169,35 @@ def build_all(spark, sf):
     return rendered.select("role", "id", "text")
 
 
+def custom_roles_text(spark, sf):
+    """Two roles that the recipe table does not have, with columns of other names."""
+    from ..operators.recipes import recipes, render_by_recipe, with_recipe
+
+    added = {
+        "brief": {"fields": {"instruction": "ask", "input": "input", "output": "reply"}, "max_seq_length": 1024},
+        "audit": {"format": "chat", "fields": {"messages": "turns"}, "packing": True},
+    }
+    brief = code_writer_records(spark, sf).withColumnsRenamed({"instruction": "ask", "output": "reply"})
+    audit = B.static_reviewer(fx.chats(_conv(spark, sf)), keywords=O.REVIEW_QUERY_KEYWORDS)
+    audit = audit.withColumnRenamed("messages", "turns").withColumn("role", F.lit("audit"))
+    both = brief.withColumn("role", F.lit("brief")).unionByName(audit, allowMissingColumns=True)
+    return render_by_recipe(with_recipe(both, recipes(spark, added))).select("role", "id", "packing", "text")
+
+
+def source_fallback(spark, sf):
+    """The first source is not there, the second has no such split, the third has it."""
+    from ..session import scratch_path
+    from ..sources.tables import read_first_available
+
+    root = scratch_path(spark, "splits")
+    held = F.col("doc_id") % 5 == 0
+    _docs(spark, sf).filter(~held).write.parquet(f"{root}/train")
+    _docs(spark, sf).filter(held).write.parquet(f"{root}/test")
+    tried = [(f"{root}-none", "train", "parquet"), (root, "validation", "parquet"), (root, "train", "parquet")]
+    which, found = read_first_available(spark, tried)
+    return found.select("doc_id", F.lit(which).cast("long").alias("source_index"))
+
+
 def dataset_stats(spark, sf):
     from ..operators.stats import dataset_stats as stats
     from ..sources.jsonl import to_lines
@@ -427,14 +462,50 @@ def _events_stream(spark, sf):
     ev = fx.table(spark, sf, "events")
     # A glob (not a bare file path) so the file source can list it.
     s = metrics_stream(spark, f"{sf.rstrip('/')}/event[s].parquet", ev.schema)
-    return s.select(F.col("user_id").alias("run"), "ts", F.col("value").alias("eval_loss"))
+    return s.select(F.col("user_id").alias("run"), "ts", "event_id", F.col("value").alias("eval_loss"))
 
 
 def divergence_stream(spark, sf):
     from ..streaming.monitors import divergence_stream as stream
     from ..streaming.monitors import run_available
 
-    return run_available(stream(_events_stream(spark, sf)), "divergence-stream")
+    return run_available(stream(_events_stream(spark, sf), tie="event_id"), "divergence-stream")
+
+
+def _resumed(spark, sf, name: str, monitor) -> DataFrame:
+    """The events land in three parts by time; the stream is stopped and started again after each."""
+    from ..session import scratch_path
+    from ..streaming.monitors import metrics_stream, run_available
+
+    ev = fx.table(spark, sf, "events")
+    third, two_thirds = ev.select(F.percentile_approx("ts", [1 / 3, 2 / 3])).first()[0]
+    t, landed, out = F.col("ts"), scratch_path(spark, f"{name}-log"), scratch_path(spark, name)
+    for part in (t <= third, (t > third) & (t <= two_thirds), t > two_thirds):
+        ev.filter(part).write.mode("append").parquet(landed)
+        log = metrics_stream(spark, landed, ev.schema)
+        log = log.select(F.col("user_id").alias("run"), "ts", "event_id", F.col("value").alias("eval_loss"))
+        rows = run_available(monitor(log), name, path=out)
+    return rows
+
+
+def divergence_resumed(spark, sf):
+    from ..streaming.monitors import divergence_stream as stream
+
+    return _resumed(spark, sf, "divergence-resumed", lambda log: stream(log, tie="event_id"))
+
+
+def cost_meter_resumed(spark, sf):
+    from ..streaming.monitors import cost_stream
+
+    return _resumed(spark, sf, "cost-resumed", cost_stream)
+
+
+def divergence_chunks(spark, sf):
+    """Chunks of four steps, so that every run spans several of them."""
+    from ..operators.monitor import divergence
+
+    d = divergence(_metrics(spark, sf), chunk_steps=4)
+    return d.select("run", "step", "eval_loss", "best_loss", "is_bad", "bad_streak", "should_stop")
 
 
 def cost_meter_batch(spark, sf):
@@ -552,6 +623,7 @@ def arrow_encoder_tokens(spark, sf):
 QUERIES: dict[str, Query] = {
     "code_writer_records": code_writer_records,
     "test_pairs_capped": test_pairs_capped,
+    "test_pairs_json": test_pairs_json,
     "test_pairs_joined": test_pairs_joined,
     "review_chats": review_chats,
     "lang_filtered_pairs": lang_filtered_pairs,
@@ -568,6 +640,8 @@ QUERIES: dict[str, Query] = {
     "chat_text": chat_text,
     "recipe_join": recipe_join,
     "build_all": build_all,
+    "custom_roles_text": custom_roles_text,
+    "source_fallback": source_fallback,
     "dataset_stats": dataset_stats,
     "jsonl_roundtrip": jsonl_roundtrip,
     "validation_report": validation_report,
@@ -583,9 +657,12 @@ QUERIES: dict[str, Query] = {
     "pack_blocks": pack_blocks,
     "collated_batches": collated_batches,
     "divergence_batch": divergence_batch,
+    "divergence_chunks": divergence_chunks,
     "divergence_stream": divergence_stream,
+    "divergence_resumed": divergence_resumed,
     "cost_meter_batch": cost_meter_batch,
     "cost_meter_stream": cost_meter_stream,
+    "cost_meter_resumed": cost_meter_resumed,
     "best_checkpoint": best_checkpoint,
     "ingest_new_files": ingest_new_files,
     "ingest_stream": ingest_stream_files,

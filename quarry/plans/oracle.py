@@ -281,6 +281,12 @@ def chat_text_sql() -> str:
     return f"SELECT id, transcript AS text FROM ({review_sql()})"
 
 
+def custom_roles_sql() -> str:
+    return f"""
+      SELECT 'brief' AS role, id, false AS packing, text FROM ({instruction_text_sql()})
+      UNION ALL SELECT 'audit' AS role, id, true AS packing, text FROM ({chat_text_sql()})"""
+
+
 def recipe_join_sql() -> str:
     return f"""
       SELECT a.role, a.id, r.format, r.max_seq_length, r.packing
@@ -592,6 +598,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "code_writer_records": code_writer_sql(),
         "test_pairs_capped": test_capped_sql(),
+        "test_pairs_json": test_capped_sql(),
         "test_pairs_joined": test_joined_sql(),
         "review_chats": review_sql(),
         "lang_filtered_pairs": security_sql(),
@@ -608,6 +615,8 @@ def oracle_sql() -> dict[str, str]:
         "chat_text": chat_text_sql(),
         "recipe_join": recipe_join_sql(),
         "build_all": all_roles_sql(),
+        "custom_roles_text": custom_roles_sql(),
+        "source_fallback": "SELECT doc_id, CAST(2 AS BIGINT) AS source_index FROM documents WHERE doc_id % 5 <> 0",
         "dataset_stats": dataset_stats_sql(),
         "jsonl_roundtrip": jsonl_roundtrip_sql(),
         "validation_report": validation_report_sql(),
@@ -623,9 +632,12 @@ def oracle_sql() -> dict[str, str]:
         "pack_blocks": pack_blocks_sql(),
         "collated_batches": collated_sql(),
         "divergence_batch": divergence_sql(),
+        "divergence_chunks": divergence_sql(),
         "divergence_stream": divergence_sql(),
+        "divergence_resumed": divergence_sql(),
         "cost_meter_batch": cost_sql(),
         "cost_meter_stream": cost_sql(),
+        "cost_meter_resumed": cost_sql(),
         "best_checkpoint": best_checkpoint_sql(),
         "ingest_new_files": "SELECT doc_id, lang FROM documents WHERE lang IS DISTINCT FROM 'en'",
         "ingest_stream": "SELECT doc_id, lang FROM documents",

@@ -74,11 +74,11 @@ def _touch(state: GroupState, rows: pd.DataFrame, idle_timeout_ms: int | None) -
         state.setTimeoutTimestamp(int(rows["_us"].max()) // 1000 + int(idle_timeout_ms))
 
 
-def _rows(pdfs: Iterator[pd.DataFrame], ts: str) -> pd.DataFrame:
+def _rows(pdfs: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
     frames = [p for p in pdfs if len(p)]
     if not frames:
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(ts, kind="stable")
+    return pd.concat(frames, ignore_index=True).sort_values(list(by), kind="stable")
 
 
 def divergence_stream(
@@ -89,14 +89,19 @@ def divergence_stream(
     ts: str = "ts",
     loss: str = "eval_loss",
     idle_timeout_ms: int | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
     """Streaming twin of ``operators.monitor.divergence`` (step = arrival rank).
 
+    ``tie`` names the column that orders rows of one time; without it they come as they arrive.
+
     ``idle_timeout_ms``: drop a run's state once the event-time watermark
     passes its last row by that much (rows later than the watermark are then
     dropped as late data). Without it, state is kept for every run.
     """
 
+    order = [ts, *([tie] if tie else [])]
+
     def update(key, pdfs, state: GroupState):
         if state.hasTimedOut:
             state.remove()
@@ -105,7 +110,7 @@ def divergence_stream(
         if state.exists:
             best, bad, seen = state.get
         out = []
-        rows = _rows(pdfs, ts)
+        rows = _rows(pdfs, *order)
         pairs = zip(rows[loss].tolist(), rows["_null"].tolist()) if len(rows) else []
         for value, missing in pairs:
             seen += 1
@@ -130,7 +135,7 @@ def divergence_stream(
 
     ship_package(metrics.sparkSession)
     src = metrics.select(
-        metrics[run].cast("long").alias("run"), ts, loss, F.isnull(loss).alias("_null"), _epoch_us(ts).alias("_us")
+        metrics[run].cast("long").alias("run"), *order, loss, F.isnull(loss).alias("_null"), _epoch_us(ts).alias("_us")
     )
     src, timeout = _with_idle_timeout(src, idle_timeout_ms)
     return src.groupBy("run").applyInPandasWithState(update, DIVERGENCE_OUT, DIVERGENCE_STATE, "append", timeout)
