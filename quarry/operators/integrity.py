@@ -9,8 +9,8 @@ reproduces the fail-fast message of the first one (V6).
 Line numbers are exact and count blank lines. They are derived without a
 window over the data: a text split is read by one task in order, so within
 (file, split start) the ids of ``monotonically_increasing_id`` are
-consecutive; a per-split count table gives each split's first line. Only
-the failing lines are joined to that table.
+consecutive; a table with a row per split gives each split's first line and
+is joined by broadcast up to MAX_BROADCAST_SPLITS rows.
 
 The JSON test is strict by default: Python's own parser through an
 Arrow-batched pandas UDF, because no Spark built-in accepts exactly what it
@@ -34,6 +34,7 @@ from ..sources.tables import file_listing, has_files, resolve_uri
 
 #: A digest needs the whole file as one array of bytes.
 MAX_DIGEST_BYTES = 2_000_000_000
+MAX_BROADCAST_SPLITS = 500_000
 REPORT_SCHEMA = "file string, line long, issue string, detail string"
 PARSE_TYPE = T.StructType(
     [
@@ -149,8 +150,12 @@ def _norm_path(c) -> F.Column:
 
 
 def with_line(rows: DataFrame, splits: DataFrame) -> DataFrame:
-    """Rows of ``numbered_lines`` with their exact line number (from 1, blank lines counted)."""
-    return rows.join(splits.select("file", "_block", "_first", "_before"), ["file", "_block"]).withColumn(
+    """Rows of ``numbered_lines`` with their exact line number (from 1, blank lines counted).
+
+    ``splits`` is materialised: it is counted, and broadcast when it is small, so that the texts do not move."""
+    side = splits.select("file", "_block", "_first", "_before")
+    side = F.broadcast(side) if splits.count() <= MAX_BROADCAST_SPLITS else side
+    return rows.join(side, ["file", "_block"]).withColumn(
         "line", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("long")
     )
 

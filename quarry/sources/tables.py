@@ -30,7 +30,7 @@ def resolve_uri(uri: str) -> str:
     scheme = urlparse(uri).scheme
     supported = (*fixed.SUPPORTED_SCHEMES, *CLUSTER_SCHEMES)
     if scheme not in supported:
-        raise ValueError(f"no reader for URI scheme '{scheme}'; known schemes: {list(supported)}")
+        raise ValueError(f"no reader for URI scheme '{scheme}'. Supported: {list(supported)}")
     if scheme == "s3":
         return "s3a://" + uri[len("s3://"):]
     return uri

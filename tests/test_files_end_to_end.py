@@ -46,6 +46,8 @@ def test_numbered_records_and_broken_lines(spark):
     d = folder_of({"a b.jsonl": line % "p" + "\n" + line % "q", "sub/c%d.jsonl": line % "p"})
     got = {(os.path.basename(r.file), r.line, r.instruction) for r in jsonl.read_numbered(spark, d).collect()}
     assert got == {("a b.jsonl", 1, "p"), ("a b.jsonl", 3, "q"), ("c%d.jsonl", 1, "p")}
+    plan = jsonl.read_numbered(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     for bad in ('{"instruction": "a"} x\n', "{'instruction': 'a'}\n"):
         with pytest.raises(Exception, match="line is no JSON object"):
             jsonl.read_numbered(spark, folder_of({"x.jsonl": bad})).collect()
