@@ -2,7 +2,9 @@
 
 Batches are consecutive ranks of the repeatable order (``rank div B``), so a
 batch has at most B rows: the per-batch maximum is a window over a bounded
-group. Pads use ``pad_id`` (default: the EOS id), mask 0 and label -100.
+group. Ranks and maxima are found on (key, length) alone; the token arrays move
+once, in the join that brings each sample its batch. Pads use ``pad_id``
+(default: the EOS id), mask 0 and label -100.
 """
 
 from __future__ import annotations
@@ -13,7 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
-from .order import global_rank
+from ..session import materialize
+from .order import check_unique, global_rank, join_null_safe
+
+LEN = "_n_ids"
 
 
 def collate(
@@ -24,12 +29,18 @@ def collate(
     seed: int = fixed.SEED,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Adds batch, padded input_ids / attention_mask / labels (per group)."""
-    parts = list(partition_by)
-    ranked = global_rank(df, key, seed, parts, out="rank")
-    x = ranked.withColumn("batch", F.floor((F.col("rank") - 1) / batch_size).cast("long"))
+    """Adds rank, batch, batch_len, padded input_ids / attention_mask / labels (per group).
+
+    ``key`` must be unique within its group and is checked. Null groups are groups like others.
+    """
+    parts, keys = list(partition_by), [key] if isinstance(key, str) else list(key)
+    light = materialize(df.select(*parts, *keys, F.size("input_ids").alias(LEN)))
+    check_unique(light, [*parts, *keys], "collation")
+    ranked = global_rank(light, keys, seed, parts, out="rank")
+    ranked = ranked.withColumn("batch", F.floor((F.col("rank") - 1) / batch_size).cast("long"))
     w = Window.partitionBy(*parts, "batch")
-    x = x.withColumn("batch_len", F.max(F.size("input_ids")).over(w))
+    places = ranked.withColumn("batch_len", F.max(LEN).over(w)).drop(LEN)
+    x = join_null_safe(df, places, [*parts, *keys])
     pad = F.col("batch_len") - F.size("input_ids")
     return x.select(
         *[c for c in x.columns if c not in ("input_ids", "attention_mask", "labels")],

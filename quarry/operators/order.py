@@ -52,6 +52,13 @@ def join_null_safe(x: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFr
     return x.join(side.select(*[F.col(c).alias(right.get(c, c)) for c in side.columns]), same).drop(*right.values())
 
 
+def check_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Raise where a key stands in two rows, for steps that join their result back by it."""
+    twice = df.groupBy(*keys).count().filter("count > 1").take(1)
+    if twice:
+        raise ValueError(f"{what} needs a unique sample key; repeated: {tuple(twice[0])[:-1]}")
+
+
 def _with_bucket(df: DataFrame, key, seed: int, bucket_hex: int) -> DataFrame:
     if not 1 <= bucket_hex <= MAX_BUCKET_HEX:
         raise ValueError(f"bucket_hex must be 1 to {MAX_BUCKET_HEX}: the offset table is broadcast")

@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..session import materialize, ship_package
-from .order import global_rank, join_null_safe
+from .order import check_unique, global_rank, join_null_safe
 
 RANK, CHUNK, LEN = "_pk_rank", "_pk_chunk", "_pk_len"
 TOTAL, SKIPS, ENTRY = "_pk_total", "_pk_skips", "_pk_entry"
@@ -175,9 +175,7 @@ def sample_starts(
     # Lengths only (a few bytes per sample), cut from the upstream plan once:
     # ranking reads them twice (bucket counts, then the in-bucket window).
     light = materialize(df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN)))
-    twice = light.groupBy(*parts, *keys).count().filter("count > 1").take(1)
-    if twice:
-        raise ValueError(f"packing needs a unique sample key; repeated: {tuple(twice[0])[:-1]}")
+    check_unique(light, [*parts, *keys], "packing")
     ranked = global_rank(light, keys, seed, parts, out=RANK)
     # Both passes must see the same ranks; the ranked lengths are four small
     # columns per sample, so they are checkpointed once instead of re-ranked.
@@ -228,8 +226,9 @@ def pack(
 ) -> DataFrame:
     """Packed blocks: (parts..., block_id, input_ids, attention_mask, labels).
 
-    ``df`` holds ``input_ids`` and ``labels``; a sample longer than max_len is
-    cut over as many blocks as it needs. ``key`` must be unique and is checked;
+    ``df`` holds ``input_ids``, and ``labels`` where they are not a copy of the
+    ids: without them only ids move, and a block's labels are made at its end.
+    A sample longer than max_len is cut over as many blocks as it needs. ``key`` must be unique and is checked;
     only the tail of a group is dropped, and a block that is not exactly full
     before it is an error.
     The input is read twice (lengths, then tokens). With an expensive encoder
@@ -240,19 +239,20 @@ def pack(
     parts = list(partition_by)
     keys = [key] if isinstance(key, str) else list(key)
     L = int(max_len)
+    held = [c for c in ("labels",) if c in df.columns]
     if materialize_input:
-        df = materialize(df.select(*parts, *keys, "input_ids", "labels"))
+        df = materialize(df.select(*parts, *keys, "input_ids", *held))
     starts = sample_starts(df, keys, L, seed, parts, "input_ids", chunk_rows, fanout)
     starts = starts.select(*parts, *keys, START, SEP)
-    tokens = join_null_safe(df.select(*parts, *keys, "input_ids", "labels"), starts, [*parts, *keys])
+    tokens = join_null_safe(df.select(*parts, *keys, "input_ids", *held), starts, [*parts, *keys])
     sep = F.col(SEP) == 1
-    ids = F.when(sep, F.concat(F.array(F.lit(int(eos_id))), F.col("input_ids"))).otherwise(F.col("input_ids"))
-    labels = F.when(sep, F.concat(F.array(F.lit(fixed.IGNORE_LABEL)), F.col("labels"))).otherwise(F.col("labels"))
+    carried = {"_ids": ("input_ids", int(eos_id)), "_labels": ("labels", fixed.IGNORE_LABEL)}
+    carried = {out: x for out, x in carried.items() if x[0] in df.columns}
     first = F.col(START) - F.col(SEP)
     frag = tokens.select(
         *parts,
-        ids.alias("_ids"),
-        labels.alias("_labels"),
+        sep.alias("_sep"),
+        *[F.when(sep, F.concat(F.array(F.lit(v)), F.col(c))).otherwise(F.col(c)).alias(o) for o, (c, v) in carried.items()],
         F.floor(first / L).cast("long").alias("_block"),
         F.pmod(first, F.lit(L)).cast("int").alias("_off"),
     ).withColumn("_cuts", F.ceil((F.col("_off") + F.size("_ids")) / L).cast("int"))
@@ -263,17 +263,22 @@ def pack(
         *parts,
         (F.col("_block") + F.col("_cut")).alias("block_id"),
         F.when(F.col("_cut") == 0, F.col("_off")).otherwise(0).alias("offset"),
-        F.slice("_ids", first_id, n_ids).alias("ids"),
-        F.slice("_labels", first_id, n_ids).alias("labels"),
+        (F.col("_sep") & (F.col("_cut") == 0)).alias("sep"),
+        *[F.slice(c, first_id, n_ids).alias(c) for c in carried],
     )
     blocks = exploded.groupBy(*parts, "block_id").agg(
-        F.sort_array(F.collect_list(F.struct("offset", "ids", "labels"))).alias("_frags")
+        F.sort_array(F.collect_list(F.struct("offset", "sep", *carried))).alias("_frags")
     )
+
+    def labels_of(f):
+        ignored = F.concat(F.array(F.lit(fixed.IGNORE_LABEL)), F.slice(f["_ids"], 2, L))
+        return f["_labels"] if held else F.when(f["sep"], ignored).otherwise(f["_ids"])
+
     blocks = blocks.select(
         *parts,
         "block_id",
-        F.flatten(F.transform("_frags", lambda f: f["ids"])).alias("input_ids"),
-        F.flatten(F.transform("_frags", lambda f: f["labels"])).alias("labels"),
+        F.flatten(F.transform("_frags", lambda f: f["_ids"])).alias("input_ids"),
+        F.flatten(F.transform("_frags", labels_of)).alias("labels"),
     )
     n = F.size("input_ids")
     long = F.raise_error(F.concat(F.lit("packed block over its length: "), n.cast("string"))).cast("boolean")

@@ -263,6 +263,31 @@ def prepare_from_jsonl(spark, sf):
     return reduce(DataFrame.unionByName, sides)
 
 
+def prepare_eval_file(spark, sf):
+    """The code_writer records are all training data, as the evaluation side is a JSONL file of another role."""
+    from ..operators.recipes import recipe_for
+    from ..session import scratch_path
+    from ..sources.jsonl import write_roles
+    from .training_set import prepare
+
+    recs = all_records(spark, sf)
+    root = scratch_path(spark, "eval-file")
+    held = recs.filter(F.col("role") == "docs_generator")
+    write_roles(held.select("role", "instruction", "input", "output"), root)
+    recipe = {**recipe_for("code_writer"), "packing": False}
+    train = recs.filter(F.col("role") == "code_writer").select("id", "instruction", "input", "output")
+    train, held = prepare(train, recipe, eval_path=f"{root}/role=docs_generator")
+    sides = [
+        side.select(
+            F.lit(part).alias("part"),
+            F.size("input_ids").cast("long").alias("n_tokens"),
+            F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+        )
+        for part, side in (("train", train), ("eval", held))
+    ]
+    return reduce(DataFrame.unionByName, sides)
+
+
 # ---------------------------------------------------------------------------
 # Validation
 # ---------------------------------------------------------------------------
@@ -411,7 +436,7 @@ def pack_by_group(spark, sf):
 def pack_blocks(spark, sf):
     from ..operators.pack import pack
 
-    blocks = pack(_train_tokens(spark, sf), "id", PACK_LEN, eos_id=0)
+    blocks = pack(_train_tokens(spark, sf).drop("labels"), "id", PACK_LEN, eos_id=0)
     return blocks.select(
         "block_id",
         F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
@@ -651,6 +676,7 @@ QUERIES: dict[str, Query] = {
     "validate_files_counts": validate_files_counts,
     "write_status": write_status,
     "prepare_from_jsonl": prepare_from_jsonl,
+    "prepare_eval_file": prepare_eval_file,
     "byte_tokens": byte_tokens,
     "pack_positions": pack_positions,
     "pack_stats": pack_stats,

@@ -397,6 +397,13 @@ def write_status_sql() -> str:
       SELECT role, CAST(count(*) AS BIGINT) AS records, NULL::VARCHAR AS error FROM ({all_roles_sql()}) GROUP BY role"""
 
 
+def prepare_eval_file_sql() -> str:
+    return f"""
+      SELECT part, CAST(len(ids) AS BIGINT) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5
+      FROM (SELECT CASE role WHEN 'code_writer' THEN 'train' ELSE 'eval' END AS part, {byte_ids_sql('text', PACK_LEN)} AS ids
+            FROM ({all_roles_sql()}) WHERE role IN ('code_writer', 'docs_generator'))"""
+
+
 def prepare_from_jsonl_sql() -> str:
     ids_md5 = "md5(array_to_string(ids, ','))"
     return f"""
@@ -626,6 +633,7 @@ def oracle_sql() -> dict[str, str]:
         "validate_files_counts": file_counts_sql(),
         "write_status": write_status_sql(),
         "prepare_from_jsonl": prepare_from_jsonl_sql(),
+        "prepare_eval_file": prepare_eval_file_sql(),
         "byte_tokens": byte_tokens_sql(),
         "pack_positions": pack_positions_sql(),
         "pack_stats": pack_stats_sql(),

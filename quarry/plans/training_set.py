@@ -71,7 +71,8 @@ def prepare(
     train_tok, eval_tok = encode(train), encode(ev)
     if recipe.get("packing"):
         # A user encoder is the costly step: checkpoint its output once.
+        # Labels are a copy of the ids until separators are masked: packing makes them itself.
         train_tok = pack.pack(
-            train_tok, key, L, tokenize.eos_id(eos_id), seed, materialize_input=encoder_factory is not None
+            train_tok.drop("labels"), key, L, tokenize.eos_id(eos_id), seed, materialize_input=encoder_factory is not None
         )
     return train_tok, eval_tok
