@@ -94,3 +94,22 @@ def test_positions_restart_per_role(spark):
         mine = sorted((b for b in both if b.role == role), key=lambda b: b.block_id)
         assert [list(b.input_ids) for b in mine] == [list(b.input_ids) for b in alone]
         assert [b.block_id for b in mine] == [b.block_id for b in alone]
+
+
+def test_collate_keeps_null_groups_and_checks_keys(spark):
+    from quarry.operators.collate import collate
+
+    rows = [(g, i, [i] * (i + 1)) for g in ("a", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, id long, input_ids array<int>").withColumn("labels", F.col("input_ids"))
+    got = collate(df, "id", 2, pad_id=0, partition_by=["g"]).collect()
+    assert sorted((str(r.g), r.id) for r in got) == sorted((str(g), i) for g, i, _ in rows)
+    for r in got:
+        mates = [x for x in got if (x.g, x.batch) == (r.g, r.batch)]
+        longest = max(x.id + 1 for x in mates)
+        pad = longest - r.id - 1
+        assert len(mates) <= 2 and r.batch_len == longest
+        assert list(r.input_ids) == [r.id] * (r.id + 1) + [0] * pad
+        assert list(r.attention_mask) == [1] * (r.id + 1) + [0] * pad
+        assert list(r.labels) == [r.id] * (r.id + 1) + [-100] * pad
+    with pytest.raises(ValueError, match="unique"):
+        collate(df, "id", 2)
