@@ -36,7 +36,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.compare_neighbours(table(spark, sf_dir, "documents"))
+    return minhash.neighbours_and_classes(table(spark, sf_dir, "documents"))
 
 
 def op7_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

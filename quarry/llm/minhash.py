@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import SPACE_SPLIT, bytes_of, connected_components, fold, id_and_text, id_cuts, local_roots, mix, range_of, ready, slices, tasks, word_hashes, word_spans
+from ..session import materialize, release
+from .common import SPACE_SPLIT, bytes_of, connected_components, fold, id_and_text, id_cuts, mix, range_of, ready, slices, tasks, word_hashes, word_spans
 
 PLACES, WORDS = 128, 5
 _rng = np.random.default_rng(20240229)
@@ -42,9 +42,12 @@ def shingles(buf: np.ndarray, off: np.ndarray, words: int = WORDS) -> tuple[np.n
 
 def signatures(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """documents x 128 places of 16 bits; a document without words has zeros."""
-    x, at = shingles(buf, off)
+    return _signatures(*shingles(buf, off))
+
+
+def _signatures(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(np.diff(at))
-    out = np.zeros((len(off) - 1, PLACES), np.uint16)
+    out = np.zeros((len(at) - 1, PLACES), np.uint16)
     if len(full):
         v = np.empty_like(x)
         for k in range(PLACES):
@@ -82,10 +85,26 @@ def compare_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The texts cross the network once, to ranges of ids; the first row of each range is sent to the range
     before it as well, so every task has the next document of each of its rows.
     """
+    return _neighbours(df, id_col, text_col).drop("class_id")
+
+
+def neighbours_and_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """compare_neighbours with class_id, the near-duplicate class of the whole table that holds the document."""
+    docs, classes = near_classes(df, id_col, text_col)
+    classes = docs.select("doc_id", "item").join(classes, "item").filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).distinct()
+    classes = materialize(classes.select("doc_id", "item", "class_id"))
+    del docs
+    release(df.sparkSession)
+    return _neighbours(df, id_col, text_col, classes)
+
+
+def _neighbours(df: DataFrame, id_col: str, text_col: str, classes: DataFrame | None = None) -> DataFrame:
+    """classes: (doc_id, item, class_id) where class_id is not doc_id; they stand ahead of the texts of their id."""
     ready(df)
     n = tasks(df.sparkSession)
     docs = id_and_text(df, id_col, text_col)
-    docs = docs.withColumn("range", range_of(F.col("doc_id"), id_cuts(docs.select("doc_id"), 4 * n)))
+    cuts = id_cuts(docs.select("doc_id"), 4 * n)
+    docs = docs.withColumn("range", range_of(F.col("doc_id"), cuts))
     tops = {r["range"]: r["top"] for r in docs.groupBy("range").agg(F.max("doc_id").alias("top")).collect()}  # at most 4 n rows
     order = sorted(tops, reverse=True)
     before = {r: order[i - 1] for i, r in enumerate(order)}  # of the first range: the last
@@ -94,31 +113,40 @@ def compare_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     to = F.get(F.array(*[F.lit(before.get(i - 1)).cast("int") for i in range(size)]), F.col("range") + 1)
     own = F.struct(F.col("range").alias("range"), F.lit(0).alias("guest"))
     places = F.when(F.col("doc_id").eqNullSafe(top), F.array(own, F.struct(to.alias("range"), F.lit(1).alias("guest")))).otherwise(F.array(own))
-    docs = docs.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.range", "p.guest")
-    keys = [F.desc("range"), "guest", F.desc_nulls_last("doc_id"), "text"]
+    docs = docs.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.range", "p.guest", F.lit(None).cast("long").alias("item"), F.lit(None).cast("long").alias("class_id"))
+    if classes is not None:
+        docs = docs.union(classes.select("doc_id", F.lit(b"").alias("text"), range_of(F.col("doc_id"), cuts).alias("range"), F.lit(0), "item", "class_id"))
+    keys = [F.desc("range"), "guest", F.desc_nulls_last("doc_id"), F.desc_nulls_last("item"), "text"]
     docs = docs.repartition(n, "range").sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (range, doc_id, text, signature) of the row that waits for its next
+        last, known = None, (None, {})  # (range, doc_id, text, signature, item, class) of the row that waits for its next
         for batch in batches:
             for b in slices(batch, "text", 2 << 20):
-                sig, ranges, guests = signatures(*bytes_of(b.column("text"))), b.column("range").to_pylist(), b.column("guest").to_pylist()
+                x, at = shingles(*bytes_of(b.column("text")))
+                sig, items, ranges, guests = _signatures(x, at), item_numbers(x, at), b.column("range").to_pylist(), b.column("guest").to_pylist()
                 ids, texts, pairs = b.column("doc_id").to_pylist(), b.column("text").to_pylist(), []
+                given, classed = b.column("item").to_pylist(), b.column("class_id").to_pylist()
                 for i in range(b.num_rows):
-                    row = (ranges[i], ids[i], texts[i], sig[i])
+                    if known[0] != (ranges[i], ids[i]):
+                        known = (ranges[i], ids[i]), {}
+                    if given[i] is not None:
+                        known[1][given[i]] = classed[i]
+                        continue
+                    row = (ranges[i], ids[i], texts[i], sig[i], items[i], known[1].get(items[i], ids[i]))
                     if last is not None and last[0] == row[0]:
                         pairs.append((last, row))
                     last = None if guests[i] else row
                 if pairs:
                     yield compared(pairs)
 
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, class_id long"
     return docs.mapInArrow(run, schema)
 
 
 def compared(pairs: list[tuple]) -> pa.RecordBatch:
     edited, lengths = [], []
-    for (_, _, a, _), (_, _, b, _) in pairs:
+    for (_, _, a, *_), (_, _, b, *_) in pairs:
         a, b = a.decode(), b.decode()
         k = len(a) // 3
         lengths.append(len(a))
@@ -129,9 +157,9 @@ def compared(pairs: list[tuple]) -> pa.RecordBatch:
         pa.array([p[0][1] for p in pairs], pa.int64()), pa.array(lengths, pa.int64()),
         pa.array([hashlib.sha256(t).hexdigest() for t in edited]),
         pa.array([s.tobytes().hex() for s in mine.astype(">u2")]), pa.array([s.tobytes().hex() for s in after.astype(">u2")]),
-        pa.array((mine == after).mean(axis=1)), pa.array((mine == theirs).mean(axis=1)),
+        pa.array((mine == after).mean(axis=1)), pa.array((mine == theirs).mean(axis=1)), pa.array([p[0][5] for p in pairs], pa.int64()),
     ]
-    return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+    return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id"])
 
 
 # ---- near-duplicate classes -------------------------------------------------------------------
@@ -140,12 +168,21 @@ def compared(pairs: list[tuple]) -> pa.RecordBatch:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, bands: int = 25, bucket_rows: int = 512) -> DataFrame:
     """(doc_id, class_id), one row per row of df: documents linked by a Jaccard similarity of `similarity` or more.
 
-    class_id is the smallest id reachable. Signatures are cut into `bands`; texts that share a band meet in its
-    bucket (a join on the band's key), where the Jaccard similarity of their shingle sets is verified; a pair of
-    similarity 0.8 shares one of 25 bands of 5 places with probability 0.9999. Texts with one set of shingles
-    are one item, so copies cost nothing. Only bucket members travel with their sets; a bucket over bucket_rows
-    is cut into blocks, of which every two meet in a task of their own; a bucket returns a spanning forest of
-    its links. Texts without words are one class. Null ids: as in SimHash classes, no id of a class.
+    class_id is the smallest id reachable; null ids: as in SimHash classes, no id of a class. See near_classes.
+    """
+    docs, classes = near_classes(df, id_col, text_col, similarity, bands, bucket_rows)
+    return docs.select("doc_id", "item").join(classes, "item").select("doc_id", "class_id")
+
+
+def near_classes(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.8, bands: int = 25, bucket_rows: int = 512) -> tuple[DataFrame, DataFrame]:
+    """(rows with doc_id and item, (item, class_id)). Texts with one set of shingles are one item, so copies cost nothing.
+
+    Signatures are cut into `bands`; items that share a band meet in its bucket, where the Jaccard similarity of
+    their shingle sets is verified; a pair of similarity 0.8 shares one of 25 bands of 5 places with probability
+    0.9999. First each item is held against the smallest item of each of its buckets, a pair once however many
+    bands it shares; that links most near copies. Where a bucket of three or more still has parts that are not
+    linked, all pairs across its parts are compared, in blocks of bucket_rows; blocks of one part do not meet.
+    Only ids and keys travel, and the sets of items that share a band, once for each of an item's hubs. Texts without words are one class.
     """
     ready(df)
     rows = PLACES // bands
@@ -153,59 +190,156 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, "text"):
-                buf, off = bytes_of(b.column("text"))
-                sig, (x, at) = signatures(buf, off), shingles(buf, off)
-                sets = [np.unique(x[s:e]).astype("<u4").tobytes() for s, e in zip(at[:-1], at[1:])]
-                keys = [[int.from_bytes(hashlib.blake2b(bytes([k]) + s[k * rows : (k + 1) * rows].tobytes(), digest_size=8).digest(), "big", signed=True) for k in range(bands)] if sets[i] else [] for i, s in enumerate(sig)]
-                item = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "big", signed=True) for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(item, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "item", "set", "keys"])
-
-    docs = materialize(id_and_text(df, id_col, text_col).mapInArrow(run, "doc_id long, item long, set binary, keys array<long>"))
-    items = docs.groupBy("item").agg(F.min("doc_id").alias("low"), F.min("set").alias("set"), F.min("keys").alias("keys"))
-    members = items.select("item", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = members.join(shared, "key")
-    blocks = F.ceil(F.col("n") / bucket_rows).cast("int")
-    met = met.withColumn("mine", F.pmod(F.xxhash64("item"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    met = met.select("item", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
-    met = met.join(items.select("item", "set"), "item")
+                x, at = shingles(*bytes_of(b.column("text")))
+                sig, item = _signatures(x, at), item_numbers(x, at)
+                keys = [[int.from_bytes(hashlib.blake2b(bytes([k]) + s[k * rows : (k + 1) * rows].tobytes(), digest_size=8).digest(), "big", signed=True) for k in range(bands)] if n else [] for s, n in zip(sig, np.diff(at))]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(item, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "item", "keys"])
+
+    texts = id_and_text(df, id_col, text_col)
+    docs = materialize(texts.mapInArrow(run, "doc_id long, item long, keys array<long>"))
+    # Half of a key is enough to leave out most keys that no other row has; copies pass and are told apart below.
+    often = docs.select(F.explode("keys").alias("key")).select(F.expr("cast(key & 2147483647 as int)").alias("half")).groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = _marks(often, "half")
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            off, keys = b.column("keys").offsets.to_numpy(), b.column("keys").values.to_numpy()
+            ok = _marked(shared, keys[off[0] : off[-1]])
+            item = np.repeat(b.column("item").to_numpy(), np.diff(off))
+            yield pa.RecordBatch.from_arrays([pa.array(item[ok]), pa.array(keys[off[0] : off[-1]][ok])], ["item", "key"])
+
+    members = docs.select("item", "keys").mapInArrow(meeting, "item long, key long").distinct()
+    hubs = members.groupBy("key").agg(F.min("item").alias("hub"), F.max("item").alias("top")).filter("hub != top").select("key", "hub")
+    members = materialize(members.join(hubs, "key").select("key", "item", "hub"))
+
+    def sets_of(items: DataFrame) -> DataFrame:
+        """(item, set) of the items in the column item, and of some others; made again from the texts."""
+        wanted = _marks(items.distinct(), "item")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for b in slices(batch, "text"):
+                    x, at = shingles(*bytes_of(b.column("text")))
+                    item = np.array(item_numbers(x, at), np.int64)
+                    once = {int(item[i]): i for i in np.flatnonzero(_marked(wanted, item)).tolist()}
+                    sets = [np.unique(x[at[i] : at[i + 1]]).astype("<u4").tobytes() for i in once.values()]
+                    yield pa.RecordBatch.from_arrays([pa.array(list(once), pa.int64()), pa.array(sets, pa.binary())], ["item", "set"])
+
+        return texts.mapInArrow(run, "item long, set binary").dropDuplicates(["item"])
+
+    # The items of a hub, in groups of bounded size, each with the hub's set first.
+    pairs = members.filter("item != hub").select("item", "hub").distinct()
+    size = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / (8 * bucket_rows)).alias("groups"))
+    own = size.select(F.col("hub").alias("item"), "hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g"))
+    met = pairs.join(size, "hub").select("item", "hub", F.pmod(F.xxhash64("item"), F.col("groups")).alias("g")).union(own)
+    met = sets_of(members.select("item")).join(met, "item")
+    met = met.repartition("hub", "g").sortWithinPartitions("hub", "g", F.col("item") != F.col("hub")).select("item", "hub", "set")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, item, sets = [], [], []
+        first = None
         for b in batches:
-            for k, i, s in zip(b.column("key").to_pylist(), b.column("item").to_pylist(), b.column("set").to_pylist()):
-                if key and key[-1] != k:
-                    yield _forest(item, sets, similarity)
-                    key, item, sets = [], [], []
-                key.append(k)
+            near = []
+            for i, h, s in zip(b.column("item").to_pylist(), b.column("hub").to_pylist(), b.column("set").to_pylist()):
+                s = np.frombuffer(s, "<u4")
+                first = s if i == h else first
+                near.append(i != h and _jaccard(first, s) >= similarity)
+            yield b.select(["item", "hub"]).filter(pa.array(near, pa.bool_())).rename_columns(["a", "b"])
+
+    links = materialize(met.mapInArrow(verify, "a long, b long"))
+    parts = materialize(connected_components(links))
+
+    # Buckets in which something is left to compare; of buckets with the same items one is enough.
+    rooted = members.join(parts, F.col("item") == F.col("node"), "left").select("key", "item", F.coalesce("root", "item").alias("root"))
+    left = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("top"), F.expr("bit_xor(xxhash64(item))").alias("x"), F.expr("bit_xor(xxhash64(item, 7))").alias("y"))
+    left = left.filter("n > 2 and low != top").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    open_ = materialize(rooted.join(left, "key"))
+    if not open_.isEmpty():
+        more = materialize(_across(open_, sets_of(open_.select("item")), similarity, bucket_rows))
+        parts = materialize(connected_components(links.union(more)))
+
+    items = docs.groupBy("item").agg(F.min("doc_id").alias("low"))
+    rooted = items.join(parts, F.col("item") == F.col("node"), "left").select("item", "low", F.coalesce("root", "item").alias("root"))
+    lows = rooted.groupBy("root").agg(F.min("low").alias("class_id"))
+    return docs, materialize(rooted.join(lows, "root").select("item", "class_id"))
+
+
+def _across(members: DataFrame, sets: DataFrame, similarity: float, bucket_rows: int) -> DataFrame:
+    """Links (a, b) between items of different roots in each bucket of (key, item, root), all pairs compared.
+
+    A root with bucket_rows items or more in the bucket has blocks of its own, the others share blocks.
+    """
+    size = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    size = size.withColumn("pure", F.when(F.col("n") >= bucket_rows, F.col("root")))
+    count = size.groupBy("key", "pure").agg(F.sum("n").alias("n")).withColumn("blocks", F.ceil(F.col("n") / bucket_rows))
+    count = count.select(F.col("key").alias("k"), F.col("pure").alias("p"), "blocks")
+    blocks = count.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("k", "p", F.xxhash64("k", F.coalesce("p", F.lit(0)), F.col("p").isNull(), "j").alias("block"))
+    met = blocks.join(blocks.select(F.col("k").alias("l"), F.col("p").alias("q"), F.col("block").alias("to")), F.col("k") == F.col("l"))
+    met = met.filter("block <= to and not coalesce(p = q, false)").select(F.xxhash64("block", "to").alias("pair"), F.explode(F.array_distinct(F.array("block", "to"))).alias("at"))
+    placed = members.join(size.select("key", "root", "pure"), ["key", "root"])
+    placed = placed.join(count, (F.col("key") == F.col("k")) & F.col("pure").eqNullSafe(F.col("p")))
+    placed = placed.select("item", "root", F.xxhash64("key", F.coalesce("pure", F.lit(0)), F.col("pure").isNull(), F.pmod(F.xxhash64("item"), F.col("blocks"))).alias("at"))
+    placed = placed.join(met, "at").join(sets, "item").select("pair", "item", "root", "set")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, item, root, held = None, [], [], []
+        for b in batches:
+            for p, i, r, s in zip(b.column("pair").to_pylist(), b.column("item").to_pylist(), b.column("root").to_pylist(), b.column("set").to_pylist()):
+                if p != pair and item:
+                    yield _forest(item, root, held, similarity)
+                    item, root, held = [], [], []
+                pair = p
                 item.append(i)
-                sets.append(np.frombuffer(s, "<u4"))
-        if key:
-            yield _forest(item, sets, similarity)
+                root.append(r)
+                held.append(np.frombuffer(s, "<u4"))
+        if item:
+            yield _forest(item, root, held, similarity)
 
-    links = met.repartition("key").sortWithinPartitions("key", "item").select("key", "item", "set").mapInArrow(verify, "a long, b long")
-    parts = connected_components(materialize(links))
-    rooted = items.select("item", "low").join(parts, F.col("item") == F.col("node"), "left").withColumn("root", F.coalesce("root", "item"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("class_id"))
-    return docs.select("doc_id", "item").join(rooted.join(lows, "root").select("item", "class_id"), "item").select("doc_id", "class_id")
-
-
-def _forest(item: list[int], sets: list[np.ndarray], similarity: float) -> pa.RecordBatch:
-    """A spanning forest of the links within a bucket."""
-    n, a, b = len(item), [], []
-    left = list(range(n))  # not yet reached; a reached item is compared to those left only
-    queue: list[int] = []
-    while left:
-        x = queue.pop() if queue else left.pop()
-        near = [y for y in left if _jaccard(sets[x], sets[y]) >= similarity]
-        if near:
-            reached = set(near)
-            left = [y for y in left if y not in reached]
-            queue += near
-            a += [x] * len(near)
-            b += near
-    ids = np.array(item, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(ids[np.array(a, int)]), pa.array(ids[np.array(b, int)])], ["a", "b"])
+    return placed.repartition("pair").sortWithinPartitions("pair", "item").mapInArrow(compare, "a long, b long")
+
+
+#: Most bits of a table of marks. More marks than fit let more rows through; the joins behind are exact.
+MARK_BITS = 25
+
+
+def _marks(df: DataFrame, c: str) -> np.ndarray:
+    """A bit table of the 64-bit hashes in column c, for the tasks to leave out most rows that no join will meet."""
+    bits = min(MARK_BITS, max(16, (16 * df.count()).bit_length()))
+    at = df.select(F.pmod(F.col(c), F.lit(1 << bits)).alias("v")).groupBy(F.shiftright("v", 6).alias("w"))
+    words = at.agg(F.expr("bit_or(shiftleft(1L, cast(v & 63 as int)))").alias("m")).toArrow()
+    out = np.zeros(1 << bits >> 6, np.int64)
+    out[words.column("w").to_numpy()] = words.column("m").to_numpy()
+    return out
+
+
+def _marked(marks: np.ndarray, v: np.ndarray) -> np.ndarray:
+    v = v & np.int64(64 * len(marks) - 1)
+    return (marks[v >> 6] >> (v & 63)) & 1 == 1
+
+
+def item_numbers(x: np.ndarray, at: np.ndarray) -> list[int]:
+    """A 64-bit number of each document's set of shingles."""
+    return [int.from_bytes(hashlib.blake2b(np.unique(x[s:e]).astype("<u4").tobytes(), digest_size=8).digest(), "big", signed=True) for s, e in zip(at[:-1], at[1:])]
+
+
+def _forest(item: list[int], root: list[int], sets: list[np.ndarray], similarity: float) -> pa.RecordBatch:
+    """Links between the parts (items of one root) of a bucket, as many as join what can be joined."""
+    a, b, size = [], [], np.array([len(s) for s in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    at, mark = np.concatenate([[0], np.cumsum(size)]), np.zeros(int(codes.max()) + 1, bool)
+    part = np.unique(np.array(root, np.int64), return_inverse=True)[1]
+    for x in range(len(item)):
+        y = np.flatnonzero((part != part[x]) & (np.arange(len(item)) > x) & (np.minimum(size, size[x]) >= similarity * np.maximum(size, size[x])))
+        if not len(y):
+            continue
+        mark[codes[at[x] : at[x + 1]]] = True
+        both = np.array([np.count_nonzero(mark[codes[at[i] : at[i + 1]]]) for i in y.tolist()])
+        mark[codes[at[x] : at[x + 1]]] = False
+        for i in y[both / (size[y] + size[x] - both) >= similarity].tolist():
+            if part[i] != part[x]:
+                a.append(item[x])
+                b.append(item[i])
+                part[part == part[i]] = part[x]
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _jaccard(a: np.ndarray, b: np.ndarray) -> float:

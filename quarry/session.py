@@ -8,6 +8,7 @@ session has none (tests, local runs) do we pick a local one.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -78,6 +79,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints of frames that are out of use.
+
+    It does so once the driver's JVM collects its garbage, which may be long after a phase has ended.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _SHIPPED: set[str] = set()
 
 

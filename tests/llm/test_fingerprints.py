@@ -84,6 +84,23 @@ def test_near_duplicate_classes_equal_brute_force(spark):
         assert {r.doc_id: r.class_id for r in minhash.near_duplicates(df, bucket_rows=bucket).collect()} == {d: find(d) for d, _ in rows}
 
 
+def test_op6_links_near_copies_that_do_not_follow_each_other(spark, tmp_path):
+    from quarry.llm import catalog
+
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, text), (2, "other words stand here"), (7, text + " end"), (9, "more of these"), (9, text + " last"), (None, text.upper()), (None, ""), (12, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.op6_minhash(spark, str(tmp_path)).collect()
+    check(rows, got)
+    assert sorted(str((r.doc_id, r.n_chars, r.class_id)) for r in got) == sorted(str((d, len(t or ""), 1 if len(t or "") > 99 else 12 if not t else d)) for d, t in rows)
+
+
+def test_parts_of_a_large_bucket_meet():
+    sets = [np.arange(i, i + 20, dtype="<u4") for i in range(0, 12, 2)] + [np.arange(500, 520, dtype="<u4")]  # a chain and one apart
+    out = minhash._forest(list(range(7)), [0, 0, 2, 3, 4, 5, 6], sets, 0.8).to_pylist()
+    assert sorted((r["a"], r["b"]) for r in out) == [(1, 2), (2, 3), (3, 4), (4, 5)]
+
+
 def test_languages_are_found(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     rows = langid.language_of_documents(docs).select("lang", langid.held_out().alias("h"), "_language.*").collect()
