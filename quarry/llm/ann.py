@@ -24,7 +24,7 @@ from ..operators.order import ordinal_rank
 from ..session import materialize
 from .common import ready
 
-#: Rows of a curve that stand in one block, the unit in which windows are read. Bounds a task's memory.
+#: Rows of a curve in one block, the unit in which windows are read, and queries in one deal. Bounds a task's memory.
 BLOCK = 2048
 #: Queries whose true neighbours are found by brute force to measure the window: a documented, fixed bound.
 SAMPLE = 256
@@ -156,6 +156,24 @@ def true_neighbours(items: DataFrame, sample: list, k: int) -> DataFrame:
     return found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).select("query", "other")
 
 
+def dealt(ranked: DataFrame, items: DataFrame, asking: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(members, queries, its columns named q_*) by size, curve, block and deal, where each query meets all in its window.
+
+    A block is BLOCK neighbours on a curve, a deal BLOCK queries that follow each other there. A query goes to every
+    block that its window meets, a block to every deal that has such a query, so both sides of a group are bounded.
+    """
+    on_curves = ranked.join(asking.select("item"), "item").select("item", "size", "curve", "rank")
+    turns = ordinal_rank(on_curves, ["size", "curve"], ["rank"], out="turn")
+    turns = turns.withColumn("deal", F.floor((F.col("turn") - 1) / BLOCK).cast("int")).select("item", "size", "curve", "rank", "deal")
+    lo, hi = F.floor(F.greatest(F.col("rank") - window, F.lit(0)) / BLOCK), F.floor((F.col("rank") + window) / BLOCK)
+    met = turns.withColumn("block", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))))
+    at = ["size", "curve", "block", "deal"]
+    blocked = ranked.withColumn("block", F.floor(F.col("rank") / BLOCK).cast("int"))
+    members = blocked.join(met.select(*at).distinct(), at[:3]).join(items.select("item", "vector", "ids"), "item").select(*at, "rank", "item", "vector", "ids")
+    placed = met.join(asking.select("item", "vector"), "item")
+    return members, placed.select(*[F.col(c).alias(f"q_{c}") for c in ("item", "vector", "rank", *at)])
+
+
 def nearest_neighbours(
     df: DataFrame,
     id_col: str = "vec_id",
@@ -203,12 +221,7 @@ def nearest_neighbours(
     window = apart.agg(F.expr(f"percentile_disc({recall}) within group (order by d)")).first()[0]
     window = max(1, int(window or 1))
 
-    # A query goes to every block that its window meets; blocks are bounded, whatever the window is.
-    blocked = ranked.withColumn("block", F.floor(F.col("rank") / BLOCK).cast("int"))
-    placed = ranked.join(asking.select("item", "vector"), "item")
-    lo, hi = F.floor(F.greatest(F.col("rank") - window, F.lit(0)) / BLOCK), F.floor((F.col("rank") + window) / BLOCK)
-    placed = placed.select(*[F.col(c).alias(f"q_{c}") for c in ("item", "vector", "size", "curve", "rank")], F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias("q_block"))
-    members = blocked.join(items.select("item", "vector", "ids"), "item").select("size", "curve", "block", "rank", "item", "vector", "ids")
+    members, placed = dealt(ranked, items, asking, window)
 
     def search(key: tuple, m: pa.Table, q: pa.Table) -> pa.Table:
         found = []
@@ -229,7 +242,7 @@ def nearest_neighbours(
         cols = list(zip(*found)) or [[], [], []]
         return pa.table({"item": pa.array(cols[0], pa.binary()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
-    at = ["size", "curve", "block"]
+    at = ["size", "curve", "block", "deal"]
     found = members.groupBy(*at).cogroup(placed.groupBy(*[f"q_{c}" for c in at])).applyInArrow(search, "item binary, vec_id long, score double")
     merged = found.groupBy("item", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("item").orderBy(F.desc("score"), "vec_id")

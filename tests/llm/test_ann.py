@@ -94,3 +94,17 @@ def test_edge_rows(spark):
     assert ann.nearest_neighbours(df.limit(0)).count() == 0
     assert ann.nearest_neighbours(df.filter("vec_id = 0")).count() == 0
     assert answers(ann.nearest_neighbours(df.filter("vec_id < 3")))[0][0][0] == 1
+
+
+def test_both_sides_of_a_group_are_bounded(spark, monkeypatch):
+    """Every row asks and the window covers all: each pair meets once, in groups of at most BLOCK by BLOCK."""
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    ranked = spark.range(100).select(F.col("id").cast("string").cast("binary").alias("item"), F.lit(2).alias("size"), F.lit(0).alias("curve"), (F.col("id") + 1).alias("rank"))
+    items = ranked.select("item", "size", F.lit(b"v").alias("vector"), F.array("rank").alias("ids"))
+    members, queries = ann.dealt(ranked, items, items, 200)
+    at = ["size", "curve", "block", "deal"]
+    q = [f"q_{c}" for c in at]
+    assert max(r["count"] for r in members.groupBy(*at).count().collect()) <= 16
+    assert max(r["count"] for r in queries.groupBy(*q).count().collect()) <= 16
+    pairs = members.join(queries, [F.col(a) == F.col(b) for a, b in zip(at, q)])
+    assert pairs.count() == pairs.select("item", "q_item").distinct().count() == 100 * 100
