@@ -253,9 +253,9 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(doc_id, text): texts with masked entities and without the terms that give them away.
+    """(doc_id, text), one row per row of df: texts with masked entities and without the terms that give them away.
 
-    Rows that share an id are told apart by their texts.
+    Rows are told apart by a number, so repeated rows stay and count as documents, as in find_personal_data.
     """
     ready(df)
 
@@ -264,10 +264,9 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
         shown = [[(KINDS_BY_NAME[k], int(a), int(z)) for k, a, z in (s.split(":") for s in x.split(",") if s)] for x in spans]
         return pd.Series([mask(t, s) for t, s in zip(texts, shown)])
 
-    docs = id_and_text(df, id_col, text_col).select("doc_id", F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("th", F.xxhash64("text"))
-    keyed = materialize(docs.groupBy("doc_id", "th").agg(F.min("text").alias("text")))
-    numbered = keyed.select(F.xxhash64("doc_id", "th").alias("k"), "doc_id", "text")
+    docs = materialize(id_and_text(df, id_col, text_col).select("doc_id", F.col("text").cast("string").alias("text")))
+    # The written rows have a fixed order, so the number is the same in every pass.
+    numbered = docs.withColumn("k", F.monotonically_increasing_id())
     spans = find_personal_data(numbered, "k", "text", **options).select(F.col("doc_id").alias("k"), "spans")
     return numbered.join(spans, "k").select("doc_id", masked("text", "spans").alias("text"))
 

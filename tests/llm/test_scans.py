@@ -142,3 +142,9 @@ def test_disclosure_is_the_share_of_information(spark):
     n, n_e, n_t, n_et = len(rows), 5, 205, 5
     share = math.log2(n * n_et / (n_e * n_t)) / math.log2(n / n_e)
     assert [round(t.share, 9) for t in terms if t.term == h] == [round(share, 9)]
+
+
+def test_sanitise_keeps_repeated_rows(spark):
+    rows = [(1, "write to a@b.org now")] * 3 + [(None, None), (None, None), (2, "plain")]
+    got = pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, got)) == sorted(f"Row(doc_id={d}, text={(t or '').replace('a@b.org', '[EMAIL]')!r})" for d, t in rows)
