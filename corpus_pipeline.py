@@ -15,9 +15,10 @@ from quarry.session import scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the profiles know; rejected: null texts and texts without a letter."""
+    """Documents in a language that the profiles know; rejected: null texts, texts without a letter or a known n-gram."""
     x = langid.language_of_documents(docs)
-    return x.filter(F.col("_language.lang_pred") != "und").select(*docs.columns)
+    # The score is 0 only where every n-gram is out of place for every language.
+    return x.filter((F.col("_language.lang_pred") != "und") & (F.col("_language.score") > 0)).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,3 +89,9 @@ def test_empty_table(spark):
     docs = odd(spark).limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, docs, SF001).count() == 0
+
+
+def test_texts_in_an_unknown_script_are_rejected(spark):
+    rows = [(i, "the quick brown fox jumps over the lazy dog", "en") for i in range(40)] + [(100, "Ωμέγα", None), (101, "a dog", None)]
+    kept = P.language_id(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 101]
