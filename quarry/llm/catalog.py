@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, dac, langid, line_dedup, minhash, mix, oracle, pack, pii, secret_scan, simhash
+from . import ann, conversation_repair, dac, divergence_audit, langid, line_dedup, minhash, mix, oracle, pack, pii, secret_scan, sharding, simhash
 from .common import table
 
 
@@ -57,6 +57,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("all_spans")
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "shards"), shards=16)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(damaged).withColumnRenamed("conv", "conv_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language, op3_mix, op4_best_fit_packing, op5_line_dedup, op6_minhash, op7_token_codes, op8_secrets, op9_neighbours, op10_personal_data, pipeline)}
+    return {f.__name__: f for f in (op1_simhash, op2_language, op3_mix, op4_best_fit_packing, op5_line_dedup, op6_minhash, op7_token_codes, op8_secrets, op9_neighbours, op10_personal_data, op11_divergence_audit, op12_hilbert_shards, op13_conversation_repair, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

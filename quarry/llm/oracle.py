@@ -49,7 +49,38 @@ SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
   CASE WHEN taken > 0 THEN 2.0::DOUBLE * x / (a + sqrt(a * a + 2.0::DOUBLE * (b - a) * x)) END AS position FROM done
 """
 
+_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+found AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM found GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+counts AS (SELECT f.lang, f.source, f.term, count(*) AS n FROM found f JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(t.total, 0) AS total, coalesce(l.v, 0) AS v, coalesce(l.total, 0) AS lang_total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs l ON g.lang = l.lang
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) t ON g.lang = t.lang AND g.source = t.source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + g.v) AS p,
+    1 + (1000000000::HUGEINT * (k.lang_n + 1)) // (g.lang_total + g.v) AS lang_p
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every_pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, (((p - lang_p) * (p - lang_p)) // lang_p)::BIGINT AS value FROM shares WHERE n > 0 AND p > lang_p),
+parts AS (SELECT *, 'pair' AS part FROM every_pair UNION ALL SELECT *, 'term' AS part FROM terms),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 SQL = {
     "op3_mix": _MIX,
     "op5_line_dedup": _KEPT_LINES + "SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept",
+    "op11_divergence_audit": _DIVERGENCE,
 }
