@@ -49,7 +49,7 @@ def count_terms(df: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text", 16 << 20):
+            for b in slices(batch, "text", 8 << 20):
                 buf, off = bytes_of(b.column("text"))
                 starts, ends, first = word_spans(buf, off, TERM)
                 if not len(starts):
