@@ -27,8 +27,35 @@ def test_words_give_the_ids_of_whole_texts(library):
         assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [e.ids + [7] for e in library.encode_batch(part, add_special_tokens=False)]
 
 
+def test_words_that_share_a_hash(library, monkeypatch):
+    hashes = tokens.word_hashes
+    monkeypatch.setattr(tokens, "word_hashes", lambda *a: hashes(*a) % np.uint64(5))
+    enc = tokens.WordEncoder(tokens.vocabulary())
+    for part in (ODD, ["a b c d e f g h. é ü", "h. i é"], ODD):
+        ids, first = enc.encode(pa.array(part), 7)
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [e.ids + [7] for e in library.encode_batch(part, add_special_tokens=False)]
+
+
+def test_another_vocabulary_is_encoded_whole():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc, other = tokens.WordEncoder(path), Tokenizer.from_file(path)
+    assert not enc.by_word
+    for end in (None, 3):
+        ids, first = enc.encode(pa.array([*ODD, "A Text.\n  And more"]), end)
+        want = [e.ids + ([] if end is None else [end]) for e in other.encode_batch([*ODD, "A Text.\n  And more"], add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+
+
+def test_letters_of_one_byte_more(library):
+    text = " ".join(chr(c) * k + "x" for c in range(0xA0, 0x180) for k in (1, 2)) + " Straße ÉTÉ Ångström naïveté."
+    ids, _ = tokens.WordEncoder(tokens.vocabulary()).encode(pa.array([text]))
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("aAbK é́̌J.,'s!\n\t 0-9<|>"), max_size=30), min_size=1, max_size=5))
+@given(st.lists(st.text(st.sampled_from("aAbK é́̌JÉßµª.,'s!\n\t 0-9<|>"), max_size=30), min_size=1, max_size=5))
 def test_any_text(texts):
     enc = tokens.encoder(tokens.vocabulary())
     ids, first = enc.encode(pa.array(texts))
