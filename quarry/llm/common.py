@@ -32,6 +32,14 @@ def lower_ascii(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or the next name like it that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id long, text binary): null texts are empty, all other columns are left behind."""
     return df.select(

@@ -151,8 +151,12 @@ class Profiles:
 def identify(df: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", profile_size: int = 300, out: str = "_language") -> DataFrame:
     """df with a column `out`: struct(lang_pred string, score double); other columns and all rows stay.
 
-    `und` and 0 if the text is null or has no letter, or no language was learned. The text alone decides.
+    `und` and 0 if the text is null or has no letter, or no language was learned. The text alone decides, so repeated
+    rows get one answer each and the same; at equal distances the language that comes first by name wins. A text in
+    which no n-gram is known has score 0. An empty table stays empty. `out` must not be a column of df.
     """
+    if out in df.columns:
+        raise ValueError(f"the table has a column {out}; name another with out=")
     ready(df)
     model = df.sparkSession.sparkContext.broadcast(profiles)
 
@@ -172,7 +176,12 @@ def held_out(id_col: str = "doc_id"):
 
 
 def language_of_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", profile_size: int = 300, out: str = "_language") -> DataFrame:
-    """df with `out`: struct(lang_pred, score), learned from the rows that are not held out and have an id."""
+    """df with `out`: struct(lang_pred, score), learned from the rows that are not held out and have an id.
+
+    Rows without a language or a text teach nothing but are answered like others; with none to learn from, all are
+    `und`. Repeated rows teach as often as they stand there. More than MAX_LANGUAGES languages are an error: a profile
+    is 300 numbers, and every task holds all of them. Otherwise as ``identify``.
+    """
     crc = F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary"))
     profiles = learn_profiles(df.filter(crc % 4 != 2), text_col, lang_col, profile_size)
     return identify(df, profiles, text_col, profile_size, out)

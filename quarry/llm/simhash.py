@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import connected_components, id_and_text, local_roots, ready
+from .common import connected_components, free_name, id_and_text, local_roots, ready
 
 BITS = 64
 MAX_BROADCAST_KEYS = 200_000
@@ -243,6 +243,8 @@ def _links_in(max_bits: int):
 
 def fingerprint_links(values: DataFrame, max_bits: int = 3, bucket_rows: int = 1024) -> DataFrame:
     """(a, b): links that connect every two fingerprints of `values` (distinct, column fp) within max_bits."""
+    if max_bits < 2:
+        raise ValueError("max_bits must be 2 or more: fewer leave groups of bits too wide to be counted")
     ready(values)
     groups = group_bits(bit_correlations(values), max_bits + 1)
     most = min(2, max_bits)
@@ -308,7 +310,8 @@ def keep_one_of_each_class(
     """The rows of df, one of each near-duplicate class: that with the smallest id (null ids last).
 
     Where the smallest id stands in several rows, their fingerprints are compared again and one row with the
-    smallest stays. All columns stay as they were.
+    smallest stays. All columns stay as they were, whatever their names. Null and empty texts have fingerprint zero. An
+    empty table stays empty.
     """
     docs, rooted = _roots(df, id_col, text_col, words_per_shingle, max_bits, bucket_rows)
     rooted = materialize(rooted)
@@ -319,7 +322,8 @@ def keep_one_of_each_class(
     marked = first.join(many, F.col("keep_id").eqNullSafe(F.col("doc_id")), "left")
     marked = materialize(marked.select("keep_id", "keep_fp", F.col("rows").isNotNull().alias("several")))
     ident = F.col(f"`{id_col}`").cast("long")
-    kept = df.join(marked.filter("not several").select("keep_id"), ident == F.col("keep_id"), "left_semi")
+    single = free_name(df, "keep_id")
+    kept = df.join(marked.filter("not several").select(F.col("keep_id").alias(single)), ident == F.col(single), "left_semi")
     several = marked.filter("several")
     if not several.take(1):
         return kept

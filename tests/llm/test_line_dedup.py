@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm.line_dedup import deduplicate_lines
@@ -36,6 +37,11 @@ def test_cases(spark):
     assert got.columns == ["doc_id", "lines", "id", "row", "pos", "key", "_lines"]
     assert sorted(str((r[0], r._lines.text, r._lines.n_lines, r._lines.n_dropped)) for r in got.collect()) == brute(rows)
     assert deduplicate_lines(df.limit(0)).count() == 0
+    # Beyond the bound of a broadcast the lines meet by key, hot ones in parts.
+    got = deduplicate_lines(df, max_broadcast=0, part_docs=2, out="done")
+    assert sorted(str((r[0], r.done.text, r.done.n_lines, r.done.n_dropped)) for r in got.collect()) == brute(rows)
+    with pytest.raises(ValueError, match="has a column _lines"):
+        deduplicate_lines(df.withColumn("_lines", F.lit(1)))
 
 
 def test_no_python_in_the_plan(spark):

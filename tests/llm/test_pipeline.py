@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -95,3 +96,15 @@ def test_texts_in_an_unknown_script_are_rejected(spark):
     rows = [(i, "the quick brown fox jumps over the lazy dog", "en") for i in range(40)] + [(100, "Ωμέγα", None), (101, "a dog", None)]
     kept = P.language_id(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
     assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 101]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the operators' own keep their values."""
+    extra = ["_language", "_lines", "keep_id", "keep_fp", "lost", "position", "row"]
+    docs = odd(spark).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in extra})
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, SF001)
+        assert docs.columns == [*COLUMNS, *extra], name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        for r in docs.collect():
+            assert all(r[c] is None if r.doc_id is None else r[c] == f"{c}{r.doc_id}" for c in extra), name

@@ -135,6 +135,42 @@ def test_packed_documents(spark, library):
         assert [(p.start, p.length, p.ids_crc32) for p in mine] == [(i, len(ids[i : i + 4096]), zlib.crc32(ids[i : i + 4096].tobytes())) for i in range(0, len(ids), 4096)]
 
 
+def steps_left(bins, lengths, capacity):
+    """Moves and exchanges (one for one, two for one, one for two) that raise the sum of squared fills."""
+    fill, out = [sum(lengths[i] for i in b) for b in bins], []
+    for b in range(len(bins)):
+        for v in range(len(bins)):
+            if b == v or not 0 < fill[b] < capacity or not 0 < fill[v] < capacity:
+                continue
+            singles = [lengths[i] for i in bins[v]]
+            own = [lengths[i] for i in bins[b]]
+            pairs = lambda x: [x[i] + x[j] for i in range(len(x)) for j in range(i)]
+            gains = singles + [s - o for s in singles for o in own] + [s - o for s in pairs(singles) for o in own] + [s - o for s in singles for o in pairs(own)]
+            out += [(b, v, d) for d in gains if 0 < d <= capacity - fill[b] and fill[b] + d > fill[v]]
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 60) | st.integers(20, 45), min_size=1, max_size=60))
+def test_search_ends_at_a_local_optimum(lengths):
+    n = np.array(lengths)
+    bins = pack.improve(pack.best_fit(n, 100), n, 100)
+    assert sorted(i for b in bins for i in b) == list(range(len(n))) and all(n[b].sum() <= 100 for b in bins)
+    assert len(bins) == -(-n.sum() // 100) or not steps_left(bins, lengths, 100)
+
+
+@pytest.mark.parametrize("low, high", [(900, 1700), (1200, 2200), (300, 700)])
+def test_search_empties_sequences(low, high):
+    n = np.random.default_rng(0).integers(low, high + 1, 2000)
+    start = pack.best_fit(n, 4096)
+    bins = pack.improve(start, n, 4096)
+    assert len(bins) < len(start)
+    square = lambda x: sum(int(n[b].sum()) ** 2 for b in x)
+    assert square(bins) > square(start)
+    if len(bins) > -(-n.sum() // 4096):
+        assert not steps_left(bins[:200], n.tolist(), 4096)
+
+
 def test_packing_edge_rows(spark):
     df = clashing(spark.createDataFrame(ROWS, "doc_id long, text string"))
     got = pack.pack_documents(df, capacity=100, with_ids=True, group_rows=7).collect()
