@@ -72,7 +72,16 @@ def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [df.schema[n] for n in names]
 
 
-def _summaries(ranked: DataFrame, parts: list[str], L: int) -> DataFrame:
+def _lengths(max_len: int | str, parts: Sequence[str]):
+    """(grouping columns, block length of a row, block length as a column).
+
+    A block length per group is a column of the groups' key: it is then at hand wherever a group's rows are."""
+    if isinstance(max_len, str):
+        return [*parts, *([] if max_len in parts else [max_len])], lambda row: int(row[max_len]), F.col(max_len)
+    return list(parts), lambda row: int(max_len), F.lit(int(max_len))
+
+
+def _summaries(ranked: DataFrame, parts: list[str], length_of) -> DataFrame:
     schema = T.StructType(
         [*_fields(ranked, parts), T.StructField(CHUNK, T.LongType()), T.StructField(TOTAL, T.LongType()),
          T.StructField(SKIPS, T.ArrayType(T.LongType()))]
@@ -80,7 +89,7 @@ def _summaries(ranked: DataFrame, parts: list[str], L: int) -> DataFrame:
 
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(RANK)
-        lens = pdf[LEN].to_numpy(np.int64)
+        lens, L = pdf[LEN].to_numpy(np.int64), length_of(pdf.iloc[0])
         out = {p: [pdf[p].iloc[0]] for p in parts}
         out[CHUNK] = [int(pdf[CHUNK].iloc[0])]
         out[TOTAL] = [int((lens + 1).sum())]
@@ -90,7 +99,7 @@ def _summaries(ranked: DataFrame, parts: list[str], L: int) -> DataFrame:
     return ranked.groupBy(*parts, CHUNK).applyInPandas(summarize, schema)
 
 
-def _fold_rows(rows, parts: list[str], key_col: str, L: int) -> list[tuple]:
+def _fold_rows(rows, parts: list[str], key_col: str, length_of) -> list[tuple]:
     """Driver fold over a bounded table: (parts..., key_col, entry)."""
     groups: dict[tuple, list] = {}
     for r in rows:
@@ -100,12 +109,12 @@ def _fold_rows(rows, parts: list[str], key_col: str, L: int) -> list[tuple]:
         pos = 0
         for r in sorted(rs, key=lambda r: r[key_col]):
             out.append((*g, r[key_col], pos))
-            pos += r[TOTAL] - r[SKIPS][pos % L]
+            pos += r[TOTAL] - r[SKIPS][pos % length_of(r)]
     return out
 
 
 def _entries(
-    spark: SparkSession, table: DataFrame, parts: list[str], key_col: str, L: int, fanout: int, n: int | None = None
+    spark: SparkSession, table: DataFrame, parts: list[str], key_col: str, length_of, fanout: int, n: int | None = None
 ) -> DataFrame:
     """Entry position of every row of a (parts, key_col, total, skips) table."""
     entry_schema = T.StructType(
@@ -116,7 +125,7 @@ def _entries(
         # One row a group: each enters at 0, however many groups there are.
         return table.select(*parts, F.col(key_col).cast("long").alias(key_col), F.lit(0).cast("long").alias(ENTRY))
     if n <= fanout:
-        return spark.createDataFrame(_fold_rows(table.collect(), parts, key_col, L), entry_schema)
+        return spark.createDataFrame(_fold_rows(table.collect(), parts, key_col, length_of), entry_schema)
 
     sup = f"{key_col}_up"
     grouped = table.withColumn(sup, F.floor(F.col(key_col) / fanout).cast("long"))
@@ -127,7 +136,7 @@ def _entries(
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key_col)
-        total, skips = _compose(pdf[TOTAL].tolist(), [np.asarray(s, dtype=np.int64) for s in pdf[SKIPS]], L)
+        total, skips = _compose(pdf[TOTAL].tolist(), [np.asarray(s, dtype=np.int64) for s in pdf[SKIPS]], length_of(pdf.iloc[0]))
         out = {p: [pdf[p].iloc[0]] for p in parts}
         out[sup] = [int(pdf[sup].iloc[0])]
         out[TOTAL] = [total]
@@ -135,11 +144,11 @@ def _entries(
         return pd.DataFrame(out)
 
     upper = materialize(grouped.groupBy(*parts, sup).applyInPandas(compose, sup_schema))
-    upper_entries = _entries(spark, upper, parts, sup, L, fanout).withColumnRenamed(ENTRY, "_up_entry")
+    upper_entries = _entries(spark, upper, parts, sup, length_of, fanout).withColumnRenamed(ENTRY, "_up_entry")
 
     def descend(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key_col)
-        pos = int(pdf["_up_entry"].iloc[0])
+        pos, L = int(pdf["_up_entry"].iloc[0]), length_of(pdf.iloc[0])
         entries = []
         for t, s in zip(pdf[TOTAL].tolist(), pdf[SKIPS].tolist()):
             entries.append(pos)
@@ -155,7 +164,7 @@ def _entries(
 def sample_starts(
     df: DataFrame,
     key,
-    max_len: int,
+    max_len: int | str,
     seed: int = fixed.SEED,
     partition_by: Sequence[str] = (),
     ids: str = "input_ids",
@@ -165,13 +174,13 @@ def sample_starts(
     """(parts..., key, pack_start, pack_sep, length) for every sample.
 
     ``pack_start`` is the position of the sample's first token in the packed
-    stream of its group; ``pack_sep`` = 1 when a separator precedes it.
+    stream of its group; ``pack_sep`` = 1 when a separator precedes it. ``max_len``
+    is the block length or the column that holds it, one value a group.
     """
     spark = df.sparkSession
     ship_package(spark)
-    parts = list(partition_by)
+    parts, length_of, _ = _lengths(max_len, partition_by)
     keys = [key] if isinstance(key, str) else list(key)
-    L = int(max_len)
     # Lengths only (a few bytes per sample), cut from the upstream plan once:
     # ranking reads them twice (bucket counts, then the in-bucket window).
     light = materialize(df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN)))
@@ -181,9 +190,9 @@ def sample_starts(
     # columns per sample, so they are checkpointed once instead of re-ranked.
     ranked = materialize(ranked.withColumn(CHUNK, F.floor((F.col(RANK) - 1) / chunk_rows).cast("long")))
 
-    summary = materialize(_summaries(ranked, parts, L))
+    summary = materialize(_summaries(ranked, parts, length_of))
     n_chunks = summary.count()
-    entries = _entries(spark, summary, parts, CHUNK, L, fanout, n_chunks)
+    entries = _entries(spark, summary, parts, CHUNK, length_of, fanout, n_chunks)
 
     out_schema = T.StructType(
         [*_fields(ranked, parts), *_fields(ranked, keys), T.StructField(START, T.LongType()),
@@ -192,7 +201,7 @@ def sample_starts(
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(RANK)
-        pos = int(pdf[ENTRY].iloc[0])
+        pos, L = int(pdf[ENTRY].iloc[0]), length_of(pdf.iloc[0])
         starts, seps = [], []
         for n in pdf[LEN].tolist():
             sep = 1 if pos % L else 0
@@ -216,7 +225,7 @@ def sample_starts(
 def pack(
     df: DataFrame,
     key,
-    max_len: int,
+    max_len: int | str,
     eos_id: int = fixed.DEFAULT_EOS_ID,
     seed: int = fixed.SEED,
     partition_by: Sequence[str] = (),
@@ -228,6 +237,7 @@ def pack(
 
     ``df`` holds ``input_ids``, and ``labels`` where they are not a copy of the
     ids: without them only ids move, and a block's labels are made at its end.
+    ``max_len`` is the length of a block or the column that holds it, one value a group (then a column of the result too).
     A sample longer than max_len is cut over as many blocks as it needs. ``key`` must be unique and is checked;
     only the tail of a group is dropped, and a block that is not exactly full
     before it is an error.
@@ -236,13 +246,12 @@ def pack(
     encoder runs once per text; with a cheap one, recomputing is cheaper than
     writing the tokens.
     """
-    parts = list(partition_by)
+    parts, _, L = _lengths(max_len, partition_by)
     keys = [key] if isinstance(key, str) else list(key)
-    L = int(max_len)
     held = [c for c in ("labels",) if c in df.columns]
     if materialize_input:
         df = materialize(df.select(*parts, *keys, "input_ids", *held))
-    starts = sample_starts(df, keys, L, seed, parts, "input_ids", chunk_rows, fanout)
+    starts = sample_starts(df, keys, max_len, seed, parts, "input_ids", chunk_rows, fanout)
     starts = starts.select(*parts, *keys, START, SEP)
     tokens = join_null_safe(df.select(*parts, *keys, "input_ids", *held), starts, [*parts, *keys])
     sep = F.col(SEP) == 1
@@ -254,11 +263,11 @@ def pack(
         sep.alias("_sep"),
         *[F.when(sep, F.concat(F.array(F.lit(v)), F.col(c))).otherwise(F.col(c)).alias(o) for o, (c, v) in carried.items()],
         F.floor(first / L).cast("long").alias("_block"),
-        F.pmod(first, F.lit(L)).cast("int").alias("_off"),
+        F.pmod(first, L).cast("int").alias("_off"),
     ).withColumn("_cuts", F.ceil((F.col("_off") + F.size("_ids")) / L).cast("int"))
     frag = frag.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1))).filter(F.size("_ids") > 0)
     first_id = F.when(F.col("_cut") == 0, F.lit(1)).otherwise(F.col("_cut") * L - F.col("_off") + 1)
-    n_ids = F.when(F.col("_cut") == 0, F.lit(L) - F.col("_off")).otherwise(F.lit(L))
+    n_ids = F.when(F.col("_cut") == 0, L - F.col("_off")).otherwise(L)
     exploded = frag.select(
         *parts,
         (F.col("_block") + F.col("_cut")).alias("block_id"),
@@ -271,7 +280,7 @@ def pack(
     )
 
     def labels_of(f):
-        ignored = F.concat(F.array(F.lit(fixed.IGNORE_LABEL)), F.slice(f["_ids"], 2, L))
+        ignored = F.concat(F.array(F.lit(fixed.IGNORE_LABEL)), F.slice(f["_ids"], F.lit(2), L))
         return f["_labels"] if held else F.when(f["sep"], ignored).otherwise(f["_ids"])
 
     blocks = blocks.select(

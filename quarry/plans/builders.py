@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -22,6 +22,7 @@ from ..functions.docstring import with_docstring_stripped
 from ..functions.text import clean
 from ..operators import filters, order
 from ..sources.jsonl import write_jsonl
+from ..sources.tables import resolve_uri
 
 INSTRUCTION_COLS = ("instruction", "input", "output")
 
@@ -222,3 +223,48 @@ def build_and_write(
         except Exception as exc:  # noqa: BLE001 - one failing role must not stop the others
             status.append((role, None, f"{type(exc).__name__}: {exc}"))
     return status
+
+
+Status = list[tuple[str, int | None, str | None]]
+
+
+def write_together(
+    sources: dict[str, DataFrame],
+    root: str,
+    roles: Iterable[str] | None = None,
+    seed: int = fixed.SEED,
+    max_samples: int | None = None,
+    options: dict[str, dict] | None = None,
+    key: str = "id",
+    layout: Callable[[DataFrame], DataFrame] | None = None,
+    partition_by: Sequence[str] = (),
+) -> Status:
+    """``build_and_write`` in one job: all roles are built, and written to ``<root>/role=<name>/`` by one sink.
+
+    A line has the fields of its role only. The roles' record counts are observed in the same job. A role whose source is
+    missing or whose plan does not analyse is reported and left out; where the job itself fails, some role fails in a
+    task, and the roles are written one by one to tell which. ``layout`` arranges the rows, which have ``role`` and
+    ``key``, before the write (default: each role in the shuffle order)."""
+    wanted = list(roles or BUILDERS)
+    try:
+        recs, failures = build_all(sources, wanted, seed, max_samples, options)
+    except ValueError:  # no role could be built
+        return build_and_write(sources, root, wanted, seed, max_samples, options, key, None, partition_by)
+    failed = dict(failures)
+    built = [r for r in wanted if r not in failed]
+    chat_cols, text_cols = [c for c in ("messages",) if c in recs.columns], [c for c in INSTRUCTION_COLS if c in recs.columns]
+    as_line = lambda cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    line = as_line(text_cols) if text_cols else F.lit(None).cast("string")
+    if chat_cols:
+        line = F.when(F.col("messages").isNotNull(), as_line(chat_cols)).otherwise(line)
+    rows = layout(recs) if layout else recs.withColumn("_order", order.order_hash(key, seed)).orderBy("role", "_order", key)
+    obs = Observation("write_together")
+    rows = rows.observe(obs, *[F.count_if(F.col("role") == r).alias(f"n{i}") for i, r in enumerate(built)])
+    try:
+        rows.select("role", *partition_by, line.alias("value")).write.mode("overwrite").partitionBy("role", *partition_by).text(resolve_uri(root))
+    except Exception:  # noqa: BLE001 - a role fails in a task: which one is told by writing them apart
+        arranged = (lambda r: layout(r.withColumn("role", F.lit(""))).drop("role", key)) if layout else None
+        return build_and_write(sources, root, wanted, seed, max_samples, options, key, arranged, partition_by)
+    counts = obs.get
+    done = {r: (r, int(counts[f"n{i}"]), None) for i, r in enumerate(built)}
+    return [done.get(r) or (r, None, failed[r]) for r in wanted]

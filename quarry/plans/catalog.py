@@ -198,6 +198,36 @@ def source_fallback(spark, sf):
     return found.select("doc_id", F.lit(which).cast("long").alias("source_index"))
 
 
+def split_column(spark, sf):
+    """Splits as a column of the folders: the first source is missing, the second has no such value; both splits are read."""
+    from ..session import scratch_path
+    from ..sources.tables import read_first_available
+
+    root = scratch_path(spark, "split-column")
+    held = F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train")
+    _docs(spark, sf).withColumn("split", held).write.partitionBy("split").parquet(root)
+    sides = []
+    for split in ("train", "test"):
+        tried = [(f"{root}-none", split, "parquet", "split"), (root, "validation", "parquet", "split"), (root, split, "parquet", "split")]
+        which, found = read_first_available(spark, tried)
+        sides.append(found.select("doc_id", F.lit(split).alias("split"), F.lit(which).cast("long").alias("source_index")))
+    return reduce(DataFrame.unionByName, sides)
+
+
+def fallback_builder(spark, sf):
+    """The table of structured tests is missing, so the problems with test lists are built by the other builder."""
+    from ..session import scratch_path
+    from ..sources.tables import read_first_available
+
+    missing = scratch_path(spark, "no-unit-tests")
+    tried = [
+        lambda: B.test_generator(spark.read.parquet(missing)),
+        lambda: B.test_generator_fallback(fx.problems(_docs(spark, sf))),
+    ]
+    which, records = read_first_available(spark, tried)
+    return records.withColumn("source_index", F.lit(which).cast("long"))
+
+
 def dataset_stats(spark, sf):
     from ..operators.stats import dataset_stats as stats
     from ..sources.jsonl import to_lines
@@ -218,6 +248,80 @@ def jsonl_roundtrip(spark, sf):
     return read_jsonl(spark, f"{root}/role=code_writer")
 
 
+def cached_dir(spark, sf):
+    from ..session import scratch_path
+    from ..sources.jsonl import read_cached_dir, write_jsonl
+
+    root = scratch_path(spark, "cached-dir")
+    write_jsonl(code_writer_records(spark, sf).drop("id"), root)
+    return read_cached_dir(spark, root)
+
+
+def jsonl_rejects(spark, sf):
+    """The damaged event lines as files: lines that are records, and lines that are not beside them."""
+    from ..session import scratch_path
+    from ..sources.jsonl import split_jsonl
+
+    root = scratch_path(spark, "reject-lines")
+    lines = event_lines(fx.table(spark, sf, "events")).withColumn("part", F.floor((F.col("line") - 1) / O.EVENT_FILE_LINES))
+    lines.repartition("part").sortWithinPartitions("part", "line").select("part", "value").write.partitionBy("part").text(root)
+    records, rejects, counts = split_jsonl(spark, root, f"{root}-split", "k long", REQUIRED_KEYS)
+    told = [F.lit(counts[k]).cast("long").alias(f"all_{k}") for k in ("records", "rejects")]
+    good = records.select(_part("file").alias("part"), "line", "k", F.lit(None).cast("string").alias("issue"), F.lit(None).cast("string").alias("value"), *told)
+    return good.unionByName(rejects.select(_part("file").alias("part"), "line", F.lit(None).cast("long").alias("k"), "issue", "value", *told))
+
+
+def _write_together(spark, sf, **more) -> tuple[str, list]:
+    """Every role as JSONL by one job, a file per role and run of ROLE_FILE_IDS ids; (root, status)."""
+    from ..session import scratch_path
+
+    def layout(recs: DataFrame) -> DataFrame:
+        recs = recs.withColumn("chunk", F.floor(F.col("id") / O.ROLE_FILE_IDS))
+        return recs.repartition("role", "chunk").sortWithinPartitions("role", "chunk", "id")
+
+    root = scratch_path(spark, "all-role-files")
+    sources = role_sources(spark, sf) | more.pop("sources", {})
+    return root, B.write_together(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **more)
+
+
+def write_status_failing(spark, sf):
+    """One role fails on some row and one has no source; the others are written whole."""
+    bad = F.when(F.col("id") % 3 == 1, F.raise_error(F.lit("bad row"))).otherwise(F.col("output"))
+    B.register("broken_role", lambda src: B.code_writer(src).withColumn("output", bad.cast("string")))
+    B.register("sourceless_role", B.code_writer)
+    try:
+        root, status = _write_together(spark, sf, sources={"broken_role": fx.instructions(_docs(spark, sf))})
+    finally:
+        for role in ("broken_role", "sourceless_role"):
+            B.BUILDERS.pop(role)
+    read = spark.read.option("recursiveFileLookup", "true").text(root)
+    found = read.groupBy(F.regexp_extract(F.col("_metadata.file_path"), "role=([^/]*)", 1).alias("role")).agg(F.count(F.lit(1)).alias("lines"))
+    told = spark.createDataFrame([(r, n, e is not None) for r, n, e in status], "role string, records long, failed boolean")
+    return told.join(found, "role", "left")
+
+
+def prepare_all_roles(spark, sf):
+    """All roles written by one job, read back once, split, encoded and packed by their recipes in one plan."""
+    from pyspark.sql import types as T
+
+    from ..operators.recipes import recipes
+    from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_numbered
+    from .training_set import prepare_all
+
+    root, _ = _write_together(spark, sf)
+    records = read_numbered(spark, root, T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
+    records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
+    records = records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
+    blocks, plain, held = prepare_all(records, recipes(spark), ["file", "line"])
+
+    def side(rows: DataFrame, part: str, item: F.Column) -> DataFrame:
+        n = F.size("input_ids").cast("long").alias("n_tokens")
+        return rows.select("role", F.lit(part).alias("part"), item.alias("item"), n, F.md5(F.array_join("input_ids", ",")).alias("ids_md5"))
+
+    named = F.concat_ws(":", "file", "line")
+    return side(blocks, "train", F.col("block_id").cast("string")).unionByName(side(plain, "train", named)).unionByName(side(held, "eval", named))
+
+
 def _write_roles(spark, sf) -> tuple[str, list]:
     """Every role as JSONL, a file per role and run of ROLE_FILE_IDS ids, so that lines are known; (root, status)."""
     from ..session import scratch_path
@@ -533,6 +637,13 @@ def divergence_chunks(spark, sf):
     return d.select("run", "step", "eval_loss", "best_loss", "is_bad", "bad_streak", "should_stop")
 
 
+def stop_steps(spark, sf):
+    from ..operators.monitor import divergence
+    from ..operators.monitor import stop_steps as stops
+
+    return stops(divergence(_metrics(spark, sf)))
+
+
 def cost_meter_batch(spark, sf):
     from ..operators.monitor import cost_meter
 
@@ -578,6 +689,24 @@ def ingest_new_files(spark, sf):
     return rows.select("doc_id", F.col("lang_value").alias("lang"))
 
 
+def ingest_alternating(spark, sf):
+    """Files land in three parts and are taken by a batch run, a stream and a batch run; each file once."""
+    from ..session import scratch_path
+    from ..sources import versioned
+
+    landed, root = scratch_path(spark, "alternating"), scratch_path(spark, "versioned")
+    docs = _docs(spark, sf).withColumn("lang_value", F.col("lang"))
+    for turn in range(3):
+        docs.filter(F.pmod("doc_id", F.lit(3)) == turn).write.mode("append").partitionBy("lang").json(landed)
+        if turn == 1:
+            versioned.stream_folder(spark, landed, root, DOC_JSON_SCHEMA, f"{root}-checkpoint", "*.json")
+        else:
+            versioned.ingest_folder(spark, landed, root, DOC_JSON_SCHEMA, "*.json")
+    entries = versioned.manifest(spark, root).select(F.col("path").alias("_file"), "commit")
+    rows = versioned.read_folder(spark, root, DOC_JSON_SCHEMA).join(entries, "_file")
+    return rows.select("doc_id", F.col("lang_value").alias("lang"), "commit")
+
+
 def ingest_stream_files(spark, sf):
     from ..sources import ingest
     from ..streaming.monitors import run_available
@@ -616,6 +745,64 @@ def prepare_blocks(spark, sf):
     )
 
 
+def hash_split(spark, sf):
+    return order.hash_split(code_writer_records(spark, sf), "id", fixed.EVAL_FRACTION, fixed.SEED).select("id", "split")
+
+
+def plain_chat_template():
+    """A user chat template: the plain rendering, as a template of a tokenizer would give it."""
+
+    def template(messages):
+        return "\n".join(f"<|{m['role'] or 'user'}|>\n{m['content'] or ''}" for m in messages)
+
+    return template
+
+
+def chat_template_text(spark, sf):
+    from ..operators.recipes import recipe_for, render
+
+    recs = B.static_reviewer(fx.chats(_conv(spark, sf)), keywords=O.REVIEW_QUERY_KEYWORDS)
+    return render(recs, recipe_for("static_reviewer"), chat_template=plain_chat_template).select("id", "text")
+
+
+def _vocabulary(spark, sf) -> DataFrame:
+    """The words that stand in the documents twice at least, as a stored table; id 0 is for all others."""
+    from ..operators.vocabulary import build_vocabulary
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "vocabulary")
+    build_vocabulary(_docs(spark, sf), "text", min_count=O.VOCAB_MIN_COUNT).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def vocab_build(spark, sf):
+    from ..operators.vocabulary import build_vocabulary
+
+    return build_vocabulary(_docs(spark, sf), "text")
+
+
+def _vocab_rows(tokens: DataFrame) -> DataFrame:
+    return tokens.select(
+        "doc_id",
+        F.size("input_ids").cast("long").alias("n_tokens"),
+        F.size(F.filter("input_ids", lambda i: i == 0)).cast("long").alias("n_unknown"),
+        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+    )
+
+
+def vocab_tokens(spark, sf):
+    from ..operators.vocabulary import encode_words
+
+    return _vocab_rows(encode_words(_docs(spark, sf), _vocabulary(spark, sf), "doc_id"))
+
+
+def vocab_tokens_joined(spark, sf):
+    """A vocabulary too large to broadcast, and pieces of a few words."""
+    from ..operators.vocabulary import encode_words
+
+    return _vocab_rows(encode_words(_docs(spark, sf), _vocabulary(spark, sf), "doc_id", max_broadcast=0, piece_words=64))
+
+
 def word_length_encoder():
     """A user encoder: one id per whitespace-separated word (its length).
 
@@ -674,8 +861,14 @@ QUERIES: dict[str, Query] = {
     "validate_files": validate_files,
     "validate_files_first": validate_files_first,
     "validate_files_counts": validate_files_counts,
+    "split_column": split_column,
+    "fallback_builder": fallback_builder,
+    "cached_dir": cached_dir,
+    "jsonl_rejects": jsonl_rejects,
     "write_status": write_status,
+    "write_status_failing": write_status_failing,
     "prepare_from_jsonl": prepare_from_jsonl,
+    "prepare_all_roles": prepare_all_roles,
     "prepare_eval_file": prepare_eval_file,
     "byte_tokens": byte_tokens,
     "pack_positions": pack_positions,
@@ -695,4 +888,11 @@ QUERIES: dict[str, Query] = {
     "stream_records": stream_records,
     "prepare_blocks": prepare_blocks,
     "arrow_encoder_tokens": arrow_encoder_tokens,
+    "hash_split": hash_split,
+    "chat_template_text": chat_template_text,
+    "vocab_build": vocab_build,
+    "vocab_tokens": vocab_tokens,
+    "vocab_tokens_joined": vocab_tokens_joined,
+    "stop_steps": stop_steps,
+    "ingest_alternating": ingest_alternating,
 }

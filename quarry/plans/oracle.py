@@ -42,6 +42,7 @@ SECURITY_QUERY_LANGS = ("en", "de")
 SAMPLE_N = 100
 ROLE_FILE_IDS = 500
 EVENT_FILE_LINES = 1000
+VOCAB_MIN_COUNT = 2
 
 
 def code_writer_sql() -> str:
@@ -589,6 +590,47 @@ def best_checkpoint_sql() -> str:
       WHERE rn = 1"""
 
 
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def vocab_sql(min_count: int = 1) -> str:
+    return f"""
+      SELECT token, CAST(count(*) AS BIGINT) AS count, CAST(row_number() OVER (ORDER BY count(*) DESC, token) AS BIGINT) AS id
+      FROM (SELECT unnest({WORDS}) AS token FROM documents) GROUP BY token HAVING count(*) >= {min_count}"""
+
+
+def vocab_tokens_sql() -> str:
+    return f"""
+      WITH vocab AS ({vocab_sql(VOCAB_MIN_COUNT)}),
+      held AS (SELECT doc_id, t AS token, k AS pos FROM documents, unnest({WORDS}) WITH ORDINALITY AS u(t, k)),
+      ids AS (SELECT doc_id, pos, coalesce(id, 0) AS id FROM held LEFT JOIN vocab USING (token))
+      SELECT d.doc_id, CAST(count(i.id) AS BIGINT) AS n_tokens, CAST(count_if(i.id = 0) AS BIGINT) AS n_unknown,
+             md5(coalesce(string_agg(CAST(i.id AS VARCHAR), ',' ORDER BY pos), '')) AS ids_md5
+      FROM documents d LEFT JOIN ids i ON d.doc_id = i.doc_id GROUP BY d.doc_id"""
+
+
+def hash_split_sql(fraction: float = fixed.EVAL_FRACTION) -> str:
+    part = f"CAST('0x' || substr({order_hash('id')}, 1, 8) AS BIGINT)"
+    return f"SELECT id, CASE WHEN {part} / 4294967296.0::DOUBLE < {fraction!r} THEN 'eval' ELSE 'train' END AS split FROM ({code_writer_sql()})"
+
+
+def jsonl_rejects_sql() -> str:
+    lines = f"SELECT (line - 1) // {EVENT_FILE_LINES} AS file, (line - 1) % {EVENT_FILE_LINES} + 1 AS line, value FROM ({event_lines_sql()})"
+    return f"""
+      SELECT CAST(file AS BIGINT) AS part, CAST(line AS BIGINT) AS line,
+             CASE WHEN issue = 'ok' THEN CAST(regexp_extract(value, '"k": *([0-9]+)', 1) AS BIGINT) END AS k,
+             nullif(issue, 'ok') AS issue, CASE WHEN issue <> 'ok' THEN value END AS value,
+             CAST(count_if(issue = 'ok') OVER () AS BIGINT) AS all_records, CAST(count_if(issue <> 'ok') OVER () AS BIGINT) AS all_rejects
+      FROM ({checked_lines_sql(lines)})"""
+
+
+def write_status_failing_sql() -> str:
+    return f"""
+      SELECT role, CAST(count(*) AS BIGINT) AS records, false AS failed, CAST(count(*) AS BIGINT) AS lines
+      FROM ({all_roles_sql()}) GROUP BY role
+      UNION ALL SELECT unnest(['broken_role', 'sourceless_role']), NULL, true, NULL"""
+
+
 def arrow_encoder_sql() -> str:
     ids = f"list_transform(list_filter(regexp_split_to_array(text, '[{''.join(chr(c) for c in (9, 10, 11, 12, 13, 32))}]+'), lambda w: w <> ''), lambda w: length(w))"
     return f"""
@@ -631,8 +673,14 @@ def oracle_sql() -> dict[str, str]:
         "validate_files": validate_files_sql(),
         "validate_files_first": validate_first_sql(),
         "validate_files_counts": file_counts_sql(),
+        "split_column": "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, CAST(2 AS BIGINT) AS source_index FROM documents",
+        "fallback_builder": f"SELECT *, CAST(1 AS BIGINT) AS source_index FROM ({test_joined_sql()})",
+        "cached_dir": jsonl_roundtrip_sql(),
+        "jsonl_rejects": jsonl_rejects_sql(),
         "write_status": write_status_sql(),
+        "write_status_failing": write_status_failing_sql(),
         "prepare_from_jsonl": prepare_from_jsonl_sql(),
+        "prepare_all_roles": prepare_from_jsonl_sql(),
         "prepare_eval_file": prepare_eval_file_sql(),
         "byte_tokens": byte_tokens_sql(),
         "pack_positions": pack_positions_sql(),
@@ -652,4 +700,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_records": code_writer_sql(),
         "prepare_blocks": pack_blocks_sql(),
         "arrow_encoder_tokens": arrow_encoder_sql(),
+        "hash_split": hash_split_sql(),
+        "chat_template_text": chat_text_sql(),
+        "vocab_build": vocab_sql(),
+        "vocab_tokens": vocab_tokens_sql(),
+        "vocab_tokens_joined": vocab_tokens_sql(),
+        "stop_steps": f"SELECT run, min(step) AS stop_step FROM ({divergence_sql()}) WHERE should_stop GROUP BY run",
+        "ingest_alternating": "SELECT doc_id, lang, CAST(doc_id % 3 + 1 AS BIGINT) AS commit FROM documents",
     }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import order, pack, recipes, tokenize
+from ..session import materialize
 from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_numbered
 from ..sources.tables import has_files
 
@@ -76,3 +77,33 @@ def prepare(
             train_tok.drop("labels"), key, L, tokenize.eos_id(eos_id), seed, materialize_input=encoder_factory is not None
         )
     return train_tok, eval_tok
+
+
+def prepare_all(
+    records: DataFrame,
+    recipe_df: DataFrame,
+    key="id",
+    role: str = "role",
+    eval_fraction: float = fixed.EVAL_FRACTION,
+    seed: int = fixed.SEED,
+    eos_id: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every role at once: (packed blocks, train rows of roles that are not packed, eval rows).
+
+    ``records`` hold the roles' fields beside a ``role`` column, as ``build_all`` and a JSONL read of all roles give
+    them. The recipe of a row gives its format, its length and whether it is packed; ranks, splits and blocks are made
+    per role in one set of jobs, and the rendered texts are written once for all of them. The blocks of a role have its
+    own length (``max_seq_length``). ``key`` is unique within a role."""
+    keys = _keys(key)
+    rendered = recipes.render_by_recipe(recipes.with_recipe(records, recipe_df, role))
+    rows = materialize(rendered.select(role, *keys, "max_seq_length", "packing", "text"))
+    rows = order.split(rows, keys, eval_fraction, seed, [role])
+    longest = int(recipe_df.agg(F.max("max_seq_length")).first()[0])
+    ids = tokenize.byte_encode(rows, "text", longest)
+    cut = F.slice("input_ids", F.lit(1), F.col("max_seq_length"))
+    ids = ids.withColumns({"input_ids": cut, "attention_mask": F.slice("attention_mask", F.lit(1), F.col("max_seq_length")), "labels": cut})
+    train, held = F.col("split") == "train", F.col("split") == "eval"
+    columns = [role, *keys, "input_ids", "attention_mask", "labels"]
+    to_pack = ids.filter(train & F.col("packing")).select(role, *keys, "max_seq_length", "input_ids")
+    blocks = pack.pack(to_pack, keys, "max_seq_length", tokenize.eos_id(eos_id), seed, [role])
+    return blocks, ids.filter(train & ~F.col("packing")).select(*columns), ids.filter(held).select(*columns)

@@ -7,6 +7,7 @@
   ``null``, overwrite; the row count comes from an ``Observation`` of the
   same job (no second pass).
 * ``write_roles``: one directory per role (``role=<name>``).
+* ``split_jsonl``: good lines as records and bad lines as rejects, in one pass.
 * ``read_cached_dir``: every ``*.jsonl`` of a directory; an empty listing is
   an error.
 """
@@ -75,6 +76,34 @@ def read_numbered(
     return parse_jsonl(with_line(raw, materialize(splits)), schema, strict, ["file", "line"])
 
 
+def split_jsonl(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    schema: T.StructType = INSTRUCTION_SCHEMA,
+    required: Sequence[str] | None = None,
+    strict: bool = True,
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(records, rejects, counts) of a file, or of all files under a folder; one bad line costs that line only.
+
+    Each line is parsed once and written under ``root``, good and bad ones apart; the counts of both are observed in
+    that job. records: file, line and the schema's fields, of lines that are JSON objects with the required keys.
+    rejects: file, line, value, issue, detail. Blank lines are neither."""
+    from ..operators.integrity import check_lines, numbered_lines, with_line
+
+    raw, splits = numbered_lines(spark, path)
+    checked = check_lines(with_line(raw, materialize(splits)).select("file", "line", "value"), required, strict)
+    ok = F.col("status") == "ok"
+    obs = Observation("split_jsonl")
+    checked = checked.observe(obs, F.count_if(ok).alias("records"), F.count_if(~ok).alias("rejects"))
+    kind = F.when(ok, "record").otherwise("reject").alias("kind")
+    checked.select("file", "line", "value", "status", "detail", kind).write.mode("overwrite").partitionBy("kind").parquet(resolve_uri(root))
+    written = spark.read.schema("file string, line long, value string, status string, detail string, kind string").parquet(resolve_uri(root))
+    good = written.filter("kind = 'record'").select("file", "line", F.from_json(strip_ws(F.col("value")), schema).alias("r"))
+    bad = written.filter("kind = 'reject'").select("file", "line", "value", F.col("status").alias("issue"), "detail")
+    return good.select("file", "line", "r.*"), bad, {k: int(v) for k, v in obs.get.items()}
+
+
 def read_cached_dir(
     spark: SparkSession, directory: str, schema: T.StructType = INSTRUCTION_SCHEMA
 ) -> DataFrame:

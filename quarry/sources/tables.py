@@ -3,7 +3,8 @@
 * ``resolve_uri``: scheme allow-list ("", "file", "s3", cluster folders); anything else is an
   error naming the supported schemes. ``s3://`` is read through Hadoop's
   ``s3a`` filesystem, ``file://`` works as a local path.
-* ``read_source``: a table by path and optional split (a sub-directory).
+* ``read_source``: a table by path and optional split: a sub-directory, or a value of the column that its folders
+  name (``split=train/``), which prunes the other folders in the plan.
 * ``read_first_available``: try candidates in order and return the first
   whose path and schema resolve. Resolution is eager (plan time); the lazy
   part of a DataFrame cannot fall back.
@@ -18,6 +19,7 @@ from urllib.parse import urlparse
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import fixed
 
@@ -37,9 +39,17 @@ def resolve_uri(uri: str) -> str:
 
 
 def read_source(
-    spark: SparkSession, uri: str, split: str | None = None, fmt: str = "parquet", **options: str
+    spark: SparkSession, uri: str, split: str | None = None, fmt: str = "parquet", split_column: str | None = None, **options: str
 ) -> DataFrame:
     path = resolve_uri(uri).rstrip("/")
+    if split and split_column:
+        table = spark.read.format(fmt).options(**options).load(path)
+        if split_column not in table.columns:
+            raise FileNotFoundError(f"{uri} has no column {split_column}")
+        rows = table.filter(F.col(f"`{split_column}`").cast("string") == split).drop(split_column)
+        if rows.isEmpty():  # the filter prunes folders, so where there are none no file is read
+            raise FileNotFoundError(f"{uri} has no {split_column}={split}")
+        return rows
     if split:
         path = f"{path}/{split}"
     return spark.read.format(fmt).options(**options).load(path)
@@ -47,11 +57,11 @@ def read_source(
 
 def read_first_available(
     spark: SparkSession,
-    candidates: Sequence[tuple[str, str | None, str] | Callable[[], DataFrame]],
+    candidates: Sequence[tuple | Callable[[], DataFrame]],
 ) -> tuple[int, DataFrame]:
     """Return (index, DataFrame) of the first candidate that resolves.
 
-    A candidate is ``(uri, split, fmt)`` or a zero-argument callable (for a
+    A candidate is ``(uri, split, fmt[, split_column])`` or a zero-argument callable (for a
     fallback that needs a different builder). Errors of all candidates are
     reported when none resolves.
     """
