@@ -46,8 +46,11 @@ def divergence(
     step: str = "step",
     loss: str = "eval_loss",
     chunk_steps: int = 1 << 16,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds best_loss (best before this row), is_bad, bad_streak, should_stop."""
+    """Adds best_loss (best before this row), is_bad, bad_streak, should_stop.
+
+    ``state`` (run, best, bad) has what earlier rows left of each run that stands in ``metrics``; both null for a new run."""
     m = metrics.filter(F.col(loss).isNotNull()).withColumn("_c", F.floor(F.col(step) / chunk_steps).cast("long"))
     v = F.col(loss)
 
@@ -69,7 +72,13 @@ def divergence(
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     # Spark's min() skips NaN unless every value is NaN; Python keeps a NaN first loss.
     running = F.least(F.col("_pmin"), F.min(v).over(before))
-    best = F.when(F.isnan("_first") & (F.col(step) > F.col("_s0")), F.lit(float("nan"))).otherwise(running)
+    nan, earlier = F.lit(float("nan")), F.lit(0)
+    best = F.when(F.isnan("_first") & (F.col(step) > F.col("_s0")), nan).otherwise(running)
+    if state is not None:
+        left = state.select(run, F.col("best").alias("_best0"), F.coalesce("bad", F.lit(0)).alias("_bad0"))
+        x = _join_small(x, left, [run], n_chunks)
+        best = F.when(F.isnan("_best0"), nan).when(F.col("_best0").isNull(), best).otherwise(F.least(running, "_best0"))
+        earlier = -F.col("_bad0")
     x = x.withColumn("best_loss", best).withColumn("_k", F.col("_pcount") + F.row_number().over(w))
 
     b = F.col("best_loss")
@@ -83,10 +92,10 @@ def divergence(
     last = last.withColumn("_plast", F.max("_clast").over(cw))
     x = _join_small(x, last.select(run, "_c", "_plast"), [run, "_c"], n_chunks)
     in_chunk = F.max(good_k).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    last_good = F.coalesce(in_chunk, F.col("_plast"), F.lit(0))
+    last_good = F.coalesce(in_chunk, F.col("_plast"), earlier)
     x = x.withColumn("bad_streak", (F.col("_k") - last_good).cast("long"))
     x = x.withColumn("should_stop", F.col("bad_streak") >= F.lit(int(patience)))
-    return x.drop("_c", "_pmin", "_pcount", "_first", "_s0", "_k", "_plast")
+    return x.drop("_c", "_pmin", "_pcount", "_first", "_s0", "_k", "_plast", "_best0", "_bad0")
 
 
 def stop_steps(div: DataFrame, run: str = "run", step: str = "step") -> DataFrame:

@@ -595,16 +595,23 @@ def _events_stream(spark, sf):
 
 
 def divergence_stream(spark, sf):
+    from ..streaming.scans import divergence_scan
+
+    return divergence_scan(_events_stream(spark, sf), tie="event_id")
+
+
+def divergence_keyed(spark, sf):
+    """The same by a state per key, which drops idle runs by itself; a run's rows of a batch meet in one task."""
     from ..streaming.monitors import divergence_stream as stream
     from ..streaming.monitors import run_available
 
-    return run_available(stream(_events_stream(spark, sf), tie="event_id"), "divergence-stream")
+    return run_available(stream(_events_stream(spark, sf), tie="event_id", idle_timeout_ms=10**12), "divergence-keyed")
 
 
 def _resumed(spark, sf, name: str, monitor) -> DataFrame:
     """The events land in three parts by time; the stream is stopped and started again after each."""
     from ..session import scratch_path
-    from ..streaming.monitors import metrics_stream, run_available
+    from ..streaming.monitors import metrics_stream
 
     ev = fx.table(spark, sf, "events")
     third, two_thirds = ev.select(F.percentile_approx("ts", [1 / 3, 2 / 3])).first()[0]
@@ -613,20 +620,20 @@ def _resumed(spark, sf, name: str, monitor) -> DataFrame:
         ev.filter(part).write.mode("append").parquet(landed)
         log = metrics_stream(spark, landed, ev.schema)
         log = log.select(F.col("user_id").alias("run"), "ts", "event_id", F.col("value").alias("eval_loss"))
-        rows = run_available(monitor(log), name, path=out)
+        rows = monitor(log, out)
     return rows
 
 
 def divergence_resumed(spark, sf):
-    from ..streaming.monitors import divergence_stream as stream
+    from ..streaming.scans import divergence_scan
 
-    return _resumed(spark, sf, "divergence-resumed", lambda log: stream(log, tie="event_id"))
+    return _resumed(spark, sf, "divergence-resumed", lambda log, path: divergence_scan(log, tie="event_id", path=path))
 
 
 def cost_meter_resumed(spark, sf):
-    from ..streaming.monitors import cost_stream
+    from ..streaming.scans import cost_scan
 
-    return _resumed(spark, sf, "cost-resumed", cost_stream)
+    return _resumed(spark, sf, "cost-resumed", lambda log, path: cost_scan(log, path=path))
 
 
 def divergence_chunks(spark, sf):
@@ -651,9 +658,9 @@ def cost_meter_batch(spark, sf):
 
 
 def cost_meter_stream(spark, sf):
-    from ..streaming.monitors import cost_stream, run_available
+    from ..streaming.scans import cost_scan
 
-    return run_available(cost_stream(_events_stream(spark, sf)), "cost-stream")
+    return cost_scan(_events_stream(spark, sf))
 
 
 def best_checkpoint(spark, sf):
@@ -879,6 +886,7 @@ QUERIES: dict[str, Query] = {
     "divergence_chunks": divergence_chunks,
     "divergence_stream": divergence_stream,
     "divergence_resumed": divergence_resumed,
+    "divergence_keyed": divergence_keyed,
     "cost_meter_batch": cost_meter_batch,
     "cost_meter_stream": cost_meter_stream,
     "cost_meter_resumed": cost_meter_resumed,

@@ -691,6 +691,7 @@ def oracle_sql() -> dict[str, str]:
         "divergence_chunks": divergence_sql(),
         "divergence_stream": divergence_sql(),
         "divergence_resumed": divergence_sql(),
+        "divergence_keyed": divergence_sql(),
         "cost_meter_batch": cost_sql(),
         "cost_meter_stream": cost_sql(),
         "cost_meter_resumed": cost_sql(),
