@@ -24,7 +24,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import bytes_of, fold, id_and_text, ready, slices, word_hashes, word_spans
@@ -113,7 +112,7 @@ def find_base(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         types = [pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.int64())]
         for batch in batches:
             for b in slices(batch, "text"):
-                spans, entities, texts, hashes = [], [], [], []
+                spans, entities, texts = [], [], []
                 for t in b.column("text"):
                     raw = t.as_py()
                     text = raw.decode()
@@ -121,11 +120,10 @@ def find_base(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     spans.append([{"kind": k, "start": a, "end": z} for k, a, z in s])
                     entities.append(sorted({entity_of(k, text[a:z]) for k, a, z in s}))
                     texts.append(raw if s else None)
-                    hashes.append(xxhash.xxh64_intdigest(raw) - (1 << 63))
-                cols = [b.column("doc_id"), pa.array(spans, types[0]), pa.array(entities, types[1]), pa.array(texts, pa.binary()), pa.array(hashes, pa.int64())]
+                cols = [b.column("doc_id"), pa.array(spans, types[0]), pa.array(entities, types[1]), pa.array(texts, pa.binary()), b.column("th")]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "spans", "entities", "text", "th"])
 
-    return id_and_text(df, id_col, text_col).mapInArrow(run, FOUND)
+    return id_and_text(df, id_col, text_col).withColumn("th", F.xxhash64("text")).mapInArrow(run, FOUND)
 
 
 def terms_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -156,14 +154,14 @@ def term_counts(texts: DataFrame) -> DataFrame:
             return u, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
 
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 2 << 20):
                 doc, terms, _, _ = terms_of(*bytes_of(b.column("text")))
                 u, at = np.unique(terms, return_inverse=True)
                 pairs = np.unique(doc * np.int64(max(1, len(u))) + at)
                 held.append((u, np.bincount(pairs % max(1, len(u)), minlength=len(u))))
-                if sum(len(t) for t, _ in held) > 1_500_000:
+                if sum(len(t) for t, _ in held) > 600_000:
                     held[:] = [merged()]
-                    if len(held[0][0]) > 1_000_000:  # bounded memory
+                    if len(held[0][0]) > 400_000:  # bounded memory
                         yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], ["term", "n"])
                         held.clear()
         if held:
@@ -178,16 +176,11 @@ def _different(docs: DataFrame, hashes: DataFrame) -> DataFrame:
     """One row of each different text: the texts that stand once, and one of each that is copied. Only copies move."""
     copied = materialize(hashes.groupBy("th").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("th"))
     side = F.broadcast(copied) if copied.count() <= MAX_BROADCAST_TEXTS else copied
-    docs = docs.select("text", _text_hash(F.col("text")).alias("th"))
+    docs = docs.select("text", F.xxhash64("text").alias("th"))
     once = docs.join(side, "th", "left_anti").select("text")
     return once.unionAll(docs.join(side, "th", "left_semi").groupBy("th").agg(F.any_value("text").alias("text")).select("text"))
 
 
-@F.arrow_udf(T.LongType())
-def _text_hash(texts: pa.Array) -> pa.Array:
-    return pa.array([xxhash.xxh64_intdigest(t.as_py()) - (1 << 63) for t in texts], pa.int64())
-
-
 def disclosing_terms(found: DataFrame, counts: DataFrame, generalise: float, remove: float) -> DataFrame:
     """(th, term, share): the terms of each text that give one of its entities away, and how much at most."""
     texts = found.filter("text is not null").groupBy("th").agg(F.any_value("text").alias("text"), F.any_value("entities").alias("entities"))
