@@ -47,6 +47,23 @@ DOCS_INSTRUCTION = (
     "Include a description, Args, Returns, and Raises sections where applicable."
 )
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES — section headings of the builders' inputs and outputs.
+# ---------------------------------------------------------------------------
+
+# test_generator
+PROBLEM_HEADING = "## Problem\n"
+TASK_HEADING = "## Task\n"
+IMPLEMENTATION_HEADING = "\n\n## Implementation\n```python\n"
+# security_auditor
+VULNERABILITY_HEADING = "## Vulnerability Context\n"
+CODE_TO_AUDIT_HEADING = "\n\n## Code to Audit\n```python\n"
+SECURITY_ANALYSIS_HEADING = "## Security Analysis\n"
+SECURE_IMPLEMENTATION_HEADING = "\n\n## Secure Implementation\n```python\n"
+# docs_generator, and the end of every code section
+CODE_OPEN = "```python\n"
+CODE_CLOSE = "\n```"
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES — limits used by the builders.
 # ---------------------------------------------------------------------------

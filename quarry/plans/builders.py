@@ -52,7 +52,7 @@ def test_generator(src: DataFrame) -> DataFrame:
     return df.select(
         "id",
         F.lit(fixed.TEST_GENERATOR_INSTRUCTION).alias("instruction"),
-        arrays.sections("## Problem\n", F.col("question"), "\n\n## Implementation\n```python\n", F.col("truth"), "\n```").alias("input"),
+        arrays.sections(fixed.PROBLEM_HEADING, F.col("question"), fixed.IMPLEMENTATION_HEADING, F.col("truth"), fixed.CODE_CLOSE).alias("input"),
         arrays.join_blank_line(F.col("kept")).alias("output"),
     )
 
@@ -69,7 +69,7 @@ def test_generator_fallback(src: DataFrame) -> DataFrame:
     return df.select(
         "id",
         F.lit(fixed.TEST_GENERATOR_FALLBACK_INSTRUCTION).alias("instruction"),
-        arrays.sections("## Task\n", F.col("text"), "\n\n## Implementation\n```python\n", F.col("code"), "\n```").alias("input"),
+        arrays.sections(fixed.TASK_HEADING, F.col("text"), fixed.IMPLEMENTATION_HEADING, F.col("code"), fixed.CODE_CLOSE).alias("input"),
         arrays.join_tests(F.col("tests")).alias("output"),
     )
 
@@ -93,8 +93,8 @@ def security_auditor(src: DataFrame, langs: Iterable[str] = fixed.SECURITY_LANGS
     return df.select(
         "id",
         F.lit(fixed.SECURITY_INSTRUCTION).alias("instruction"),
-        arrays.sections("## Vulnerability Context\n", v, "\n\n## Code to Audit\n```python\n", F.col("rejected"), "\n```").alias("input"),
-        arrays.sections("## Security Analysis\n", v, "\n\n## Secure Implementation\n```python\n", F.col("chosen"), "\n```").alias("output"),
+        arrays.sections(fixed.VULNERABILITY_HEADING, v, fixed.CODE_TO_AUDIT_HEADING, F.col("rejected"), fixed.CODE_CLOSE).alias("input"),
+        arrays.sections(fixed.SECURITY_ANALYSIS_HEADING, v, fixed.SECURE_IMPLEMENTATION_HEADING, F.col("chosen"), fixed.CODE_CLOSE).alias("output"),
     )
 
 
@@ -130,7 +130,7 @@ def docs_generator(src: DataFrame) -> DataFrame:
     return df.select(
         "id",
         F.lit(fixed.DOCS_INSTRUCTION).alias("instruction"),
-        arrays.sections("```python\n", F.col("stripped"), "\n```").alias("input"),
+        arrays.sections(fixed.CODE_OPEN, F.col("stripped"), fixed.CODE_CLOSE).alias("input"),
         F.col("docstring").alias("output"),
     )
 

@@ -57,8 +57,8 @@ def code_writer_sql() -> str:
 def test_capped_sql() -> str:
     return f"""
       SELECT id, {lit(fixed.TEST_GENERATOR_INSTRUCTION)} AS instruction,
-             {lit('## Problem' + chr(10))} || question || {lit(chr(10) * 2 + '## Implementation' + chr(10) + '```python' + chr(10))}
-               || truth || {lit(chr(10) + '```')} AS input,
+             {lit(fixed.PROBLEM_HEADING)} || question || {lit(fixed.IMPLEMENTATION_HEADING)}
+               || truth || {lit(fixed.CODE_CLOSE)} AS input,
              array_to_string(kept, {NL} || {NL}) AS output
       FROM (
         SELECT *, list_filter(list_transform(list_slice(tests, 1, {fixed.MAX_UNIT_TESTS}), lambda x: {cl('x')}),
@@ -72,8 +72,8 @@ def test_capped_sql() -> str:
 def test_joined_sql() -> str:
     return f"""
       SELECT id, {lit(fixed.TEST_GENERATOR_FALLBACK_INSTRUCTION)} AS instruction,
-             {lit('## Task' + chr(10))} || text || {lit(chr(10) * 2 + '## Implementation' + chr(10) + '```python' + chr(10))}
-               || code || {lit(chr(10) + '```')} AS input,
+             {lit(fixed.TASK_HEADING)} || text || {lit(fixed.IMPLEMENTATION_HEADING)}
+               || code || {lit(fixed.CODE_CLOSE)} AS input,
              array_to_string(tests, {NL}) AS output
       FROM (SELECT doc_id AS id, {cl(first_line('text'))} AS text, {cl('text')} AS code,
                    coalesce(string_split(text, {NL}), []) AS tests FROM documents)
@@ -116,10 +116,10 @@ def security_sql(langs=SECURITY_QUERY_LANGS) -> str:
     inlist = ", ".join(lit(x.lower()) for x in langs)
     return f"""
       SELECT id, {lit(fixed.SECURITY_INSTRUCTION)} AS instruction,
-             {lit('## Vulnerability Context' + chr(10))} || v || {lit(chr(10) * 2 + '## Code to Audit' + chr(10) + '```python' + chr(10))}
-               || rj || {lit(chr(10) + '```')} AS input,
-             {lit('## Security Analysis' + chr(10))} || v || {lit(chr(10) * 2 + '## Secure Implementation' + chr(10) + '```python' + chr(10))}
-               || ch || {lit(chr(10) + '```')} AS output
+             {lit(fixed.VULNERABILITY_HEADING)} || v || {lit(fixed.CODE_TO_AUDIT_HEADING)}
+               || rj || {lit(fixed.CODE_CLOSE)} AS input,
+             {lit(fixed.SECURITY_ANALYSIS_HEADING)} || v || {lit(fixed.SECURE_IMPLEMENTATION_HEADING)}
+               || ch || {lit(fixed.CODE_CLOSE)} AS output
       FROM (SELECT doc_id AS id, {cl('source')} AS v, {cl(first_line('text'))} AS q, {cl('text')} AS ch,
                    {cl('reverse(text)')} AS rj
             FROM documents WHERE lower({cl('lang')}) IN ({inlist}))
