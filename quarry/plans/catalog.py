@@ -737,6 +737,31 @@ def stream_records(spark, sf):
     return run_available(B.code_writer(fx.instructions(stream)), "stream-records")
 
 
+def _streamed_chats(spark, sf, builder) -> DataFrame:
+    """A chat builder over the log of turns, which lands in three parts by time; the stream goes on after each."""
+    from ..session import scratch_path
+    from ..streaming.chats import assemble
+
+    log = fx.chat_turns(_conv(spark, sf))
+    third, two_thirds = log.select(F.percentile_approx(F.col("ts").cast("timestamp"), [1 / 3, 2 / 3])).first()[0]
+    t, landed, out = F.col("ts").cast("timestamp"), scratch_path(spark, "turns-log"), scratch_path(spark, "chats")
+    for ended, part in enumerate((t <= third, (t > third) & (t <= two_thirds), t > two_thirds)):
+        log.filter(part).write.mode("append").parquet(landed)
+        turns = spark.readStream.schema(log.schema).parquet(landed)
+        rows = assemble(turns, builder, quiet="10 minutes", path=out, ended=ended == 2)
+    return rows
+
+
+def stream_chats(spark, sf):
+    """static_reviewer over a stream of turns; conversations are closed by time, the last ones by the end of the log."""
+    return _chat_summary(_streamed_chats(spark, sf, lambda chats: B.static_reviewer(chats, keywords=O.REVIEW_QUERY_KEYWORDS)))
+
+
+def stream_optimizations(spark, sf):
+    """performance_optimizer over the same stream."""
+    return _streamed_chats(spark, sf, lambda chats: B.performance_optimizer(chats, groups=O.OPT_QUERY_GROUPS))
+
+
 def prepare_blocks(spark, sf):
     """The whole prepare pipeline (render → split → encode → pack) for code_writer."""
     from ..operators.recipes import recipe_for
@@ -894,6 +919,8 @@ QUERIES: dict[str, Query] = {
     "ingest_new_files": ingest_new_files,
     "ingest_stream": ingest_stream_files,
     "stream_records": stream_records,
+    "stream_chats": stream_chats,
+    "stream_optimizations": stream_optimizations,
     "prepare_blocks": prepare_blocks,
     "arrow_encoder_tokens": arrow_encoder_tokens,
     "hash_split": hash_split,

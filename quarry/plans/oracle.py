@@ -699,6 +699,8 @@ def oracle_sql() -> dict[str, str]:
         "ingest_new_files": "SELECT doc_id, lang FROM documents WHERE lang IS DISTINCT FROM 'en'",
         "ingest_stream": "SELECT doc_id, lang FROM documents",
         "stream_records": code_writer_sql(),
+        "stream_chats": review_sql(),
+        "stream_optimizations": optimization_sql(),
         "prepare_blocks": pack_blocks_sql(),
         "arrow_encoder_tokens": arrow_encoder_sql(),
         "hash_split": hash_split_sql(),

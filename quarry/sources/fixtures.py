@@ -74,6 +74,18 @@ def chats(conversations: DataFrame) -> DataFrame:
     return grouped.select(F.col("conv_id").alias("id"), F.transform("ms", lambda x: x["m"]).alias("messages"))
 
 
+def chat_turns(conversations: DataFrame) -> DataFrame:
+    """id, turn, role, content, ts: a log of turns; conversations begin a minute apart, their turns follow by the second."""
+    seconds = F.coalesce(F.col("conv_id"), F.lit(0)) * 60 + F.coalesce(F.col("turn"), F.lit(0))
+    return conversations.select(
+        F.col("conv_id").alias("id"),
+        "turn",
+        chat_role(conversations).alias("role"),
+        F.col("text").alias("content"),
+        F.timestamp_seconds(seconds).cast("timestamp_ntz").alias("ts"),
+    )
+
+
 def security_pairs(documents: DataFrame) -> DataFrame:
     """id, lang, vulnerability = source, question = first line, chosen = text, rejected = reversed text."""
     return documents.select(
