@@ -27,6 +27,9 @@ Parallel form (two passes over lengths only, then one pass over tokens):
    separator) into at most two block fragments, group by block (≤ L tokens per
    group, so no group can be skewed), order fragments by offset and keep full
    blocks only.
+
+``pack_bytes`` replaces step 5 where ids are the bytes of a text: the bytes move (one a token, not an array of four-byte
+ids), a group takes a run of blocks of the stream, and ids and labels are first made there. No token array is shuffled.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,9 +174,12 @@ def sample_starts(
     ids: str = "input_ids",
     chunk_rows: int = 1 << 20,
     fanout: int = 256,
+    length: Column | None = None,
 ) -> DataFrame:
     """(parts..., key, pack_start, pack_sep, length) for every sample.
 
+    A sample is as long as its ``ids``, or ``length`` where that is known without them.
+
     ``pack_start`` is the position of the sample's first token in the packed
     stream of its group; ``pack_sep`` = 1 when a separator precedes it. ``max_len``
     is the block length or the column that holds it, one value a group.
@@ -183,7 +190,7 @@ def sample_starts(
     keys = [key] if isinstance(key, str) else list(key)
     # Lengths only (a few bytes per sample), cut from the upstream plan once:
     # ranking reads them twice (bucket counts, then the in-bucket window).
-    light = materialize(df.select(*parts, *keys, F.size(ids).cast("long").alias(LEN)))
+    light = materialize(df.select(*parts, *keys, (F.size(ids) if length is None else length).cast("long").alias(LEN)))
     check_unique(light, [*parts, *keys], "packing")
     ranked = global_rank(light, keys, seed, parts, out=RANK)
     # Both passes must see the same ranks; the ranked lengths are four small
@@ -297,6 +304,82 @@ def pack(
     )
 
 
+def _fill(table: pa.Table, base: int, size: int, eos_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, labels) of the packed stream from ``base`` on, up to where it ends or ``size`` tokens are full.
+
+    ``table`` holds the samples that meet this stretch, with their bytes; those at its ends are cut."""
+    data = table.column("_bytes").combine_chunks()
+    data = data.cast(pa.large_binary())
+    off = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+    raw = np.frombuffer(data.buffers()[2] or b"", np.uint8)
+    start = table.column(START).to_numpy() - base
+    n = np.diff(off)
+    at = np.repeat(start - (off[:-1] - off[0]), n) + np.arange(off[-1] - off[0])
+    here = (at >= 0) & (at < size)
+    before = start[table.column(SEP).to_numpy() == 1] - 1
+    before = before[(before >= 0) & (before < size)]
+    ids, labels = np.zeros(size, np.int32), np.full(size, fixed.IGNORE_LABEL, np.int32)
+    ids[at[here]] = raw[off[0] : off[-1]][here]
+    labels[at[here]] = ids[at[here]]
+    ids[before] = eos_id
+    held = np.bincount(np.concatenate([at[here], before]), minlength=size)
+    end = int(np.count_nonzero(held))
+    if (held[:end] != 1).any():
+        raise ValueError("packed blocks with a gap or an overlap: the input has changed between its two reads")
+    return ids[:end], labels[:end]
+
+
+def pack_bytes(
+    df: DataFrame,
+    key,
+    max_len: int | str,
+    text: str = "text",
+    eos_id: int = fixed.DEFAULT_EOS_ID,
+    seed: int = fixed.SEED,
+    partition_by: Sequence[str] = (),
+    chunk_rows: int = 1 << 20,
+    fanout: int = 256,
+    group_tokens: int = 1 << 20,
+) -> DataFrame:
+    """``pack`` of the UTF-8 bytes of a text column, each cut to ``max_len``; the same blocks, without token arrays on the way.
+
+    Lengths come from the strings in the JVM. Texts, as bytes, meet their starts in one join and go by runs of about
+    ``group_tokens`` tokens of the packed stream to the tasks that cut the blocks; a text at the edge of two runs goes to both. A run
+    holds at most that many tokens (one block at least) and the two texts at its edges, however texts are spread. A null text is empty."""
+    spark = df.sparkSession
+    parts, length_of, L = _lengths(max_len, partition_by)
+    keys = [key] if isinstance(key, str) else list(key)
+    data = F.substring(F.coalesce(F.col(text), F.lit("")).cast("binary"), F.lit(1), L.cast("int"))
+    df = df.select(*parts, *keys, data.alias("_bytes"))
+    starts = sample_starts(df, keys, max_len, seed, parts, chunk_rows=chunk_rows, fanout=fanout, length=F.octet_length("_bytes"))
+    x = join_null_safe(df, starts, [*parts, *keys])
+    run = F.greatest(F.floor(F.lit(group_tokens) / L), F.lit(1)) * L
+    first, end = F.col(START) - F.col(SEP), F.col(START) + F.col("length")
+    runs = F.sequence(F.floor(first / run).cast("long"), F.floor((end - 1) / run).cast("long"))
+    x = x.filter(first < end).select(*parts, START, SEP, "_bytes", F.explode(runs).alias("_run"))
+
+    fields = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("input_ids", "labels")]
+    schema = T.StructType([*_fields(x, parts), T.StructField("block_id", T.LongType()), *fields])
+
+    def cut(group: tuple, table: pa.Table) -> pa.Table:
+        group = dict(zip([*parts, "_run"], group))
+        size = length_of({c: v.as_py() for c, v in group.items()})
+        blocks = max(group_tokens // size, 1)
+        first_block = group["_run"].as_py() * blocks
+        ids, labels = _fill(table, first_block * size, blocks * size, eos_id)
+        n = len(ids) // size  # the tail of the last run is no block
+        at = pa.array(np.arange(n + 1) * size, pa.int32())
+        out = {p: pa.repeat(group[p], n) for p in parts}
+        out["block_id"] = pa.array(first_block + np.arange(n), pa.int64())
+        out["input_ids"] = pa.ListArray.from_arrays(at, pa.array(ids[: n * size]))
+        out["labels"] = pa.ListArray.from_arrays(at, pa.array(labels[: n * size]))
+        return pa.table(out)
+
+    ship_package(spark)
+    blocks = x.groupBy(*parts, "_run").applyInArrow(cut, schema)
+    return blocks.select(*parts, "block_id", "input_ids", F.array_repeat(F.lit(1), L.cast("int")).alias("attention_mask"), "labels")
+
+
 def pack_stats(starts: DataFrame, max_len: int, partition_by: Sequence[str] = ()) -> DataFrame:
     """samples in, blocks out, trailing tokens dropped (per group)."""
     end = F.max(F.col(START) + F.col("length"))

@@ -69,14 +69,13 @@ def prepare(
             return tokenize.byte_encode(df, "text", L)
         return tokenize.encode_with(df, encoder_factory, "text", L)
 
-    train_tok, eval_tok = encode(train), encode(ev)
-    if recipe.get("packing"):
-        # A user encoder is the costly step: checkpoint its output once.
-        # Labels are a copy of the ids until separators are masked: packing makes them itself.
-        train_tok = pack.pack(
-            train_tok.drop("labels"), key, L, tokenize.eos_id(eos_id), seed, materialize_input=encoder_factory is not None
-        )
-    return train_tok, eval_tok
+    if not recipe.get("packing"):
+        return encode(train), encode(ev)
+    if encoder_factory is None:
+        return pack.pack_bytes(train, key, L, "text", tokenize.eos_id(eos_id), seed), encode(ev)
+    # A user encoder is the costly step: checkpoint its output once.
+    # Labels are a copy of the ids until separators are masked: packing makes them itself.
+    return pack.pack(encode(train).drop("labels"), key, L, tokenize.eos_id(eos_id), seed, materialize_input=True), encode(ev)
 
 
 def prepare_all(
@@ -104,6 +103,6 @@ def prepare_all(
     ids = ids.withColumns({"input_ids": cut, "attention_mask": F.slice("attention_mask", F.lit(1), F.col("max_seq_length")), "labels": cut})
     train, held = F.col("split") == "train", F.col("split") == "eval"
     columns = [role, *keys, "input_ids", "attention_mask", "labels"]
-    to_pack = ids.filter(train & F.col("packing")).select(role, *keys, "max_seq_length", "input_ids")
-    blocks = pack.pack(to_pack, keys, "max_seq_length", tokenize.eos_id(eos_id), seed, [role])
+    to_pack = rows.filter(train & F.col("packing"))
+    blocks = pack.pack_bytes(to_pack, keys, "max_seq_length", "text", tokenize.eos_id(eos_id), seed, [role])
     return blocks, ids.filter(train & ~F.col("packing")).select(*columns), ids.filter(held).select(*columns)

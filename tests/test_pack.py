@@ -113,3 +113,37 @@ def test_collate_keeps_null_groups_and_checks_keys(spark):
         assert list(r.labels) == [r.id] * (r.id + 1) + [-100] * pad
     with pytest.raises(ValueError, match="unique"):
         collate(df, "id", 2)
+
+
+TEXTS = ["", None, "abc", "naïve — ☃", "x" * 40, "12345678", "a", "", "zwölf", "𝄞𝄞𝄞", "line\nline", "\x00\x01", "y" * 8, "end"]
+
+
+@pytest.mark.parametrize("max_len,group_tokens,parts,chunk_rows", [(8, 8, 1, 1 << 20), (8, 24, 5, 3), (5, 1, 3, 2), (16, 1 << 20, 2, 4), (1, 3, 4, 5)])
+def test_bytes_are_packed_as_their_ids(spark, max_len, group_tokens, parts, chunk_rows):
+    rows = [(i, TEXTS[i % len(TEXTS)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(parts)
+    order = [r.id for r in df.select("id", order_hash("id").alias("h")).orderBy("h", "id").collect()]
+    exp, _, _ = sequential([list((rows[i][1] or "").encode()[:max_len]) for i in order], max_len, 300)
+    got = P.pack_bytes(df, "id", max_len, eos_id=300, chunk_rows=chunk_rows, fanout=2, group_tokens=group_tokens).orderBy("block_id").collect()
+    assert [b.block_id for b in got] == list(range(len(exp)))
+    assert [(b.input_ids, b.labels) for b in got] == exp
+    assert all(b.attention_mask == [1] * max_len for b in got)
+
+
+def test_bytes_are_packed_per_group_with_its_length(spark):
+    rows = [(i, [None, "a", "b"][i % 3], [6, 9, 4][i % 3], TEXTS[i % len(TEXTS)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, role string, max_len int, text string")
+    got = P.pack_bytes(df, "id", "max_len", eos_id=300, partition_by=["role"], chunk_rows=7, fanout=2, group_tokens=20).collect()
+    order = [r.id for r in df.select("id", order_hash("id").alias("h")).orderBy("h", "id").collect()]
+    for role, n in ((None, 6), ("a", 9), ("b", 4)):
+        exp, _, _ = sequential([list((rows[i][3] or "").encode()[:n]) for i in order if rows[i][1] == role], n, 300)
+        mine = sorted((b for b in got if b.role == role), key=lambda b: b.block_id)
+        assert exp and [(b.input_ids, b.labels) for b in mine] == exp
+        assert {b.max_len for b in mine} == {n}
+
+
+def test_no_bytes_no_blocks(spark):
+    for rows in ([], [(1, None)], [(1, ""), (2, None)], [(1, "abc")]):
+        assert P.pack_bytes(spark.createDataFrame(rows, "id long, text string"), "id", 4).collect() == []
+    with pytest.raises(ValueError, match="unique"):
+        P.pack_bytes(spark.createDataFrame([(1, "a"), (1, "b")], "id long, text string"), "id", 4)
