@@ -2,9 +2,11 @@
 
 import hashlib
 import os
+import random
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import integrity as V
 
@@ -94,3 +96,40 @@ def test_fast_mode_flags_structure(spark):
     write(d, "x.jsonl", b'{"a": 1}\n[1]\n{"b": 1}\nnope\n')
     got = report(spark, d, ["a"], strict=False)
     assert [(l, c) for _, l, c in got] == [(2, "not_object"), (3, "missing_fields"), (4, "invalid_json")]
+
+
+def _some_json(rng, depth):
+    """A value that is mostly valid JSON."""
+    k = rng.randrange(8 if depth else 6)
+    if k == 0:
+        return rng.choice(['"a\\n"', '"\\u00e9"', '"é😀"', '""', '"\\ud800"', '"\\x"', '"\t"', '"\\u12"'])
+    if k == 1:
+        return rng.choice(["0", "-0", "01", "1.5", "1.", "-", "1e5", "1E+07", ".5", "1e", "-1.25e-3", "9" * 400, "9" * 5000])
+    if k == 2:
+        return rng.choice(["true", "false", "null", "NaN", "Infinity", "-Infinity", "True", "nul"])
+    if k < 6:
+        return rng.choice(['"x"', "12"])
+    gap = lambda: rng.choice(["", "", "", " ", "\x0b"])
+    end = rng.choice(["", "", "", ","])
+    if k == 6:
+        return "[" + gap() + ",".join(_some_json(rng, depth - 1) + gap() for _ in range(rng.randrange(4))) + end + "]"
+    names = [f'"k{rng.randrange(3)}"' for _ in range(rng.randrange(4))]
+    return "{" + gap() + ",".join(n + gap() + ":" + gap() + _some_json(rng, depth - 1) for n in names) + end + "}"
+
+
+def test_proof_in_the_jvm_agrees_with_the_parser(spark):
+    rng = random.Random(5)
+    lines = ['{"q":' + _some_json(rng, 5) + "}" + rng.choice([""] * 8 + [" x", "}"]) for _ in range(3000)]
+    lines += [_some_json(rng, 4) for _ in range(500)]
+    for i in range(0, len(lines), 7):
+        j = rng.randrange(len(lines[i]) + 1)
+        lines[i] = lines[i][:j] + rng.choice(['"', "\\", "{", "}", ",", " ", ""]) + lines[i][j + 1 :]
+    lines += ['{"q":"' + "x\\n" * 300000 + '"}', '{"q":[' + "1," * 300000 + "1]}", "[" * 100000]
+    df = spark.createDataFrame(list(enumerate(lines)), "i long, value string").repartition(4)
+    for required in (None, ["q"], ["k0", "q"]):
+        want = {(r.i, r.status, r.detail) for r in V.check_lines(df, required).filter("status <> 'ok'").collect()}
+        assert {(r.i, r.status, r.detail) for r in V.failing_lines(df, required).collect()} == want
+    ok = {r.i for r in V.check_lines(df).filter("status = 'ok'").collect()}
+    proven = {r.i for r in df.filter(F.trim("value").rlike(V.json_object_pattern())).collect()}
+    assert proven <= ok and len(proven) > 0.8 * len(ok)
+    assert {len(lines) - 3, len(lines) - 2} <= proven
