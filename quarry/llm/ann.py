@@ -81,8 +81,20 @@ def _matrix(arr: pa.Array, n: int) -> np.ndarray:
     return np.frombuffer(b"".join(arr.to_pylist()), "<f8").reshape(n, -1)
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings the largest component to 0.5 or more and below 1, so that squares stay
+    finite and above zero. Powers of two change no digit of a cosine."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
+def unit(v: np.ndarray) -> np.ndarray:
+    v = scaled(v)
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+
+
 def cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Cosine of each pair of rows, summed in one fixed order."""
+    q, v = scaled(q), scaled(v)
     return np.einsum("ij,ij->i", q, v) / (np.sqrt(np.einsum("ij,ij->i", q, q)) * np.sqrt(np.einsum("ij,ij->i", v, v)))
 
 
@@ -120,8 +132,7 @@ def _best(score: np.ndarray, k: int) -> np.ndarray:
 
 def nearest_in(q: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, candidate) numbers of each query's k nearest rows of v and those tied with them."""
-    qs = q / np.sqrt((q * q).sum(axis=1, keepdims=True))
-    vs = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    qs, vs = unit(q), unit(v)
     a, b = [], []
     for i in range(0, len(q), 1024):
         x, y = np.nonzero(_best(qs[i : i + 1024] @ vs.T, k))
@@ -202,7 +213,7 @@ def nearest_neighbours(
             for size in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == size)
                 v = _matrix(b.column("vector").take(pa.array(at)), len(at))
-                key = curve_keys(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), curves, dims, bits, seed)
+                key = curve_keys(unit(v), curves, dims, bits, seed)
                 cols = [pa.array([names[i] for i in at] * curves, pa.binary()), pa.array(np.full(len(at) * curves, size, np.int32)),
                         pa.array(np.repeat(np.arange(curves, dtype=np.int32), len(at))), pa.array(key.T.ravel())]
                 yield pa.RecordBatch.from_arrays(cols, ["item", "size", "curve", "key"])
@@ -232,7 +243,7 @@ def nearest_neighbours(
             order = np.argsort(mr)
             mr, v = mr[order], v[order]
             ids, names = m.column("ids").take(pa.array(order)).to_pylist(), q.column("q_item").to_pylist()
-            vs, ws = v / np.sqrt((v * v).sum(axis=1, keepdims=True)), w / np.sqrt((w * w).sum(axis=1, keepdims=True))
+            vs, ws = unit(v), unit(w)
             for i in range(0, len(qr), 512):
                 score = ws[i : i + 512] @ vs.T
                 score[np.abs(mr[None, :] - qr[i : i + 512, None]) > window] = -np.inf

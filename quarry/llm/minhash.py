@@ -165,7 +165,7 @@ def compared(pairs: list[tuple]) -> pa.RecordBatch:
 # ---- near-duplicate classes -------------------------------------------------------------------
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, bands: int = 25, bucket_rows: int = 512) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, bands: int | None = None, bucket_rows: int = 512) -> DataFrame:
     """(doc_id, class_id), one row per row of df: documents linked by a Jaccard similarity of `similarity` or more.
 
     class_id is the smallest id reachable; null ids: as in SimHash classes, no id of a class. See near_classes.
@@ -174,17 +174,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select("doc_id", "item").join(classes, "item").select("doc_id", "class_id")
 
 
-def near_classes(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.8, bands: int = 25, bucket_rows: int = 512) -> tuple[DataFrame, DataFrame]:
+def bands_for(similarity: float) -> int:
+    """The fewest bands in which a pair of this similarity is missed once in 10,000 at most; one place a band for the lowest."""
+    places = [r for r in range(1, PLACES + 1) if (1 - similarity**r) ** (PLACES // r) <= 1e-4]
+    return PLACES // max(places, default=1)
+
+
+def near_classes(df: DataFrame, id_col: str, text_col: str, similarity: float = 0.8, bands: int | None = None, bucket_rows: int = 512) -> tuple[DataFrame, DataFrame]:
     """(rows with doc_id and item, (item, class_id)). Texts with one set of shingles are one item, so copies cost nothing.
 
     Signatures are cut into `bands`; items that share a band meet in its bucket, where the Jaccard similarity of
-    their shingle sets is verified; a pair of similarity 0.8 shares one of 25 bands of 5 places with probability
-    0.9999. First each item is held against the smallest item of each of its buckets, a pair once however many
+    their shingle sets is verified. Bands not given follow `similarity` (bands_for): a pair of similarity 0.8 shares one
+    of 25 bands of 5 places with probability 0.9999. First each item is held against the smallest item of each of its buckets, a pair once however many
     bands it shares; that links most near copies. Where a bucket of three or more still has parts that are not
     linked, all pairs across its parts are compared, in blocks of bucket_rows; blocks of one part do not meet.
     Only ids and keys travel, and the sets of items that share a band, once for each of an item's hubs. Texts without words are one class.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity is above 0 and at most 1")
     ready(df)
+    bands = bands or bands_for(similarity)
     rows = PLACES // bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +251,7 @@ def near_classes(df: DataFrame, id_col: str, text_col: str, similarity: float =
             for i, h, s in zip(b.column("item").to_pylist(), b.column("hub").to_pylist(), b.column("set").to_pylist()):
                 s = np.frombuffer(s, "<u4")
                 first = s if i == h else first
-                near.append(i != h and _jaccard(first, s) >= similarity)
+                near.append(i != h and _near(first, s, similarity))
             yield b.select(["item", "hub"]).filter(pa.array(near, pa.bool_())).rename_columns(["a", "b"])
 
     links = materialize(met.mapInArrow(verify, "a long, b long"))
@@ -328,7 +337,7 @@ def _forest(item: list[int], root: list[int], sets: list[np.ndarray], similarity
     at, mark = np.concatenate([[0], np.cumsum(size)]), np.zeros(int(codes.max()) + 1, bool)
     part = np.unique(np.array(root, np.int64), return_inverse=True)[1]
     for x in range(len(item)):
-        y = np.flatnonzero((part != part[x]) & (np.arange(len(item)) > x) & (np.minimum(size, size[x]) >= similarity * np.maximum(size, size[x])))
+        y = np.flatnonzero((part != part[x]) & (np.arange(len(item)) > x) & (np.minimum(size, size[x]) / np.maximum(size, size[x]) >= similarity))
         if not len(y):
             continue
         mark[codes[at[x] : at[x + 1]]] = True
@@ -342,8 +351,9 @@ def _forest(item: list[int], root: list[int], sets: list[np.ndarray], similarity
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    if min(len(a), len(b)) < 0.5 * max(len(a), len(b)):
-        return min(len(a), len(b)) / max(len(a), len(b))
+def _near(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets have that Jaccard similarity; their sizes alone refuse most pairs that have not."""
+    if min(len(a), len(b)) / max(len(a), len(b)) < similarity:
+        return False
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
+    return both / (len(a) + len(b) - both) >= similarity

@@ -96,6 +96,20 @@ def test_edge_rows(spark):
     assert answers(ann.nearest_neighbours(df.filter("vec_id < 3")))[0][0][0] == 1
 
 
+def test_huge_and_tiny_components(spark):
+    """Squares that would overflow or vanish: each row is a plain vector times a power of two, and so are its answers."""
+    rng = np.random.default_rng(3)
+    plain = [(50 * (i % 5 == 0) * (i + 1) or 1000 * i + 1, [float(x) for x in rng.integers(-9, 10, 6) + 0.5]) for i in range(60)]
+    power = [0, 1000, -1000, 600, -1060]
+    rows = [(i, [float(np.ldexp(x, power[n % 5])) for x in v]) for n, (i, v) in enumerate(plain)]
+    schema = "vec_id long, embedding array<double>"
+    got, want = (answers(ann.nearest_neighbours(spark.createDataFrame(r, schema))) for r in (rows, plain))
+    assert got == want and len(got) == 12
+    tiny = [(0, [1e-200, 0.0]), (1, [1e-200, 0.0]), (2, [1e200, 1e200]), (3, [5e-324, 0.0])]
+    got = answers(ann.nearest_neighbours(spark.createDataFrame(tiny, schema)))
+    assert [i for i, _ in got[0]] == [1, 3, 2] and [s for _, s in got[0]][:2] == [1.0, 1.0] and abs(got[0][2][1] - 0.5**0.5) < 1e-15
+
+
 def test_both_sides_of_a_group_are_bounded(spark, monkeypatch):
     """Every row asks and the window covers all: each pair meets once, in groups of at most BLOCK by BLOCK."""
     monkeypatch.setattr(ann, "BLOCK", 16)

@@ -95,6 +95,25 @@ def test_op6_links_near_copies_that_do_not_follow_each_other(spark, tmp_path):
     assert sorted(str((r.doc_id, r.n_chars, r.class_id)) for r in got) == sorted(str((d, len(t or ""), 1 if len(t or "") > 99 else 12 if not t else d)) for d, t in rows)
 
 
+def test_low_similarity(spark):
+    """Sizes alone link nothing, and the bands follow the similarity asked for."""
+    assert minhash.bands_for(0.8) == 25 and minhash.bands_for(1.0) == 1
+    for s in (0.4, 0.6, 0.9):
+        n = minhash.bands_for(s)
+        assert (1 - s ** (128 // n)) ** n <= 1e-4
+    small, large = np.arange(10, dtype="<u4"), np.arange(100, 125, dtype="<u4")
+    assert not minhash._near(small, large, 0.4) and minhash._near(small, np.arange(25, dtype="<u4"), 0.4)
+    assert minhash._near(np.arange(55, dtype="<u4"), np.arange(100, dtype="<u4"), 0.55)
+    rows = []
+    for k in range(12):  # pairs whose second text keeps 60 of 100 words: 56 shingles of 136
+        own = [f"a{k}x{i}" for i in range(100)]
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(own[:60] + [f"b{k}x{i}" for i in range(40)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(0.4 < jaccard(rows[2 * k][1], rows[2 * k + 1][1]) < 0.5 for k in range(12))
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(df, similarity=0.4).collect()} == {d: d // 2 * 2 for d, _ in rows}
+    assert all(r.doc_id == r.class_id for r in minhash.near_duplicates(df, similarity=0.5).collect())
+
+
 def test_parts_of_a_large_bucket_meet():
     sets = [np.arange(i, i + 20, dtype="<u4") for i in range(0, 12, 2)] + [np.arange(500, 520, dtype="<u4")]  # a chain and one apart
     out = minhash._forest(list(range(7)), [0, 0, 2, 3, 4, 5, 6], sets, 0.8).to_pylist()
