@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import clean, strip_ws
 from ..session import materialize, ship_package
-from ..sources.tables import file_listing, has_files, resolve_uri
+from ..sources.tables import files_or_none, resolve_uri
 
 #: A digest needs the whole file as one array of bytes.
 MAX_DIGEST_BYTES = 2_000_000_000
@@ -219,17 +219,18 @@ def validate_files(
     A digest reads a file as one value, so a longer file than that can hold gets the issue ``too_large``.
     """
     empty = spark.createDataFrame([], REPORT_SCHEMA)
-    if not has_files(spark, path):
+    found = files_or_none(spark, path)
+    if found is None:
         missing = spark.createDataFrame([(path, None, "missing", f"no such path: {path}")], REPORT_SCHEMA)
         return missing, spark.createDataFrame([], "file string, records long")
-    listing = file_listing(spark, path)
+    listing = found.select("path", "length")
     scanned = listing.select(_norm_path(F.col("path")).alias("file"), "length")
     # The scan leaves out files of no bytes; only the file index, which the driver holds anyway, has them.
     listed = spark.createDataFrame([(p,) for p in listing.inputFiles()], "file string")
     listed = listed.select(_norm_path(F.col("file")).alias("file"))
     report = _file_issue(listed.join(scanned, "file", "left_anti"), "empty", F.lit("file has no bytes"))
     if sha256 is not None:
-        report = report.unionByName(_digest_failures(spark, path, scanned, sha256))
+        report = report.unionByName(_digest_failures(found, scanned, sha256))
     raw, splits = numbered_lines(spark, path)
     splits = materialize(splits)
     bad = materialize(failing_lines(raw, required, strict).drop("value"))
@@ -247,19 +248,18 @@ def _file_issue(files: DataFrame, issue: str, detail: F.Column) -> DataFrame:
     return files.select("file", F.lit(None).cast("long").alias("line"), F.lit(issue).alias("issue"), detail.alias("detail"))
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(file, actual): SHA-256 of each file of a length that one value can hold."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(resolve_uri(path))
-    small = read.filter(F.col("length") <= MAX_DIGEST_BYTES)
+def file_digests(found: DataFrame) -> DataFrame:
+    """(file, actual): SHA-256 of each file of ``read_files`` of a length that one value can hold."""
+    small = found.filter(F.col("length") <= MAX_DIGEST_BYTES)
     return small.select(_norm_path(F.col("path")).alias("file"), F.sha2(F.col("content"), 256).alias("actual"))
 
 
-def _digest_failures(spark: SparkSession, path: str, scanned: DataFrame, expected: str | DataFrame) -> DataFrame:
+def _digest_failures(found: DataFrame, scanned: DataFrame, expected: str | DataFrame) -> DataFrame:
     if isinstance(expected, DataFrame):
         wanted = expected.select(_norm_path(F.col("file")).alias("file"), "sha256")
     else:
         wanted = scanned.select("file", F.lit(expected).alias("sha256"))
-    pairs = wanted.join(file_digests(spark, path), "file").filter(F.col("actual") != F.lower("sha256"))
+    pairs = wanted.join(file_digests(found), "file").filter(F.col("actual") != F.lower("sha256"))
     wrong = _file_issue(pairs, "sha256", F.concat(F.lit("expected "), F.col("sha256"), F.lit(", got "), F.col("actual")))
     large = scanned.join(wanted, "file").filter(F.col("length") > MAX_DIGEST_BYTES)
     return wrong.unionByName(_file_issue(large, "too_large", F.col("length").cast("string")))

@@ -450,13 +450,16 @@ def _validated_files(spark, sf) -> tuple[DataFrame, DataFrame]:
     digests = lines.groupBy("part").agg(F.sha2(F.concat(body, F.lit("\n")), 256).alias("sha256"))
     digests = digests.withColumn("sha256", F.when(F.col("part") % 4 == 1, F.repeat(F.lit("0"), 64)).otherwise(F.col("sha256")))
     files = file_listing(spark, root).select(F.col("path").alias("file"), _part("path").alias("part"))
-    conf = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "4096")
+    # Splits are small, but a task reads many of them: else tasks, and what each sends to the driver, would grow by 4 KB.
+    size, tasks = "spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum"
+    before = {conf: spark.conf.get(conf, None) for conf in (size, tasks)}
+    spark.conf.set(size, "4096")
+    spark.conf.set(tasks, spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         return validate_files(spark, root, REQUIRED_KEYS, files.join(digests, "part"))
     finally:
-        spark.conf.set(conf, before)
+        for conf, value in before.items():
+            spark.conf.unset(conf) if value is None else spark.conf.set(conf, value)
 
 
 def _part(c) -> F.Column:

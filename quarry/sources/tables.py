@@ -76,19 +76,31 @@ def read_first_available(
     raise FileNotFoundError("no source available: " + "; ".join(errors))
 
 
-def file_listing(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """path, length, modificationTime of the files under ``path`` (content not read)."""
+def read_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """A row per file under ``path``; the content is read only where a plan uses it."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(resolve_uri(path)).select("path", "length", "modificationTime")
+    return reader.load(resolve_uri(path))
 
 
-def has_files(spark: SparkSession, path: str, glob: str | None = None) -> bool:
-    """Whether the listing is non-empty (one row at most reaches the driver)."""
+def file_listing(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """path, length, modificationTime of the files under ``path`` (content not read)."""
+    return read_files(spark, path, glob, recursive).select("path", "length", "modificationTime")
+
+
+def files_or_none(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame | None:
+    """``read_files`` of a path that holds a file of some bytes, else None; the path is listed once."""
     try:
-        return bool(file_listing(spark, path, glob).limit(1).count())
+        found = read_files(spark, path, glob)
+        # One row at most reaches the driver; a count would run a task for every partition of the files.
+        return found if found.select("path").take(1) else None
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
+        return None
+
+
+def has_files(spark: SparkSession, path: str, glob: str | None = None) -> bool:
+    """Whether the listing is non-empty."""
+    return files_or_none(spark, path, glob) is not None

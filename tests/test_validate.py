@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators import integrity as V
 
+from .conftest import SF01
+
 
 def write(dirpath, name, data: bytes):
     p = os.path.join(dirpath, name)
@@ -133,3 +135,38 @@ def test_proof_in_the_jvm_agrees_with_the_parser(spark):
     proven = {r.i for r in df.filter(F.trim("value").rlike(V.json_object_pattern())).collect()}
     assert proven <= ok and len(proven) > 0.8 * len(ok)
     assert {len(lines) - 3, len(lines) - 2} <= proven
+
+
+def test_many_small_splits_share_tasks(spark):
+    """Splits of 4 KB: a task for each would grow with every 4 KB of text."""
+    from quarry.plans import catalog
+
+    sc = spark.sparkContext
+    sc.setJobGroup("small-splits", "")
+    try:
+        assert catalog.validate_files_counts(spark, SF01).count() == 10
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    seen = sc.statusTracker()
+    stages = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup("small-splits") for s in seen.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 12  # 8 partitions; the files have 30 splits
+
+
+def test_a_folder_with_files_is_found_by_one_task(spark):
+    from quarry.sources.tables import has_files
+
+    d = tempfile.mkdtemp(prefix="val-")
+    for i in range(40):
+        write(d, f"{i}.jsonl", b"x" * 5000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    sc = spark.sparkContext
+    sc.setJobGroup("found", "")
+    try:
+        assert has_files(spark, d) and not has_files(spark, os.path.join(d, "none"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    seen = sc.statusTracker()
+    stages = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup("found") for s in seen.getJobInfo(j).stageIds]
+    assert sum(s.numTasks for s in stages if s) <= 1
