@@ -4,28 +4,37 @@ A vocabulary is a table (token, count, id): the words of a text column with how
 the most frequent one. Counts are summed on the map side first, and the numbers come from ``order.ordinal_rank``, so no
 window runs over all words in one task.
 
-The encoder explodes texts to (key, position, word), joins the ids and collects them again. A document is collected in
-pieces of ``piece_words`` words, so that a very long text is many small sorts and one concatenation. A vocabulary under a
-counted bound is broadcast. Beyond it the words meet it by a shuffle, in which the words that fill much of the text
-would land in one task each; these are at most ``HOT_SHARE`` by their counts and are broadcast, and a word that has its
-id already travels under a key of its own.
+The encoder deals documents to slices of about ``SLICE_BYTES`` of text by their key. A slice's different words get their
+ids by a join, each once a slice however often it stands there, and meet the slice's documents in one Arrow call, which
+looks the words up in order. So a text moves as it is, not as a row a word, and nothing is collected or sorted a word.
+A document travels as strings of ``piece_words`` words. A vocabulary under a counted bound is broadcast, and the words stay
+where their slice is. Beyond it the words meet it by a shuffle, in which a word of every slice would still be a row a slice
+in one task; words that fill much of the text are at most ``HOT_SHARE`` by their counts and are broadcast, and a word that
+has its id already travels under a key of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import ship_package
 from .order import check_unique, ordinal_rank
-from .tokenize import with_encoding
+from .tokenize import IDS, with_encoding
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_BROADCAST_WORDS = 1_000_000
 #: Words that make up more than this part of the text (1 / HOT_SHARE) are hot: at most HOT_SHARE of them exist.
 HOT_SHARE = 10_000
+#: Text of a slice of documents, whose words are looked up together.
+SLICE_BYTES = 4_000_000
 UNKNOWN_ID = 0
 
 
@@ -80,14 +89,44 @@ def encode_words(
     unique and is checked. The vocabulary should be a stored table: it is read for its size and for the join."""
     keys = [key] if isinstance(key, str) else list(key)
     names = [f"_key{i}" for i in range(len(keys))]
-    x = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], words(text).alias("_words"))
+    x = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], F.col(f"`{text}`").cast("string").alias("_text"))
     check_unique(x.select(*names), names, "encoding")
-    x = x.select(*names, F.posexplode_outer("_words").alias("pos", "token"))
-    x = _with_ids(x, vocabulary, F.xxhash64(*names, "pos"), max_broadcast)
-    one = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_id", F.lit(unknown_id)).cast("int").alias("id")))
-    piece = F.floor(F.col("pos") / int(piece_words)).alias("_piece")
-    pieces = x.groupBy(*names, piece).agg(F.sort_array(F.collect_list(one)).alias("ids"))
-    whole = pieces.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_piece", F.col("ids.id").alias("ids")))).alias("pieces"))
-    ids = F.flatten(F.col("pieces.ids")).alias("_ids")
-    out = whole.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], ids)
+    size = x.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    dealt = F.pmod(F.xxhash64(*names), F.lit(size // SLICE_BYTES + 1)).alias("_slice")
+    # A slice lies in one partition, so its words are made different before they move.
+    found = x.select(dealt, "_text").repartition("_slice").select("_slice", F.explode(words("_text")).alias("token")).distinct()
+    found = _with_ids(found, vocabulary, F.xxhash64("_slice", "token"), max_broadcast)
+    found = found.filter(F.col("_id").isNotNull()).select("_slice", "token", F.col("_id").cast("int").alias("_id"))
+    whole = x.select(*names, dealt, words("_text").alias("_words"))
+    first = F.sequence(F.lit(1), F.size("_words"), F.lit(int(piece_words)))
+    pieces = F.transform(first, lambda i: F.array_join(F.slice("_words", i, int(piece_words)), " "))
+    whole = whole.select(*names, "_slice", F.when(F.size("_words") > 0, pieces).alias("_pieces"))
+    schema = T.StructType([*[whole.schema[n] for n in names], T.StructField("_ids", IDS)])
+    ship_package(df.sparkSession)
+    ids = whole.groupBy("_slice").cogroup(found.groupBy("_slice")).applyInArrow(_slice_encoder(names, int(unknown_id)), schema)
+    out = ids.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "_ids")
     return with_encoding(out, "_ids", 2**31 - 1 if max_len is None else int(max_len)).drop("_ids")
+
+
+def _slice_encoder(names: Sequence[str], unknown_id: int):
+    """Arrow function (documents of a slice as pieces, ids of its words) → (key…, _ids)."""
+
+    def counted(lists) -> np.ndarray:
+        """Lengths of lists, null ones empty."""
+        return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def edges(counts: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(counts)])
+
+    def encode(docs: pa.Table, ids: pa.Table) -> pa.Table:
+        pieces = docs.column("_pieces").combine_chunks()
+        split = pc.split_pattern(pieces.flatten(), " ")
+        found = pc.index_in(split.flatten(), value_set=ids.column("token").combine_chunks())
+        known = pc.take(ids.column("_id").combine_chunks(), found)
+        values = pc.fill_null(known, unknown_id)
+        # Edges of documents in words: their edges in pieces, then the pieces' edges in words.
+        at = edges(counted(split))[edges(counted(pieces))]
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
+        return pa.table([*[docs.column(n) for n in names], lists], names=[*names, "_ids"])
+
+    return encode

@@ -50,3 +50,15 @@ def test_keys_must_be_unique(spark):
     df = frame(spark).withColumn("id", F.lit(1))
     with pytest.raises(ValueError, match="unique"):
         V.encode_words(df, V.build_vocabulary(df), "id")
+
+
+@pytest.mark.parametrize("options", [{}, {"max_broadcast": 0, "piece_words": 3}])
+def test_words_meet_the_vocabulary_once_a_slice(spark, options, monkeypatch):
+    """A row for each word of the text would be collected and sorted by document."""
+    monkeypatch.setattr(V, "SLICE_BYTES", 200)
+    vocab = V.build_vocabulary(frame(spark)).checkpoint()
+    got = V.encode_words(frame(spark), vocab, "id", **options)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "posexplode" not in plan and "FlatMapCoGroupsInArrow" in plan
+    ids = {w: i for w, (_, i) in expected().items()}
+    assert {r.id: r.input_ids for r in got.collect()} == {k: [ids[w] for w in words(t)] for k, t in TEXTS}
