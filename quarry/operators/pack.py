@@ -51,6 +51,7 @@ RANK, CHUNK, LEN = "_pk_rank", "_pk_chunk", "_pk_len"
 TOTAL, SKIPS, ENTRY = "_pk_total", "_pk_skips", "_pk_entry"
 START, SEP = "pack_start", "pack_sep"
 MAX_BROADCAST_CHUNKS = 1_000_000
+_LIST_ROWS = 1 << 16
 
 
 def _skip_table(lens: np.ndarray, L: int) -> np.ndarray:
@@ -58,8 +59,9 @@ def _skip_table(lens: np.ndarray, L: int) -> np.ndarray:
     prefix = np.concatenate([[0], np.cumsum(adv)])[: len(adv)] % L
     entry_res = (-prefix) % L
     D = np.zeros(L, dtype=np.int64)
-    for e in entry_res[::-1].tolist():
-        D[e] = 1 + D[(e - 1) % L]
+    for i in range(len(adv), 0, -_LIST_ROWS):
+        for e in entry_res[max(i - _LIST_ROWS, 0) : i][::-1].tolist():
+            D[e] = 1 + D[(e - 1) % L]
     return D
 
 
@@ -209,17 +211,19 @@ def sample_starts(
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(RANK)
         pos, L = int(pdf[ENTRY].iloc[0]), length_of(pdf.iloc[0])
-        starts, seps = [], []
-        for n in pdf[LEN].tolist():
-            sep = 1 if pos % L else 0
-            pos += sep
-            starts.append(pos)
-            seps.append(sep)
-            pos += int(n)
+        lens = pdf[LEN].to_numpy(np.int64)
+        starts, seps = np.empty(len(lens), np.int64), np.empty(len(lens), np.int32)
+        for i in range(0, len(lens), _LIST_ROWS):  # Python's own numbers, for some rows at a time
+            for k, n in enumerate(lens[i : i + _LIST_ROWS].tolist(), i):
+                sep = 1 if pos % L else 0
+                pos += sep
+                starts[k] = pos
+                seps[k] = sep
+                pos += n
         out = pdf[[*parts, *keys]].copy()
         out[START] = starts
         out[SEP] = seps
-        out["length"] = pdf[LEN].to_numpy()
+        out["length"] = lens
         return out
 
     # The entry table has one row per chunk (samples / chunk_rows); its row

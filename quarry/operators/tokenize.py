@@ -27,6 +27,8 @@ from .. import fixed
 from ..functions.text import _col
 
 IDS = T.ArrayType(T.IntegerType())
+#: Ids that are gathered at once by the byte encoder.
+RUN_IDS = 1 << 18
 
 
 def utf8_bytes(text) -> Column:
@@ -37,12 +39,12 @@ def utf8_bytes(text) -> Column:
 
 
 def _arrow_bytes(max_len: int):
-    """Arrow-batched encoder: the whole text is encoded (in C), then cut."""
+    """Arrow-batched encoder of texts, or of their UTF-8 bytes, cut to ``max_len`` ids."""
 
     @F.arrow_udf(IDS)
     def encode(texts: pa.Array) -> pa.Array:
         # The ids are the bytes of the Arrow buffer, gathered up to max_len each; no Python list is made.
-        data = pc.fill_null(texts, "").cast(pa.binary())
+        data = pc.fill_null(texts.cast(pa.binary()), b"")
         if not len(data):
             return pa.array([], pa.list_(pa.int32()))
         kind = np.int64 if pa.types.is_large_binary(data.type) else np.int32
@@ -50,9 +52,15 @@ def _arrow_bytes(max_len: int):
         raw = data.buffers()[2]
         n = np.minimum(np.diff(off), max_len)
         first = np.concatenate([[0], np.cumsum(n)])
-        at = np.repeat(off[:-1] - first[:-1], n) + np.arange(first[-1])
-        ids = np.frombuffer(raw, np.uint8)[at] if raw is not None and len(at) else np.zeros(0, np.uint8)
-        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32)))
+        ids = np.empty(first[-1], np.int32)
+        raw = np.frombuffer(raw if raw is not None else b"", np.uint8)
+        # Runs of rows of about RUN_IDS ids: a position is eight bytes, so those of a whole batch would be many times its text.
+        edges = [0, *np.unique(np.searchsorted(first, np.arange(RUN_IDS, first[-1], RUN_IDS))).tolist(), len(n)]
+        for i, j in zip(edges, edges[1:]):
+            at = np.repeat(off[i:j] - first[i:j], n[i:j])
+            at += np.arange(first[i], first[j])
+            ids[first[i] : first[j]] = raw[at]
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids))
 
     return encode
 
@@ -79,7 +87,9 @@ def byte_encode(
         from ..session import ship_package
 
         ship_package(df.sparkSession)
-        ids = _arrow_bytes(int(max_len))(F.col(text))
+        # Cut in the JVM, so that a batch of long texts is no longer than its ids.
+        cut = F.substring(F.col(text).cast("binary"), F.lit(1), F.lit(int(max_len)))
+        ids = _arrow_bytes(int(max_len))(cut)
     elif engine == "jvm":
         ids = utf8_bytes(text)
     else:
