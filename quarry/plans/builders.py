@@ -238,12 +238,16 @@ def write_together(
     key: str = "id",
     layout: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
+    rehearse: bool = False,
+    compression: str = "none",
 ) -> Status:
     """``build_and_write`` in one job: all roles are built, and written to ``<root>/role=<name>/`` by one sink.
 
     A line has the fields of its role only. The roles' record counts are observed in the same job. A role whose source is
     missing or whose plan does not analyse is reported and left out; where the job itself fails, some role fails in a
-    task, and the roles are written one by one to tell which. ``layout`` arranges the rows, which have ``role`` and
+    task, and the roles are written one by one to tell which. With ``rehearse`` the rows are
+    first built once without a file, so that a row that fails is met before other roles' files are written in vain.
+    ``compression`` is that of the files of the one job. ``layout`` arranges the rows, which have ``role`` and
     ``key``, before the write (default: each role in the shuffle order)."""
     wanted = list(roles or BUILDERS)
     try:
@@ -261,7 +265,10 @@ def write_together(
     obs = Observation("write_together")
     rows = rows.observe(obs, *[F.count_if(F.col("role") == r).alias(f"n{i}") for i, r in enumerate(built)])
     try:
-        rows.select("role", *partition_by, line.alias("value")).write.mode("overwrite").partitionBy("role", *partition_by).text(resolve_uri(root))
+        if rehearse:
+            recs.write.format("noop").mode("overwrite").save()
+        sink = rows.select("role", *partition_by, line.alias("value")).write.mode("overwrite").partitionBy("role", *partition_by)
+        sink.text(resolve_uri(root), compression=compression)
     except Exception:  # noqa: BLE001 - a role fails in a task: which one is told by writing them apart
         arranged = (lambda r: layout(r.withColumn("role", F.lit(""))).drop("role", key)) if layout else None
         return build_and_write(sources, root, wanted, seed, max_samples, options, key, arranged, partition_by)

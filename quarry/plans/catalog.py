@@ -114,9 +114,10 @@ def split_stats(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-def role_sources(spark, sf) -> dict[str, DataFrame]:
-    docs, conv = _docs(spark, sf), _conv(spark, sf)
-    chats = fx.chats(conv)  # one plan for both chat roles, so the exchange can be reused
+def role_sources(spark, sf, docs: DataFrame | None = None, chats: DataFrame | None = None) -> dict[str, DataFrame]:
+    docs = _docs(spark, sf) if docs is None else docs
+    # One plan for both chat roles, so the exchange can be reused.
+    chats = fx.chats(_conv(spark, sf)) if chats is None else chats
     return {
         "code_writer": fx.instructions(docs),
         "test_generator": fx.unit_tests(docs),
@@ -271,17 +272,33 @@ def jsonl_rejects(spark, sf):
     return good.unionByName(rejects.select(_part("file").alias("part"), "line", F.lit(None).cast("long").alias("k"), "issue", "value", *told))
 
 
-def _write_together(spark, sf, **more) -> tuple[str, list]:
-    """Every role as JSONL by one job, a file per role and run of ROLE_FILE_IDS ids; (root, status)."""
+def _dealt_sources(spark, sf) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(``role_sources``, documents) where each run of ROLE_FILE_IDS ids lies in one partition.
+
+    Builders filter and project, so their rows, several times the sources, lie alike and need no shuffle of their own."""
+    from ..session import materialize
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        return materialize(df.repartition(F.floor(F.col(key) / O.ROLE_FILE_IDS)).sortWithinPartitions(key))
+
+    docs = dealt(_docs(spark, sf), "doc_id")
+    return role_sources(spark, sf, docs, dealt(fx.chats(_conv(spark, sf)), "id")), docs
+
+
+def _write_together(spark, sf, broken: tuple[str, ...] = (), **options) -> tuple[str, list]:
+    """Every role as JSONL by one job, a file per role and run of ROLE_FILE_IDS ids; (root, status).
+
+    ``broken`` names more roles, built from the instructions."""
     from ..session import scratch_path
 
     def layout(recs: DataFrame) -> DataFrame:
         recs = recs.withColumn("chunk", F.floor(F.col("id") / O.ROLE_FILE_IDS))
-        return recs.repartition("role", "chunk").sortWithinPartitions("role", "chunk", "id")
+        return recs.sortWithinPartitions("role", "chunk", "id")
 
     root = scratch_path(spark, "all-role-files")
-    sources = role_sources(spark, sf) | more.pop("sources", {})
-    return root, B.write_together(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **more)
+    sources, docs = _dealt_sources(spark, sf)
+    sources |= {role: fx.instructions(docs) for role in broken}
+    return root, B.write_together(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **options)
 
 
 def write_status_failing(spark, sf):
@@ -290,7 +307,7 @@ def write_status_failing(spark, sf):
     B.register("broken_role", lambda src: B.code_writer(src).withColumn("output", bad.cast("string")))
     B.register("sourceless_role", B.code_writer)
     try:
-        root, status = _write_together(spark, sf, sources={"broken_role": fx.instructions(_docs(spark, sf))})
+        root, status = _write_together(spark, sf, ("broken_role",), rehearse=True)
     finally:
         for role in ("broken_role", "sourceless_role"):
             B.BUILDERS.pop(role)
@@ -308,7 +325,8 @@ def prepare_all_roles(spark, sf):
     from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_numbered
     from .training_set import prepare_all
 
-    root, _ = _write_together(spark, sf)
+    # These files are read once, here: they need not take their full size.
+    root, _ = _write_together(spark, sf, compression="lz4")
     records = read_numbered(spark, root, T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
     records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
     records = records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
@@ -328,10 +346,10 @@ def _write_roles(spark, sf) -> tuple[str, list]:
 
     def layout(recs: DataFrame) -> DataFrame:
         recs = recs.withColumn("chunk", F.floor(F.col("id") / O.ROLE_FILE_IDS))
-        return recs.repartition("chunk").sortWithinPartitions("chunk", "id").drop("id")
+        return recs.sortWithinPartitions("chunk", "id").drop("id")
 
     root = scratch_path(spark, "role-files")
-    return root, B.build_and_write(role_sources(spark, sf), root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"])
+    return root, B.build_and_write(_dealt_sources(spark, sf)[0], root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"])
 
 
 def write_status(spark, sf):
