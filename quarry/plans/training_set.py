@@ -60,7 +60,8 @@ def prepare(
     if eval_records is not None:
         train, ev = text, render_records(eval_records, recipe, key, chat_template)
     else:
-        split = order.split(text, key, eval_fraction, seed)
+        # Split, lengths, blocks and the held rows each read the texts: records are read and rendered once for all.
+        split = order.split(materialize(text), key, eval_fraction, seed)
         train = split.filter(F.col("split") == "train").drop("split")
         ev = split.filter(F.col("split") == "eval").drop("split")
 
