@@ -207,12 +207,14 @@ def build_and_write(
     key: str = "id",
     layout: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
+    strict: bool = False,
 ) -> list[tuple[str, int | None, str | None]]:
     """Build and write each role to ``<root>/role=<name>/``; one (role, records, error) a role.
 
     A role that fails, in its plan or in a task, leaves the others as they are. Each role is a job of its
     own and holds only its own columns. ``layout`` arranges the rows before the write (default: the shuffle
-    order without the key).
+    order without the key). With ``strict`` the first failure is raised: for callers that go on with the files
+    and would take those of the other roles for the whole.
     """
     status = []
     for role in roles or BUILDERS:
@@ -221,6 +223,8 @@ def build_and_write(
             rows = layout(recs) if layout else ordered(recs, seed, key).drop(key)
             status.append((role, write_jsonl(rows, f"{root.rstrip('/')}/role={role}", partition_by), None))
         except Exception as exc:  # noqa: BLE001 - one failing role must not stop the others
+            if strict:
+                raise RuntimeError(f"role {role} could not be written: {type(exc).__name__}: {exc}") from exc
             status.append((role, None, f"{type(exc).__name__}: {exc}"))
     return status
 
@@ -240,6 +244,7 @@ def write_together(
     partition_by: Sequence[str] = (),
     rehearse: bool = False,
     compression: str = "none",
+    strict: bool = False,
 ) -> Status:
     """``build_and_write`` in one job: all roles are built, and written to ``<root>/role=<name>/`` by one sink.
 
@@ -248,12 +253,17 @@ def write_together(
     task, and the roles are written one by one to tell which. With ``rehearse`` the rows are
     first built once without a file, so that a row that fails is met before other roles' files are written in vain.
     ``compression`` is that of the files of the one job. ``layout`` arranges the rows, which have ``role`` and
-    ``key``, before the write (default: each role in the shuffle order)."""
+    ``key``, before the write (default: each role in the shuffle order). With ``strict`` a failure of any role, in its
+    plan or in a task, is raised instead of told."""
     wanted = list(roles or BUILDERS)
     try:
         recs, failures = build_all(sources, wanted, seed, max_samples, options)
     except ValueError:  # no role could be built
+        if strict:
+            raise
         return build_and_write(sources, root, wanted, seed, max_samples, options, key, None, partition_by)
+    if strict and failures:
+        raise RuntimeError(f"roles could not be built: {failures}")
     failed = dict(failures)
     built = [r for r in wanted if r not in failed]
     chat_cols, text_cols = [c for c in ("messages",) if c in recs.columns], [c for c in INSTRUCTION_COLS if c in recs.columns]
@@ -270,6 +280,8 @@ def write_together(
         sink = rows.select("role", *partition_by, line.alias("value")).write.mode("overwrite").partitionBy("role", *partition_by)
         sink.text(resolve_uri(root), compression=compression)
     except Exception:  # noqa: BLE001 - a role fails in a task: which one is told by writing them apart
+        if strict:
+            raise
         arranged = (lambda r: layout(r.withColumn("role", F.lit(""))).drop("role", key)) if layout else None
         return build_and_write(sources, root, wanted, seed, max_samples, options, key, arranged, partition_by)
     counts = obs.get

@@ -326,7 +326,7 @@ def prepare_all_roles(spark, sf):
     from .training_set import prepare_all
 
     # These files are read once, here: they need not take their full size.
-    root, _ = _write_together(spark, sf, compression="lz4")
+    root, _ = _write_together(spark, sf, compression="lz4", strict=True)
     records = read_numbered(spark, root, T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
     records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
     records = records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
