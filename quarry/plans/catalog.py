@@ -340,7 +340,7 @@ def prepare_all_roles(spark, sf):
     return side(blocks, "train", F.col("block_id").cast("string")).unionByName(side(plain, "train", named)).unionByName(side(held, "eval", named))
 
 
-def _write_roles(spark, sf) -> tuple[str, list]:
+def _write_roles(spark, sf, **options) -> tuple[str, list]:
     """Every role as JSONL, a file per role and run of ROLE_FILE_IDS ids, so that lines are known; (root, status)."""
     from ..session import scratch_path
 
@@ -349,7 +349,7 @@ def _write_roles(spark, sf) -> tuple[str, list]:
         return recs.sortWithinPartitions("chunk", "id").drop("id")
 
     root = scratch_path(spark, "role-files")
-    return root, B.build_and_write(_dealt_sources(spark, sf)[0], root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"])
+    return root, B.build_and_write(_dealt_sources(spark, sf)[0], root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **options)
 
 
 def write_status(spark, sf):
@@ -363,7 +363,7 @@ def prepare_from_jsonl(spark, sf):
     from ..sources.jsonl import read_numbered
     from .training_set import prepare, record_schema
 
-    root, _ = _write_roles(spark, sf)
+    root, _ = _write_roles(spark, sf, strict=True)
     sides = []
     for role in B.BUILDERS:
         recipe = recipe_for(role)

@@ -13,7 +13,19 @@ BAD_PLAN = lambda src: B.docs_generator(src.drop("docstring"))
 
 
 @pytest.mark.parametrize(("broken", "told"), [(BAD_ROW, "disk gone"), (BAD_PLAN, "docstring")])
-def test_all_roles_are_prepared_or_none(spark, monkeypatch, broken, told):
+@pytest.mark.parametrize("query", [C.prepare_all_roles, C.prepare_from_jsonl])
+def test_all_roles_are_prepared_or_none(spark, monkeypatch, query, broken, told):
     monkeypatch.setitem(B.BUILDERS, "docs_generator", broken)
-    with pytest.raises(Exception, match=told):
-        C.prepare_all_roles(spark, SF001).collect()
+    with pytest.raises(RuntimeError, match="docs_generator") if query is C.prepare_from_jsonl else pytest.raises(Exception, match=told):
+        query(spark, SF001).collect()
+
+
+def test_the_first_failure_of_a_role_ends_the_strict_write(spark, monkeypatch, tmp_path):
+    src = spark.createDataFrame([(1, "say", "", "word " * 20)], "id long, instruction string, input string, output string")
+    monkeypatch.setitem(B.BUILDERS, "copy_writer", B.code_writer)
+    roles = ["docs_generator", "copy_writer"]
+    with pytest.raises(RuntimeError, match="docs_generator"):
+        B.build_and_write({"copy_writer": src}, str(tmp_path / "a"), roles, strict=True)
+    with pytest.raises(RuntimeError, match="docs_generator"):
+        B.write_together({"copy_writer": src}, str(tmp_path / "b"), roles, strict=True)
+    assert not (tmp_path / "a").exists() and not (tmp_path / "b").exists()
