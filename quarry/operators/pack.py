@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..session import materialize, ship_package
-from .order import check_unique, global_rank, join_null_safe
+from .order import check_unique, global_rank, join_null_safe, order_hash
 
 RANK, CHUNK, LEN = "_pk_rank", "_pk_chunk", "_pk_len"
 TOTAL, SKIPS, ENTRY = "_pk_total", "_pk_skips", "_pk_entry"
@@ -350,17 +350,77 @@ def pack_bytes(
     Lengths come from the strings in the JVM. Texts, as bytes, meet their starts in one join and go by runs of about
     ``group_tokens`` tokens of the packed stream to the tasks that cut the blocks; a text at the edge of two runs goes to both. A run
     holds at most that many tokens (one block at least) and the two texts at its edges, however texts are spread. A null text is empty."""
-    spark = df.sparkSession
-    parts, length_of, L = _lengths(max_len, partition_by)
+    df, starts = _placed_bytes(df, key, max_len, text, seed, partition_by, chunk_rows, fanout)
+    return _cut_runs(df, starts, max_len, eos_id, partition_by, group_tokens)
+
+
+def pack_bytes_slices(
+    df: DataFrame,
+    key,
+    max_len: int | str,
+    slices: int,
+    text: str = "text",
+    eos_id: int = fixed.DEFAULT_EOS_ID,
+    seed: int = fixed.SEED,
+    partition_by: Sequence[str] = (),
+    chunk_rows: int = 1 << 20,
+    fanout: int = 256,
+    group_tokens: int = 1 << 20,
+    slice_tokens: int = 1 << 26,
+) -> list[DataFrame]:
+    """``pack_bytes`` as at most ``slices`` DataFrames, each the blocks of one stretch of the packed stream.
+
+    A caller that uses them one after the other has the shuffles of one stretch on disk, not those of all texts. The texts
+    are read once a slice, and only those that meet the stretch are shuffled: the stream is in the order of ``order_hash``, so
+    they lie between two hashes. (With groups of very unlike size these bounds are wide; the rows are the same.) Streams of
+    less than ``slice_tokens`` a slice are cut into fewer."""
+    keys = [key] if isinstance(key, str) else list(key)
+    df, starts = _placed_bytes(df, keys, max_len, text, seed, partition_by, chunk_rows, fanout)
+    starts = materialize(starts)
+    first_run, last_run = _runs(max_len, partition_by, group_tokens)
+    n_runs, n_tokens = starts.agg(F.max(last_run) + 1, F.max(F.col(START) + F.col("length"))).first()
+    n = max(1, min(slices, (n_tokens or 0) // slice_tokens, n_runs or 0))
+    cuts = [i * (n_runs or 0) // n for i in range(n)] + [n_runs or 0]
+    if n == 1:
+        return [_cut_runs(df, starts, max_len, eos_id, partition_by, group_tokens)]
+    meets = [(first_run < b) & (last_run >= a) for a, b in zip(cuts, cuts[1:])]
+    hashes = order_hash(keys, seed)
+    ends = starts.agg(*[f(F.when(m, hashes)) for m in meets for f in (F.min, F.max)]).first()
+    return [
+        _cut_runs(df.filter(hashes.between(*ends[2 * i : 2 * i + 2])), starts.filter(m), max_len, eos_id, partition_by, group_tokens, cuts[i : i + 2])
+        for i, m in enumerate(meets)
+    ]
+
+
+def _placed_bytes(df: DataFrame, key, max_len, text: str, seed: int, partition_by, chunk_rows: int, fanout: int) -> tuple[DataFrame, DataFrame]:
+    """(samples with their bytes, their starts)."""
+    parts, _, L = _lengths(max_len, partition_by)
     keys = [key] if isinstance(key, str) else list(key)
-    data = F.substring(F.coalesce(F.col(text), F.lit("")).cast("binary"), F.lit(1), L.cast("int"))
+    data = F.substring(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")), F.lit(1), L.cast("int"))
     df = df.select(*parts, *keys, data.alias("_bytes"))
-    starts = sample_starts(df, keys, max_len, seed, parts, chunk_rows=chunk_rows, fanout=fanout, length=F.octet_length("_bytes"))
-    x = join_null_safe(df, starts, [*parts, *keys])
+    return df, sample_starts(df, keys, max_len, seed, parts, chunk_rows=chunk_rows, fanout=fanout, length=F.octet_length("_bytes"))
+
+
+def _runs(max_len: int | str, partition_by: Sequence[str], group_tokens: int) -> tuple[Column, Column]:
+    """First and last run that a sample meets."""
+    L = _lengths(max_len, partition_by)[2]
     run = F.greatest(F.floor(F.lit(group_tokens) / L), F.lit(1)) * L
     first, end = F.col(START) - F.col(SEP), F.col(START) + F.col("length")
-    runs = F.sequence(F.floor(first / run).cast("long"), F.floor((end - 1) / run).cast("long"))
-    x = x.filter(first < end).select(*parts, START, SEP, "_bytes", F.explode(runs).alias("_run"))
+    return F.floor(first / run).cast("long"), F.floor((end - 1) / run).cast("long")
+
+
+def _cut_runs(
+    df: DataFrame, starts: DataFrame, max_len, eos_id: int, partition_by, group_tokens: int, only: Sequence[int] | None = None
+) -> DataFrame:
+    """The blocks of all runs, or of those from the first to before the second of ``only``."""
+    parts, length_of, L = _lengths(max_len, partition_by)
+    keys = [c for c in df.columns if c not in (*parts, "_bytes")]
+    x = join_null_safe(df, starts, [*parts, *keys])
+    first_run, last_run = _runs(max_len, partition_by, group_tokens)
+    x = x.filter(F.col(START) - F.col(SEP) < F.col(START) + F.col("length"))
+    x = x.select(*parts, START, SEP, "_bytes", F.explode(F.sequence(first_run, last_run)).alias("_run"))
+    if only is not None:
+        x = x.filter((F.col("_run") >= only[0]) & (F.col("_run") < only[1]))
 
     fields = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("input_ids", "labels")]
     schema = T.StructType([*_fields(x, parts), T.StructField("block_id", T.LongType()), *fields])
@@ -379,7 +439,7 @@ def pack_bytes(
         out["labels"] = pa.ListArray.from_arrays(at, pa.array(labels[: n * size]))
         return pa.table(out)
 
-    ship_package(spark)
+    ship_package(df.sparkSession)
     blocks = x.groupBy(*parts, "_run").applyInArrow(cut, schema)
     return blocks.select(*parts, "block_id", "input_ids", F.array_repeat(F.lit(1), L.cast("int")).alias("attention_mask"), "labels")
 

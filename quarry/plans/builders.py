@@ -21,7 +21,7 @@ from ..functions import arrays, chat
 from ..functions.docstring import with_docstring_stripped
 from ..functions.text import clean
 from ..operators import filters, order
-from ..sources.jsonl import write_jsonl
+from ..sources.jsonl import QUICK, write_jsonl
 from ..sources.tables import resolve_uri
 
 INSTRUCTION_COLS = ("instruction", "input", "output")
@@ -208,20 +208,22 @@ def build_and_write(
     layout: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
     strict: bool = False,
+    compression: str = "none",
+    mode: str = "overwrite",
 ) -> list[tuple[str, int | None, str | None]]:
     """Build and write each role to ``<root>/role=<name>/``; one (role, records, error) a role.
 
     A role that fails, in its plan or in a task, leaves the others as they are. Each role is a job of its
     own and holds only its own columns. ``layout`` arranges the rows before the write (default: the shuffle
     order without the key). With ``strict`` the first failure is raised: for callers that go on with the files
-    and would take those of the other roles for the whole.
+    and would take those of the other roles for the whole. ``mode`` "append" adds to what a role has.
     """
     status = []
     for role in roles or BUILDERS:
         try:
             recs = build(BUILDERS[role](sources[role], **(options or {}).get(role, {})), seed, max_samples, key)
             rows = layout(recs) if layout else ordered(recs, seed, key).drop(key)
-            status.append((role, write_jsonl(rows, f"{root.rstrip('/')}/role={role}", partition_by), None))
+            status.append((role, write_jsonl(rows, f"{root.rstrip('/')}/role={role}", partition_by, compression, mode), None))
         except Exception as exc:  # noqa: BLE001 - one failing role must not stop the others
             if strict:
                 raise RuntimeError(f"role {role} could not be written: {type(exc).__name__}: {exc}") from exc
@@ -278,7 +280,7 @@ def write_together(
         if rehearse:
             recs.write.format("noop").mode("overwrite").save()
         sink = rows.select("role", *partition_by, line.alias("value")).write.mode("overwrite").partitionBy("role", *partition_by)
-        sink.text(resolve_uri(root), compression=compression)
+        sink.options(**QUICK).text(resolve_uri(root), compression=compression)
     except Exception:  # noqa: BLE001 - a role fails in a task: which one is told by writing them apart
         if strict:
             raise

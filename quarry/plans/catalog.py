@@ -272,14 +272,29 @@ def jsonl_rejects(spark, sf):
     return good.unionByName(rejects.select(_part("file").alias("part"), "line", F.lit(None).cast("long").alias("k"), "issue", "value", *told))
 
 
-def _dealt_sources(spark, sf) -> tuple[dict[str, DataFrame], DataFrame]:
+#: Sources are dealt, and the stream of a role is packed, in at most so many slices; sources of so many bytes at least.
+SLICES = 3
+SLICE_BYTES = 32 << 20
+
+
+def _source_slices(spark, sf) -> int:
+    """How many slices the sources are dealt in, so that their copy on disk is a small part of the input."""
+    size = lambda df: int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, min(SLICES, (size(_docs(spark, sf)) + size(_conv(spark, sf))) // SLICE_BYTES))
+
+
+def _dealt_sources(spark, sf, part: int = 0, of: int = 1) -> tuple[dict[str, DataFrame], DataFrame]:
     """(``role_sources``, documents) where each run of ROLE_FILE_IDS ids lies in one partition.
 
-    Builders filter and project, so their rows, several times the sources, lie alike and need no shuffle of their own."""
+    Builders filter and project, so their rows, several times the sources, lie alike and need no shuffle of their own.
+    ``part`` of ``of``: only every so many-th run; the parts together are the whole."""
     from ..session import materialize
 
     def dealt(df: DataFrame, key: str) -> DataFrame:
-        return materialize(df.repartition(F.floor(F.col(key) / O.ROLE_FILE_IDS)).sortWithinPartitions(key))
+        run = F.floor(F.col(key) / O.ROLE_FILE_IDS)
+        if of > 1:
+            df = df.filter(F.coalesce(F.pmod(run, F.lit(of)), F.lit(0)) == part)
+        return materialize(df.repartition(run).sortWithinPartitions(key))
 
     docs = dealt(_docs(spark, sf), "doc_id")
     return role_sources(spark, sf, docs, dealt(fx.chats(_conv(spark, sf)), "id")), docs
@@ -340,16 +355,37 @@ def prepare_all_roles(spark, sf):
     return side(blocks, "train", F.col("block_id").cast("string")).unionByName(side(plain, "train", named)).unionByName(side(held, "eval", named))
 
 
-def _write_roles(spark, sf, **options) -> tuple[str, list]:
-    """Every role as JSONL, a file per role and run of ROLE_FILE_IDS ids, so that lines are known; (root, status)."""
-    from ..session import scratch_path
+def _write_roles(spark, sf, slices: int = 1, **options) -> tuple[str, list]:
+    """Every role as JSONL, a file per role and run of ROLE_FILE_IDS ids, so that lines are known; (root, status).
+
+    With ``slices`` the sources are dealt and written in so many parts, one after the other."""
+    from ..session import release, scratch_path
 
     def layout(recs: DataFrame) -> DataFrame:
         recs = recs.withColumn("chunk", F.floor(F.col("id") / O.ROLE_FILE_IDS))
         return recs.sortWithinPartitions("chunk", "id").drop("id")
 
+    def write(part: int) -> list:
+        sources = _dealt_sources(spark, sf, part, slices)[0]
+        release(spark)  # the shuffle of the sources, which are copied
+        return B.build_and_write(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], mode="append" if part else "overwrite", **options)
+
     root = scratch_path(spark, "role-files")
-    return root, B.build_and_write(_dealt_sources(spark, sf)[0], root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **options)
+    return root, _in_slices(spark, write, slices)
+
+
+def _in_slices(spark, write: Callable[[int], list], slices: int) -> list:
+    """The status of all roles after ``write`` of each slice: records in all, or the first error."""
+    from ..session import release
+
+    told: dict[str, tuple] = {}
+    for part in range(slices):
+        for role, n, error in write(part):
+            _, m, before = told.get(role, (role, 0, None))
+            error = before or error
+            told[role] = (role, None if error else m + n, error)
+        release(spark)  # the slice's copy of the sources
+    return list(told.values())
 
 
 def write_status(spark, sf):
@@ -360,28 +396,42 @@ def write_status(spark, sf):
 def prepare_from_jsonl(spark, sf):
     """All roles written as JSONL, read back by file and line, split, encoded and packed by their recipes."""
     from ..operators.recipes import recipe_for
+    from ..session import discard, materialize, release, scratch_path
     from ..sources.jsonl import read_numbered
     from .training_set import prepare, record_schema
 
-    root, _ = _write_roles(spark, sf, strict=True)
-    sides = []
-    for role in B.BUILDERS:
+    root, _ = _write_roles(spark, sf, _source_slices(spark, sf), strict=True, compression="gzip")
+
+    def prepared(role: str) -> list[DataFrame]:
+        """The role's rows, written; what they were made of is out of use then."""
         recipe = recipe_for(role)
         records = read_numbered(spark, f"{root}/role={role}", record_schema(recipe))
         # Part files have random names; their folder says as much, as it has one file.
         records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
-        train, held = prepare(records, recipe, ["file", "line"])
-        for part, side in (("train", train), ("eval", held)):
+        texts = scratch_path(spark, "role-texts")
+        trains, held = prepare(records, recipe, ["file", "line"], slices=SLICES, keep=texts)
+        sides = []
+        for part, side in [*[("train", x) for x in trains], ("eval", held)]:
             item = F.col("block_id").cast("string") if "block_id" in side.columns else F.concat_ws(":", "file", "line")
             sides.append(
-                side.select(
-                    F.lit(role).alias("role"),
-                    F.lit(part).alias("part"),
-                    item.alias("item"),
-                    F.size("input_ids").cast("long").alias("n_tokens"),
-                    F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+                materialize(
+                    side.select(
+                        F.lit(role).alias("role"),
+                        F.lit(part).alias("part"),
+                        item.alias("item"),
+                        F.size("input_ids").cast("long").alias("n_tokens"),
+                        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
+                    )
                 )
             )
+            release(spark)  # the shuffles of the slice
+        discard(spark, texts)
+        return sides
+
+    sides = []
+    for role in B.BUILDERS:
+        sides += prepared(role)
+        release(spark)
     return reduce(DataFrame.unionByName, sides)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators import order, pack, recipes, tokenize
-from ..session import materialize
+from ..session import materialize, store
 from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_numbered
 from ..sources.tables import has_files
 
@@ -47,7 +47,12 @@ def prepare(
     eos_id: int | None = None,
     max_len: int | None = None,
     chat_template=None,
-) -> tuple[DataFrame, DataFrame]:
+    slices: int | None = None,
+    keep: str | None = None,
+) -> tuple[DataFrame | list[DataFrame], DataFrame]:
+    """(train, eval) of one role. With ``slices`` train is a list of at most that many DataFrames, to be used one after the
+    other: the texts that the packing of bytes shuffles are then on disk a slice at a time. ``keep`` names a folder for the
+    rendered texts, which the caller discards after the last use of the results (else they are checkpointed)."""
     L = int(max_len or recipe["max_seq_length"])
     if eval_records is None and eval_path:
         # An external eval file is used only when it exists; otherwise split.
@@ -61,7 +66,10 @@ def prepare(
         train, ev = text, render_records(eval_records, recipe, key, chat_template)
     else:
         # Split, lengths, blocks and the held rows each read the texts: records are read and rendered once for all.
-        split = order.split(materialize(text), key, eval_fraction, seed)
+        if encoder_factory is None:
+            # Ids are bytes, at most L of them: no more of a text is kept.
+            text = text.withColumn("text", F.substring(F.col("text").cast("binary"), F.lit(1), F.lit(L)))
+        split = order.split(store(text, keep) if keep else materialize(text), key, eval_fraction, seed)
         train = split.filter(F.col("split") == "train").drop("split")
         ev = split.filter(F.col("split") == "eval").drop("split")
 
@@ -70,13 +78,17 @@ def prepare(
             return tokenize.byte_encode(df, "text", L)
         return tokenize.encode_with(df, encoder_factory, "text", L)
 
+    if recipe.get("packing") and encoder_factory is None and slices:
+        return pack.pack_bytes_slices(train, key, L, slices, "text", tokenize.eos_id(eos_id), seed), encode(ev)
     if not recipe.get("packing"):
-        return encode(train), encode(ev)
-    if encoder_factory is None:
-        return pack.pack_bytes(train, key, L, "text", tokenize.eos_id(eos_id), seed), encode(ev)
-    # A user encoder is the costly step: checkpoint its output once.
-    # Labels are a copy of the ids until separators are masked: packing makes them itself.
-    return pack.pack(encode(train).drop("labels"), key, L, tokenize.eos_id(eos_id), seed, materialize_input=True), encode(ev)
+        blocks = encode(train)
+    elif encoder_factory is None:
+        blocks = pack.pack_bytes(train, key, L, "text", tokenize.eos_id(eos_id), seed)
+    else:
+        # A user encoder is the costly step: checkpoint its output once.
+        # Labels are a copy of the ids until separators are masked: packing makes them itself.
+        blocks = pack.pack(encode(train).drop("labels"), key, L, tokenize.eos_id(eos_id), seed, materialize_input=True)
+    return [blocks] if slices else blocks, encode(ev)
 
 
 def prepare_all(

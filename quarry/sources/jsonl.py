@@ -28,6 +28,8 @@ INSTRUCTION_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("instruction", "input", "output")]
 )
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
+#: Gzip at its lowest level: a tenth larger, a quarter of the time.
+QUICK = {"zlib.compress.level": "BEST_SPEED"}
 CHAT_SCHEMA = T.StructType([T.StructField("messages", T.ArrayType(MESSAGE))])
 
 
@@ -113,11 +115,14 @@ def read_cached_dir(
     return parse_jsonl(read_lines(spark, directory, "*.{json,jsonl}"), schema)
 
 
-def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def write_jsonl(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str = "none", mode: str = "overwrite"
+) -> int:
     """Write one JSON object per line (a directory of part files); return rows."""
     obs = Observation("write_jsonl")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").partitionBy(*partition_by).option("ignoreNullFields", "false").json(resolve_uri(path))
+    sink = observed.write.mode(mode).partitionBy(*partition_by).option("ignoreNullFields", "false")
+    sink.options(**QUICK).json(resolve_uri(path), compression=compression)
     return int(obs.get["rows"])
 
 
