@@ -247,6 +247,7 @@ def write_together(
     rehearse: bool = False,
     compression: str = "none",
     strict: bool = False,
+    mode: str = "overwrite",
 ) -> Status:
     """``build_and_write`` in one job: all roles are built, and written to ``<root>/role=<name>/`` by one sink.
 
@@ -256,7 +257,10 @@ def write_together(
     first built once without a file, so that a row that fails is met before other roles' files are written in vain.
     ``compression`` is that of the files of the one job. ``layout`` arranges the rows, which have ``role`` and
     ``key``, before the write (default: each role in the shuffle order). With ``strict`` a failure of any role, in its
-    plan or in a task, is raised instead of told."""
+    plan or in a task, is raised instead of told. ``mode`` "append" adds to what is there, and needs ``strict``, as a role's
+    failure would leave what it has."""
+    if mode != "overwrite" and not strict:
+        raise ValueError("only a strict write can add to files")
     wanted = list(roles or BUILDERS)
     try:
         recs, failures = build_all(sources, wanted, seed, max_samples, options)
@@ -279,7 +283,7 @@ def write_together(
     try:
         if rehearse:
             recs.write.format("noop").mode("overwrite").save()
-        sink = rows.select("role", *partition_by, line.alias("value")).write.mode("overwrite").partitionBy("role", *partition_by)
+        sink = rows.select("role", *partition_by, line.alias("value")).write.mode(mode).partitionBy("role", *partition_by)
         sink.options(**QUICK).text(resolve_uri(root), compression=compression)
     except Exception:  # noqa: BLE001 - a role fails in a task: which one is told by writing them apart
         if strict:

@@ -300,20 +300,25 @@ def _dealt_sources(spark, sf, part: int = 0, of: int = 1) -> tuple[dict[str, Dat
     return role_sources(spark, sf, docs, dealt(fx.chats(_conv(spark, sf)), "id")), docs
 
 
-def _write_together(spark, sf, broken: tuple[str, ...] = (), **options) -> tuple[str, list]:
-    """Every role as JSONL by one job, a file per role and run of ROLE_FILE_IDS ids; (root, status).
+def _write_together(spark, sf, broken: tuple[str, ...] = (), slices: int = 1, **options) -> tuple[str, list]:
+    """Every role as JSONL by one job a slice, a file per role and run of ROLE_FILE_IDS ids; (root, status).
 
     ``broken`` names more roles, built from the instructions."""
-    from ..session import scratch_path
+    from ..session import release, scratch_path
 
     def layout(recs: DataFrame) -> DataFrame:
         recs = recs.withColumn("chunk", F.floor(F.col("id") / O.ROLE_FILE_IDS))
         return recs.sortWithinPartitions("role", "chunk", "id")
 
+    def write(part: int) -> list:
+        sources, docs = _dealt_sources(spark, sf, part, slices)
+        sources |= {role: fx.instructions(docs) for role in broken}
+        release(spark)  # the shuffle of the sources, which are copied
+        mode = {"mode": "append"} if part else {}
+        return B.write_together(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **mode, **options)
+
     root = scratch_path(spark, "all-role-files")
-    sources, docs = _dealt_sources(spark, sf)
-    sources |= {role: fx.instructions(docs) for role in broken}
-    return root, B.write_together(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **options)
+    return root, _in_slices(spark, write, slices)
 
 
 def write_status_failing(spark, sf):
@@ -333,26 +338,47 @@ def write_status_failing(spark, sf):
 
 
 def prepare_all_roles(spark, sf):
-    """All roles written by one job, read back once, split, encoded and packed by their recipes in one plan."""
+    """All roles written by one job a slice, read back once, split, encoded and packed by the table of their recipes.
+
+    The texts and shuffles of all roles at once would take more disk than the files: roles are prepared one after the other."""
     from pyspark.sql import types as T
 
     from ..operators.recipes import recipes
+    from ..session import discard, materialize, release, scratch_path
     from ..sources.jsonl import CHAT_SCHEMA, INSTRUCTION_SCHEMA, read_numbered
+    from ..sources.tables import has_files
     from .training_set import prepare_all
 
     # These files are read once, here: they need not take their full size.
-    root, _ = _write_together(spark, sf, compression="lz4", strict=True)
-    records = read_numbered(spark, root, T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
-    records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
-    records = records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
-    blocks, plain, held = prepare_all(records, recipes(spark), ["file", "line"])
+    root, _ = _write_together(spark, sf, slices=_source_slices(spark, sf), compression="gzip", strict=True)
 
     def side(rows: DataFrame, part: str, item: F.Column) -> DataFrame:
         n = F.size("input_ids").cast("long").alias("n_tokens")
         return rows.select("role", F.lit(part).alias("part"), item.alias("item"), n, F.md5(F.array_join("input_ids", ",")).alias("ids_md5"))
 
     named = F.concat_ws(":", "file", "line")
-    return side(blocks, "train", F.col("block_id").cast("string")).unionByName(side(plain, "train", named)).unionByName(side(held, "eval", named))
+
+    def prepared(role: str) -> list[DataFrame]:
+        """The role's rows, written; what they were made of is out of use then."""
+        records = read_numbered(spark, f"{root}/role={role}", T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
+        records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
+        records = records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
+        texts = scratch_path(spark, "role-texts")
+        blocks, plain, held = prepare_all(records, recipes(spark), ["file", "line"], slices=SLICES, keep=texts)
+        sides = []
+        for part in blocks:
+            sides.append(materialize(side(part, "train", F.col("block_id").cast("string"))))
+            release(spark)  # the shuffles of the slice
+        sides += [materialize(side(plain, "train", named)), materialize(side(held, "eval", named))]
+        discard(spark, texts)
+        return sides
+
+    sides = []
+    for role in B.BUILDERS:
+        # A role without a record has no files.
+        sides += prepared(role) if has_files(spark, f"{root}/role={role}") else []
+        release(spark)
+    return reduce(DataFrame.unionByName, sides)
 
 
 def _write_roles(spark, sf, slices: int = 1, **options) -> tuple[str, list]:

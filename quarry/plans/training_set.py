@@ -99,16 +99,22 @@ def prepare_all(
     eval_fraction: float = fixed.EVAL_FRACTION,
     seed: int = fixed.SEED,
     eos_id: int | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    slices: int | None = None,
+    keep: str | None = None,
+) -> tuple[DataFrame | list[DataFrame], DataFrame, DataFrame]:
     """Every role at once: (packed blocks, train rows of roles that are not packed, eval rows).
 
     ``records`` hold the roles' fields beside a ``role`` column, as ``build_all`` and a JSONL read of all roles give
     them. The recipe of a row gives its format, its length and whether it is packed; ranks, splits and blocks are made
     per role in one set of jobs, and the rendered texts are written once for all of them. The blocks of a role have its
-    own length (``max_seq_length``). ``key`` is unique within a role."""
+    own length (``max_seq_length``). ``key`` is unique within a role.
+    With ``slices`` the blocks are a list of DataFrames; ``keep`` is a folder for the texts (see ``prepare``)."""
     keys = _keys(key)
     rendered = recipes.render_by_recipe(recipes.with_recipe(records, recipe_df, role))
-    rows = materialize(rendered.select(role, *keys, "max_seq_length", "packing", "text"))
+    # Ids are bytes, at most a role's length of them: no more of a text is kept.
+    cut = F.substring(F.col("text").cast("binary"), F.lit(1), F.col("max_seq_length")).alias("text")
+    rows = rendered.select(role, *keys, "max_seq_length", "packing", cut)
+    rows = store(rows, keep) if keep else materialize(rows)
     rows = order.split(rows, keys, eval_fraction, seed, [role])
     longest = int(recipe_df.agg(F.max("max_seq_length")).first()[0])
     ids = tokenize.byte_encode(rows, "text", longest)
@@ -117,5 +123,8 @@ def prepare_all(
     train, held = F.col("split") == "train", F.col("split") == "eval"
     columns = [role, *keys, "input_ids", "attention_mask", "labels"]
     to_pack = rows.filter(train & F.col("packing"))
-    blocks = pack.pack_bytes(to_pack, keys, "max_seq_length", "text", tokenize.eos_id(eos_id), seed, [role])
+    if slices:
+        blocks = pack.pack_bytes_slices(to_pack, keys, "max_seq_length", slices, "text", tokenize.eos_id(eos_id), seed, [role])
+    else:
+        blocks = pack.pack_bytes(to_pack, keys, "max_seq_length", "text", tokenize.eos_id(eos_id), seed, [role])
     return blocks, ids.filter(train & ~F.col("packing")).select(*columns), ids.filter(held).select(*columns)
