@@ -313,7 +313,8 @@ def _write_together(spark, sf, broken: tuple[str, ...] = (), slices: int = 1, **
     def write(part: int) -> list:
         sources, docs = _dealt_sources(spark, sf, part, slices)
         sources |= {role: fx.instructions(docs) for role in broken}
-        release(spark)  # the shuffle of the sources, which are copied
+        if slices > 1:
+            release(spark)  # the shuffle of the sources, which are copied
         mode = {"mode": "append"} if part else {}
         return B.write_together(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], **mode, **options)
 
@@ -340,7 +341,8 @@ def write_status_failing(spark, sf):
 def prepare_all_roles(spark, sf):
     """All roles written by one job a slice, read back once, split, encoded and packed by the table of their recipes.
 
-    The texts and shuffles of all roles at once would take more disk than the files: roles are prepared one after the other."""
+    The texts and shuffles of all roles at once would take more disk than the files: sources of more than one slice are
+    prepared a role after the other, smaller ones in one plan."""
     from pyspark.sql import types as T
 
     from ..operators.recipes import recipes
@@ -350,7 +352,8 @@ def prepare_all_roles(spark, sf):
     from .training_set import prepare_all
 
     # These files are read once, here: they need not take their full size.
-    root, _ = _write_together(spark, sf, slices=_source_slices(spark, sf), compression="gzip", strict=True)
+    slices = _source_slices(spark, sf)
+    root, _ = _write_together(spark, sf, slices=slices, compression="gzip", strict=True)
 
     def side(rows: DataFrame, part: str, item: F.Column) -> DataFrame:
         n = F.size("input_ids").cast("long").alias("n_tokens")
@@ -358,11 +361,14 @@ def prepare_all_roles(spark, sf):
 
     named = F.concat_ws(":", "file", "line")
 
+    def records_of(path: str) -> DataFrame:
+        records = read_numbered(spark, path, T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
+        records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
+        return records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
+
     def prepared(role: str) -> list[DataFrame]:
         """The role's rows, written; what they were made of is out of use then."""
-        records = read_numbered(spark, f"{root}/role={role}", T.StructType([*INSTRUCTION_SCHEMA.fields, *CHAT_SCHEMA.fields]))
-        records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
-        records = records.withColumn("role", F.regexp_extract("file", "role=([^/]*)", 1))
+        records = records_of(f"{root}/role={role}")
         texts = scratch_path(spark, "role-texts")
         blocks, plain, held = prepare_all(records, recipes(spark), ["file", "line"], slices=SLICES, keep=texts)
         sides = []
@@ -373,6 +379,9 @@ def prepare_all_roles(spark, sf):
         discard(spark, texts)
         return sides
 
+    if slices == 1:
+        blocks, plain, held = prepare_all(records_of(root), recipes(spark), ["file", "line"])
+        return reduce(DataFrame.unionByName, [side(blocks, "train", F.col("block_id").cast("string")), side(plain, "train", named), side(held, "eval", named)])
     sides = []
     for role in B.BUILDERS:
         # A role without a record has no files.
@@ -393,7 +402,8 @@ def _write_roles(spark, sf, slices: int = 1, **options) -> tuple[str, list]:
 
     def write(part: int) -> list:
         sources = _dealt_sources(spark, sf, part, slices)[0]
-        release(spark)  # the shuffle of the sources, which are copied
+        if slices > 1:
+            release(spark)  # the shuffle of the sources, which are copied
         return B.build_and_write(sources, root, options=ROLE_OPTIONS, layout=layout, partition_by=["chunk"], mode="append" if part else "overwrite", **options)
 
     root = scratch_path(spark, "role-files")
@@ -410,7 +420,8 @@ def _in_slices(spark, write: Callable[[int], list], slices: int) -> list:
             _, m, before = told.get(role, (role, 0, None))
             error = before or error
             told[role] = (role, None if error else m + n, error)
-        release(spark)  # the slice's copy of the sources
+        if slices > 1:
+            release(spark)  # the slice's copy of the sources
     return list(told.values())
 
 
@@ -426,38 +437,39 @@ def prepare_from_jsonl(spark, sf):
     from ..sources.jsonl import read_numbered
     from .training_set import prepare, record_schema
 
-    root, _ = _write_roles(spark, sf, _source_slices(spark, sf), strict=True, compression="gzip")
+    slices = _source_slices(spark, sf)
+    root, _ = _write_roles(spark, sf, slices, strict=True, compression="gzip")
 
     def prepared(role: str) -> list[DataFrame]:
-        """The role's rows, written; what they were made of is out of use then."""
+        """The role's rows; from sources of more than one slice they are written, so that what they were made of is out of use."""
         recipe = recipe_for(role)
         records = read_numbered(spark, f"{root}/role={role}", record_schema(recipe))
         # Part files have random names; their folder says as much, as it has one file.
         records = records.withColumn("file", F.regexp_extract("file", "(role=.*)/", 1))
-        texts = scratch_path(spark, "role-texts")
-        trains, held = prepare(records, recipe, ["file", "line"], slices=SLICES, keep=texts)
+        texts = scratch_path(spark, "role-texts") if slices > 1 else None
+        train, held = prepare(records, recipe, ["file", "line"], slices=SLICES if texts else None, keep=texts)
         sides = []
-        for part, side in [*[("train", x) for x in trains], ("eval", held)]:
+        for part, side in [*[("train", x) for x in (train if texts else [train])], ("eval", held)]:
             item = F.col("block_id").cast("string") if "block_id" in side.columns else F.concat_ws(":", "file", "line")
-            sides.append(
-                materialize(
-                    side.select(
-                        F.lit(role).alias("role"),
-                        F.lit(part).alias("part"),
-                        item.alias("item"),
-                        F.size("input_ids").cast("long").alias("n_tokens"),
-                        F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
-                    )
-                )
+            rows = side.select(
+                F.lit(role).alias("role"),
+                F.lit(part).alias("part"),
+                item.alias("item"),
+                F.size("input_ids").cast("long").alias("n_tokens"),
+                F.md5(F.array_join("input_ids", ",")).alias("ids_md5"),
             )
-            release(spark)  # the shuffles of the slice
-        discard(spark, texts)
+            sides.append(materialize(rows) if texts else rows)
+            if texts:
+                release(spark)  # the shuffles of the slice
+        if texts:
+            discard(spark, texts)
         return sides
 
     sides = []
     for role in B.BUILDERS:
         sides += prepared(role)
-        release(spark)
+        if slices > 1:
+            release(spark)
     return reduce(DataFrame.unionByName, sides)
 
 
